@@ -14,14 +14,15 @@ HIGH_VALUE_FROM = 1000
 PAID_TOLERANCE = 0.01
 
 
-def ratio(numerator: Column, denominator: Column, digits: int | None = None) -> Column:
+def ratio(numerator: Column, denominator: Column) -> Column:
     """Double quotient; NULL when the denominator is NULL or 0."""
-    value = F.when(denominator != 0, numerator.cast("double") / denominator.cast("double"))
-    return value if digits is None else F.round(value, digits)
+    return F.when(denominator != 0, numerator.cast("double") / denominator.cast("double"))
 
 
-def ratio_or_zero(numerator: Column, denominator: Column, digits: int) -> Column:
-    return F.coalesce(ratio(numerator, denominator, digits), F.lit(0.0))
+def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+    """Quotient rounded half up from exact DECIMALs, 0 when the denominator is NULL or 0."""
+    exact = numerator.cast("decimal(24,2)") / F.nullif(denominator.cast("decimal(24,2)"), F.lit(0))
+    return F.coalesce(F.round(exact, digits).cast("double"), F.lit(0.0))
 
 
 def mean_of(total: Column, count: Column) -> Column:

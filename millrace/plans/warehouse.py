@@ -61,9 +61,12 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """The table, written on first use and read from there afterwards."""
+        return self.stored(name, lambda: self.frame(name))
+
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._written:
             path = f"{self.root}/{name}"
-            self.frame(name).write.mode("overwrite").parquet(path)
+            build().write.mode("overwrite").parquet(path)
             self._written[name] = path
         return self.spark.read.parquet(self._written[name])
 

@@ -7,6 +7,8 @@ A feed has the shape of a raw table: snapshots repeat a business id with a later
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -25,7 +27,7 @@ FEEDS: dict[str, str] = {
                CASE WHEN snap = 1 THEN [TS] '1994-02-01 00:00:00' ELSE [TS] '1994-01-02 00:00:00' END AS ingested_at,
                'run-' || CAST(snap AS STRING) AS source_run_id
         FROM (SELECT *, [SNAPS] AS snap FROM [customer]) AS s
-        WHERE snap = 0 OR c_custkey % 5 = 0""",
+        WHERE snap = 0 OR c_mktsegment = 'BUILDING'""",
     "oltp_orders": f"""
         SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderdate AS order_ts,
                CASE WHEN snap = 0 THEN ' Created ' WHEN o_orderstatus = 'F' THEN ' Delivered' ELSE 'Paid ' END AS status,
@@ -51,7 +53,7 @@ FEEDS: dict[str, str] = {
                CASE WHEN snap = 1 THEN [TS] '1994-03-01 00:00:00' ELSE [TS] '1994-01-02 00:00:00' END AS ingested_at,
                CAST(NULL AS STRING) AS source_run_id
         FROM (SELECT *, [SNAPS] AS snap FROM [part]) AS s
-        WHERE snap = 0 OR p_partkey % 4 = 0""",
+        WHERE snap = 0 OR p_size > 35""",
     "kafka_orders": f"""
         SELECT 'orders' AS topic, CAST(o_orderkey % 4 AS INT) AS partition_id, o_orderkey AS kafka_offset,
                CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE 'ord-' || CAST(o_orderkey AS STRING) END AS event_id,
@@ -61,7 +63,7 @@ FEEDS: dict[str, str] = {
                o_orderdate AS event_ts,
                CASE WHEN snap = 0 THEN o_orderdate + INTERVAL '1' MINUTE ELSE o_orderdate + INTERVAL '9' MINUTE END AS ingested_at
         FROM (SELECT *, [SNAPS] AS snap FROM [orders]) AS s
-        WHERE snap = 0 OR o_orderkey % 20 = 0""",
+        WHERE snap = 0 OR o_orderpriority = '2-HIGH'""",
     "kafka_payments": f"""
         SELECT 'payments' AS topic, CAST(o_orderkey % 4 AS INT) AS partition_id, o_orderkey AS kafka_offset,
                CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'pay-' || CAST(o_orderkey AS STRING) END AS event_id,
@@ -75,13 +77,13 @@ FEEDS: dict[str, str] = {
                CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_orderdate + INTERVAL '1' DAY END AS event_ts,
                CASE WHEN snap = 0 THEN o_orderdate + INTERVAL '25' HOUR ELSE o_orderdate + INTERVAL '26' HOUR END AS ingested_at
         FROM (SELECT *, [SNAPS] AS snap FROM [orders]) AS s
-        WHERE o_orderkey % 10 <> 9 AND (snap = 0 OR o_orderkey % 20 = 0)""",
+        WHERE o_orderpriority <> '5-LOW' AND (snap = 0 OR o_orderpriority = '2-HIGH')""",
     "file_payments": f"""
         SELECT 'payments/batch.jsonl::' || CAST(o_orderkey AS STRING) AS event_uuid,
                'payments/batch.jsonl' AS source_file, o_orderkey AS payment_id, o_orderkey AS order_id,
                {_TOTAL} AS amount, {_CURRENCY} AS currency, 'Success ' AS status,
                o_orderdate + INTERVAL '2' DAY AS event_ts, o_orderdate + INTERVAL '49' HOUR AS loaded_at
-        FROM [orders] WHERE o_orderkey % 20 = 8""",
+        FROM [orders] WHERE o_orderpriority = '1-URGENT'""",
     "oltp_marketing_campaigns": """
         SELECT p_partkey AS campaign_id, p_name AS campaign_name, p_type AS campaign_type,
                CASE p_partkey % 6 WHEN 0 THEN ' email ' WHEN 1 THEN 'search' WHEN 2 THEN 'social' WHEN 3 THEN ''
@@ -98,7 +100,7 @@ FEEDS: dict[str, str] = {
                CASE WHEN snap = 1 THEN [TS] '2001-02-03 00:00:00' ELSE [TS] '2001-02-02 00:00:00' END AS ingested_at,
                'run-' || CAST(snap AS STRING) AS source_run_id
         FROM (SELECT *, [SNAPS] AS snap FROM [part]) AS s
-        WHERE snap = 0 OR p_partkey % 8 = 0""",
+        WHERE snap = 0 OR p_size < 8""",
     "oltp_seo_keywords": """
         SELECT p_partkey AS keyword_id, ' ' || upper(p_name) AS keyword, p_type AS keyword_category,
                'https://shop.example/' || CAST(p_partkey AS STRING) AS target_url,
@@ -112,7 +114,7 @@ FEEDS: dict[str, str] = {
                CASE WHEN snap = 1 THEN [TS] '2001-02-03 00:00:00' ELSE [TS] '2001-02-02 00:00:00' END AS ingested_at,
                'run-' || CAST(snap AS STRING) AS source_run_id
         FROM (SELECT *, [SNAPS] AS snap FROM [part]) AS s
-        WHERE snap = 0 OR p_partkey % 8 = 0""",
+        WHERE snap = 0 OR p_size < 8""",
     "oltp_feature_flags": """
         SELECT s_suppkey AS flag_id,
                CASE WHEN s_suppkey % 25 = 0 THEN NULL ELSE ' Flag_' || CAST(s_suppkey AS STRING) END AS flag_key,
@@ -125,7 +127,7 @@ FEEDS: dict[str, str] = {
                CASE WHEN snap = 1 THEN [TS] '2001-02-03 00:00:00' ELSE [TS] '2001-02-02 00:00:00' END AS ingested_at,
                'run-' || CAST(snap AS STRING) AS source_run_id
         FROM (SELECT *, [SNAPS] AS snap FROM [supplier]) AS s
-        WHERE snap = 0 OR s_suppkey % 3 = 0""",
+        WHERE snap = 0 OR s_acctbal > 5000""",
     "oltp_employees": """
         SELECT c_custkey AS employee_id, ' emp-' || CAST(c_custkey AS STRING) AS employee_number,
                'Customer' AS first_name, ' ' || substr(c_name, 10) AS last_name,
@@ -142,7 +144,7 @@ FEEDS: dict[str, str] = {
                CASE WHEN snap = 1 THEN [TS] '2001-02-03 00:00:00' ELSE [TS] '2001-02-02 00:00:00' END AS ingested_at,
                'run-' || CAST(snap AS STRING) AS source_run_id
         FROM (SELECT *, [SNAPS] AS snap FROM [customer]) AS s
-        WHERE snap = 0 OR c_custkey % 8 = 0""",
+        WHERE snap = 0 OR c_acctbal < 1000""",
     "oltp_general_ledger": f"""
         SELECT o_orderkey * 2 + snap AS entry_id, CAST(o_orderdate AS DATE) AS entry_date,
                'je-' || CAST(o_orderkey AS STRING) || CASE WHEN snap = 0 THEN '-d' ELSE '-c' END AS entry_number,
@@ -164,10 +166,63 @@ FEEDS: dict[str, str] = {
                CASE WHEN event_id % 33 = 0 THEN NULL ELSE ts END AS event_ts,
                CASE WHEN snap = 0 THEN ts + INTERVAL '10' SECOND ELSE ts + INTERVAL '70' SECOND END AS ingested_at
         FROM (SELECT *, [SNAPS] AS snap FROM [events]) AS s
-        WHERE snap = 0 OR event_id % 20 = 0""",
+        WHERE snap = 0 OR event_type = 'error'""",
     "user_state_log": """
         SELECT CAST(user_id AS STRING) AS hub_key, event_type AS hashdiff, ts AS load_dts, ts AS effective_from,
-               'events' AS record_source, value, event_id
+               'events' AS record_source, value, event_id,
+               CASE WHEN extract(SECOND FROM ts) >= 40 THEN 2 ELSE 1 END AS batch
+        FROM [events]""",
+    "order_messages": f"""
+        SELECT 'orders' AS topic, CAST(o_orderkey % 4 AS INT) AS partition, o_orderkey AS [OFFSET],
+               o_orderdate + INTERVAL '5' MINUTE AS timestamp,
+               CASE WHEN o_orderpriority = '5-LOW' THEN 'not json ' || CAST(o_orderkey AS STRING)
+                    WHEN o_orderpriority = '1-URGENT'
+                    THEN '{{"event_id":"o-' || CAST(o_orderkey AS STRING) || '","event_type":"order_created","order_id":' ||
+                         CAST(o_orderkey AS STRING) || ',"user_id":' || CAST(o_custkey AS STRING) || ',"amount":' ||
+                         CAST({_TOTAL} AS STRING) || ',"currency":"EURO","country_code":"","ts":"' ||
+                         CAST(CAST(o_orderdate AS DATE) AS STRING) || 'T08:30:00Z"}}'
+                    WHEN o_orderpriority = '2-HIGH'
+                    THEN '{{"event_id":"o-' || CAST(o_orderkey AS STRING) || '","order_id":' || CAST(o_orderkey AS STRING) ||
+                         ',"customer_id":' || CAST(o_custkey AS STRING) || ',"total_amount":' || CAST({_TOTAL} AS STRING) ||
+                         ',"currency":"","country_code":"USA","timestamp":' || CAST(1500000000000 + o_orderkey AS STRING) || '}}'
+                    WHEN o_orderpriority = '3-MEDIUM'
+                    THEN '{{"event_id":"o-' || CAST(o_orderkey AS STRING) || '","order_id":' || CAST(o_orderkey AS STRING) ||
+                         ',"customer_id":' || CAST(o_custkey AS STRING) || ',"total_amount":-1.00,"event_ts":' ||
+                         CAST(1500000000 + o_orderkey AS STRING) || ',"currency":"usd"}}'
+                    ELSE '{{"event_id":"","order_id":' || CAST(o_orderkey AS STRING) || ',"currency":"US","timestamp":"garbage"}}'
+               END AS value
+        FROM [orders]""",
+    "payment_messages": f"""
+        SELECT 'payments' AS topic, CAST(o_orderkey % 4 AS INT) AS partition, o_orderkey AS [OFFSET],
+               o_orderdate + INTERVAL '5' MINUTE AS timestamp,
+               '{{"event_id":"p-' || CAST(o_orderkey AS STRING) || '","event_type":"payment","payment_id":' ||
+               CAST(o_orderkey AS STRING) || ',"order_id":' || CAST(o_orderkey AS STRING) || ',"transaction_id":"tx-' ||
+               CAST(o_orderkey AS STRING) || '","amount":' || CAST({_TOTAL} AS STRING) || ',"currency":"EUR","payment_method":"card",' ||
+               CASE WHEN o_orderstatus = 'P' THEN '"status":"DECLINED","decline_reason":"limit",' ELSE '"status":"CAPTURED",' END ||
+               '"timestamp":' || CAST(1500000000000 + o_orderkey * 1000 AS STRING) || '}}' AS value
+        FROM [orders]""",
+    "change_messages": """
+        SELECT 'cdc.users' AS topic, CAST(user_id % 4 AS INT) AS partition, event_id AS [OFFSET], ts AS timestamp,
+               CASE event_type
+                 WHEN 'error' THEN '{"before":{"user_id":' || CAST(user_id AS STRING) || '},"after":null,"op":"d","ts_ms":' ||
+                                   CAST(event_id AS STRING) || '}'
+                 ELSE '{"before":null,"after":{"user_id":' || CAST(user_id AS STRING) || ',"state":"' || event_type ||
+                      '","value":' || CAST(CAST(value AS DECIMAL(12,2)) AS STRING) || '},"op":"' ||
+                      CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' ELSE 'u' END || '","ts_ms":' ||
+                      CAST(event_id AS STRING) || '}' END AS value
+        FROM [events]""",
+    "pipeline_runs": """
+        SELECT 'run-' || CAST(event_id AS STRING) AS run_id, 'dag_' || event_type AS dag_id, 'task' AS task_id,
+               'source_' || CAST(user_id % 5 AS STRING) AS source,
+               CASE user_id % 3 WHEN 0 THEN 'ingestion' WHEN 1 THEN 'transformation' ELSE 'marts' END AS layer,
+               CASE WHEN event_type = 'error' THEN 'failed' WHEN event_id % 17 = 0 THEN 'running' ELSE 'success' END AS status,
+               ts AS started_at,
+               CASE WHEN event_id % 17 = 0 THEN NULL ELSE ts + INTERVAL '90' SECOND END AS finished_at,
+               CASE WHEN event_id % 17 = 0 THEN NULL ELSE event_id % 1000 END AS rows_in,
+               CASE WHEN event_id % 17 = 0 THEN NULL ELSE event_id % 900 END AS rows_out,
+               CAST(event_id % 3 AS BIGINT) AS rows_quarantined,
+               CASE WHEN event_type = 'error' THEN 'failed at ' || CAST(event_id AS STRING) ELSE NULL END AS error_message,
+               props AS payload
         FROM [events]""",
     "order_items_nested": """
         SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_partkey AS product_id,
@@ -195,13 +250,13 @@ FEEDS: dict[str, str] = {
         SELECT event_id, 'https://shop.example/' || event_type AS landing_page,
                CASE event_id % 4 WHEN 0 THEN 'buy phone' WHEN 1 THEN 'brand store' WHEN 2 THEN 'how to choose tv'
                     ELSE 'tablet review' END AS keyword,
-               CAST(value AS INT) % 6 + 1 AS pages_viewed, event_type = 'purchase' AS conversion,
+               CAST(floor(value) AS INT) % 6 + 1 AS pages_viewed, event_type = 'purchase' AS conversion,
                CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(12,2)) ELSE NULL END AS revenue
         FROM [events]""",
 }
 
-_SPARK = {"TS": "TIMESTAMP_NTZ", "SNAPS": "explode(array(0, 1))"}
-_ANSI = {"TS": "TIMESTAMP", "SNAPS": "unnest([0, 1])", **{t: t for t in TABLES}}
+_SPARK = {"TS": "TIMESTAMP_NTZ", "SNAPS": "explode(array(0, 1))", "OFFSET": "offset"}
+_ANSI = {"TS": "TIMESTAMP", "SNAPS": "unnest([0, 1])", "OFFSET": '"offset"', **{t: t for t in TABLES}}
 
 
 def _fill(text: str, names: dict[str, str]) -> str:
@@ -215,6 +270,15 @@ def feed(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.sql(_fill(FEEDS[name], {**_SPARK, **files}))
 
 
+def feed_over(table: DataFrame, name: str, source: str) -> DataFrame:
+    """A feed over an already opened table, which may be a stream."""
+    view = f"{source}_{uuid.uuid4().hex}"
+    table.createOrReplaceTempView(view)
+    rows = table.sparkSession.sql(_fill(FEEDS[name], {**_SPARK, source: view}))
+    table.sparkSession.catalog.dropTempView(view)
+    return rows
+
+
 def feed_sql(name: str) -> str:
     """The same projection as text over views named like the tables."""
     return _fill(FEEDS[name], _ANSI)
