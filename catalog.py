@@ -22,7 +22,7 @@ from millrace.operators.keys import hub_rows, link_rows
 from millrace.operators.latest import latest_by
 from millrace.operators.merge import incremental_refresh, insert_absent, upsert
 from millrace.operators.pit import build_pit
-from millrace.operators.scd2 import (SatSpec, build_satellite, close_and_insert, close_timeline, first_versions,
+from millrace.operators.scd2 import (SatSpec, build_satellite, close_and_insert, end_date_only, first_versions,
                                      load_satellite, lossless_timeline, new_versions)
 from millrace.operators.union import union_all
 from millrace.plans import dashboards, finance, marketplace, serving
@@ -117,8 +117,7 @@ on_warehouse("sat_first_load", lambda w: build_satellite(_batch(w, 1), STATE))
 on_warehouse("sat_late_delta", lambda w: new_versions(_batch(w, 2), _first_load(w), STATE))
 on_warehouse("sat_merge_detector", lambda w: new_versions(_batch(w, 2), _first_load(w), STATE, dedupe=False))
 on_warehouse("sat_after_late_load", lambda w: load_satellite(_first_load(w), _batch(w, 2), STATE))
-on_warehouse("sat_end_dated", lambda w: close_timeline(
-    first_versions(w.raw("user_state_log"), STATE), ties=("hashdiff",)))
+on_warehouse("sat_end_dated", lambda w: end_date_only(first_versions(w.raw("user_state_log"), STATE)))
 on_warehouse("sat_lossless", lambda w: lossless_timeline(w.raw("user_state_log").drop("batch"), STATE))
 on_warehouse("sat_order_history", lambda w: build_satellite(
     orders_shape(w.raw("oltp_orders")), SatSpec(

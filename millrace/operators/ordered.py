@@ -10,12 +10,14 @@ is carried over from a small summary. Results are the same either way.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .union import union_all
+
 LARGE_GROUP_ROWS = 5_000_000
 BROADCAST_KEYS = 200_000
 
@@ -28,7 +30,7 @@ class Series:
     """Rows of one key in time order.
 
     ``time`` drives the slices and leads the order; ``ties`` complete it to a total order.
-    ``group_bound`` is a proven upper bound on rows per key and saves the measuring pass.
+    ``large_keys`` is filled in by :meth:`measured`.
     """
 
     keys: tuple[str, ...]
@@ -36,7 +38,8 @@ class Series:
     ties: tuple[str, ...] = ()
     grain: str = "hour"
     large_group: int = LARGE_GROUP_ROWS
-    group_bound: int | None = None
+    is_measured: bool = False
+    large_keys: DataFrame | None = None
 
     @property
     def order(self) -> list[Column]:
@@ -45,26 +48,37 @@ class Series:
     def position(self) -> Column:
         return F.struct(self.time, *self.ties)
 
-
-def _large_keys(df: DataFrame, series: Series) -> tuple[DataFrame | None, int]:
-    """Keys with more rows than the limit and their number; None when there is none."""
-    if series.group_bound is not None and series.group_bound <= series.large_group:
-        return None, 0
-    sizes = df.groupBy(*series.keys).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.filter(F.col("_rows") > series.large_group).select(*series.keys)
-    count = large.count()
-    return (large, count) if count else (None, 0)
+    def ordered_by(self, time: str, ties: tuple[str, ...]) -> Series:
+        return replace(self, time=time, ties=ties)
+
+    def measured(self, *frames: DataFrame) -> Series:
+        """Finds the keys with more rows than ``large_group`` over all ``frames``.
+
+        Reads the key columns only and counts before it shuffles. Measure the inputs of a
+        chain once and hand the result down: later steps can only drop rows. There are at
+        most rows / ``large_group`` large keys; up to ``BROADCAST_KEYS`` of them are sent to
+        every task, more than that are joined by a shuffle.
+        """
+        if self.is_measured:
+            return self
+        keys = union_all([f.select(*self.keys) for f in frames])
+        sizes = keys.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_rows"))
+        large = sizes.filter(F.col("_rows") > self.large_group).select(*self.keys)
+        found = large.limit(BROADCAST_KEYS + 1).collect()
+        if not found:
+            return replace(self, is_measured=True)
+        if len(found) <= BROADCAST_KEYS:
+            large = F.broadcast(keys.sparkSession.createDataFrame(found, large.schema))
+        return replace(self, is_measured=True, large_keys=large)
 
 
 def _sliced(df: DataFrame, series: Series) -> DataFrame | None:
     """``df`` with a slice column: NULL for small keys, the calendar slice for large ones."""
-    large, count = _large_keys(df, series)
+    large = series.measured(df).large_keys
     if large is None:
         return None
-    marked = large.withColumn("_large", F.lit(True))
-    if count <= BROADCAST_KEYS:
-        marked = F.broadcast(marked)
-    on = [df[k].eqNullSafe(marked[k]) for k in series.keys]
+    marked = large.select(*[F.col(k).alias(f"_l_{k}") for k in series.keys], F.lit(True).alias("_large"))
+    on = [df[k].eqNullSafe(marked[f"_l_{k}"]) for k in series.keys]
     joined = df.join(marked, on, "left").select(df["*"], marked["_large"])
     return joined.withColumn(
         _SLICE, F.when(F.col("_large"), F.date_trunc(series.grain, F.col(series.time)))).drop("_large")

@@ -14,7 +14,7 @@ from millrace.session import build_session  # noqa: E402
 
 
 def main(directory: str, names: list[str]) -> int:
-    spark = build_session("parity", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+    spark = build_session("parity", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                                                   "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, statements, bad = connect(directory), oracle_sql(), 0
