@@ -23,6 +23,11 @@ def rows_without_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -
     return left.join(renamed, on, "left_anti")
 
 
+def rows_with_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    renamed, on = _aligned(left, right.select(*keys), keys)
+    return left.join(renamed, on, "left_semi")
+
+
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str],
            update: Sequence[str] | None = None) -> DataFrame:
     """Updates matching rows and inserts the others.

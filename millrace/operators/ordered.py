@@ -2,20 +2,23 @@
 
 A window over ``partitionBy(key)`` puts one key into one task. The functions here
 measure the largest group first. While every group is small they plan exactly that
-window. Otherwise the large keys are cut into calendar slices, the window runs per
-(key, slice), and only what crosses a slice border (one row per large key and slice)
-is carried over from a small summary. Results are the same either way.
+window. Otherwise rows of the large keys take a path of their own: they are cut into
+calendar slices and written once, the window runs per (key, slice), and what crosses a
+slice border (one row per large key and slice) is carried over from a small summary.
+Results are the same either way.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import written
+from .merge import rows_with_match, rows_without_match
 from .union import union_all
 
 LARGE_GROUP_ROWS = 5_000_000
@@ -72,88 +75,92 @@ class Series:
         return replace(self, is_measured=True, large_keys=large)
 
 
-def _sliced(df: DataFrame, series: Series) -> DataFrame | None:
-    """``df`` with a slice column: NULL for small keys, the calendar slice for large ones."""
+Step = Callable[[DataFrame], DataFrame]
+
+
+def _by_size(df: DataFrame, series: Series, plain: Step, sliced: Step) -> DataFrame:
+    """``plain`` for rows of ordinary keys, ``sliced`` for those of large keys."""
     large = series.measured(df).large_keys
     if large is None:
-        return None
-    marked = large.select(*[F.col(k).alias(f"_l_{k}") for k in series.keys], F.lit(True).alias("_large"))
-    on = [df[k].eqNullSafe(marked[f"_l_{k}"]) for k in series.keys]
-    joined = df.join(marked, on, "left").select(df["*"], marked["_large"])
-    return joined.withColumn(
-        _SLICE, F.when(F.col("_large"), F.date_trunc(series.grain, F.col(series.time)))).drop("_large")
+        return plain(df)
+    keys = list(series.keys)
+    cut = rows_with_match(df, large, keys).withColumn(_SLICE, F.date_trunc(series.grain, F.col(series.time)))
+    return plain(rows_without_match(df, large, keys)).unionByName(sliced(written(cut, "slices")))
 
 
 def _with_carry(local: DataFrame, summary: DataFrame, series: Series) -> DataFrame:
     """Joins the per-slice carry back; the summary has one row per large key and slice."""
-    renamed = summary.select(*[F.col(k).alias(f"_s_{k}") for k in (*series.keys, _SLICE)], _CARRY)
-    on = [local[k].eqNullSafe(renamed[f"_s_{k}"]) for k in series.keys]
-    on.append(local[_SLICE] == renamed[f"_s_{_SLICE}"])
-    return local.join(renamed, on, "left").drop(*[f"_s_{k}" for k in (*series.keys, _SLICE)])
+    names = (*series.keys, _SLICE)
+    renamed = summary.select(*[F.col(k).alias(f"_s_{k}") for k in names], _CARRY)
+    on = [local[k].eqNullSafe(renamed[f"_s_{k}"]) for k in names]
+    return local.join(renamed, on, "left").drop(*[f"_s_{k}" for k in names])
 
 
 def with_neighbours(df: DataFrame, series: Series, *, previous: Mapping[str, str] | None = None,
                     following: Mapping[str, str] | None = None) -> DataFrame:
     """Adds columns of the previous and the next row of the same key (new name -> column)."""
     previous, following = dict(previous or {}), dict(following or {})
-    sliced = _sliced(df, series)
     keys = list(series.keys)
-    if sliced is None:
-        window = W.partitionBy(*keys).orderBy(*series.order)
-        added = {n: F.lag(c).over(window) for n, c in previous.items()}
-        added |= {n: F.lead(c).over(window) for n, c in following.items()}
-        return df.withColumns(added)
-
-    window = W.partitionBy(*keys, _SLICE).orderBy(*series.order)
-    marks = {"_first": F.lag(F.lit(1)).over(window).isNull(), "_last": F.lead(F.lit(1)).over(window).isNull()}
-    added = {n: F.lag(c).over(window) for n, c in previous.items()}
-    added |= {n: F.lead(c).over(window) for n, c in following.items()}
-    local = sliced.withColumns({**added, **marks})
-
-    head = F.struct(F.lit(1).alias("_set"), *[F.col(c).alias(n) for n, c in following.items()])
-    tail = F.struct(F.lit(1).alias("_set"), *[F.col(c).alias(n) for n, c in previous.items()])
-    edges = sliced.filter(F.col(_SLICE).isNotNull()).groupBy(*keys, _SLICE).agg(
-        F.min_by(head, series.position()).alias("_head"), F.max_by(tail, series.position()).alias("_tail"))
-    across = W.partitionBy(*keys).orderBy(_SLICE)
-    summary = edges.select(*keys, _SLICE, F.struct(
-        F.lag("_tail").over(across).alias("before"), F.lead("_head").over(across).alias("after")).alias(_CARRY))
-
-    joined = _with_carry(local, summary, series)
-    resolved = {n: F.when(F.col("_first"), F.col(f"{_CARRY}.before.{n}")).otherwise(F.col(n)) for n in previous}
-    resolved |= {n: F.when(F.col("_last"), F.col(f"{_CARRY}.after.{n}")).otherwise(F.col(n)) for n in following}
-    return joined.withColumns(resolved).drop("_first", "_last", _CARRY, _SLICE)
+
+    def added(*by: str) -> dict[str, Column]:
+        window = W.partitionBy(*by).orderBy(*series.order)
+        return {**{n: F.lag(c).over(window) for n, c in previous.items()},
+                **{n: F.lead(c).over(window) for n, c in following.items()}}
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumns(added(*keys))
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        window = W.partitionBy(*keys, _SLICE).orderBy(*series.order)
+        local = rows.withColumns({
+            **added(*keys, _SLICE), "_first": F.lag(F.lit(1)).over(window).isNull(),
+            "_last": F.lead(F.lit(1)).over(window).isNull()})
+        head = F.struct(F.lit(1).alias("_set"), *[F.col(c).alias(n) for n, c in following.items()])
+        tail = F.struct(F.lit(1).alias("_set"), *[F.col(c).alias(n) for n, c in previous.items()])
+        edges = rows.groupBy(*keys, _SLICE).agg(
+            F.min_by(head, series.position()).alias("_head"), F.max_by(tail, series.position()).alias("_tail"))
+        across = W.partitionBy(*keys).orderBy(_SLICE)
+        summary = edges.select(*keys, _SLICE, F.struct(
+            F.lag("_tail").over(across).alias("before"), F.lead("_head").over(across).alias("after")).alias(_CARRY))
+        resolved = {n: F.when(F.col("_first"), F.col(f"{_CARRY}.before.{n}")).otherwise(F.col(n)) for n in previous}
+        resolved |= {n: F.when(F.col("_last"), F.col(f"{_CARRY}.after.{n}")).otherwise(F.col(n)) for n in following}
+        return _with_carry(local, summary, series).withColumns(resolved).drop("_first", "_last", _CARRY, _SLICE)
+
+    return _by_size(df, series, plain, sliced)
 
 
 def with_last_known(df: DataFrame, series: Series, name: str, value: str) -> DataFrame:
     """Adds the last non-NULL ``value`` of the same key up to and including the current row."""
-    sliced = _sliced(df, series)
     keys = list(series.keys)
-    if sliced is None:
-        window = W.partitionBy(*keys).orderBy(*series.order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return df.withColumn(name, F.last(value, ignorenulls=True).over(window))
 
-    window = W.partitionBy(*keys, _SLICE).orderBy(*series.order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = sliced.withColumn(name, F.last(value, ignorenulls=True).over(window))
-    known = sliced.filter(F.col(_SLICE).isNotNull()).groupBy(*keys, _SLICE).agg(
-        F.max_by(F.col(value), F.when(F.col(value).isNotNull(), series.position())).alias("_known"))
-    earlier = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    summary = known.select(*keys, _SLICE, F.last("_known", ignorenulls=True).over(earlier).alias(_CARRY))
-    joined = _with_carry(local, summary, series)
-    return joined.withColumn(name, F.coalesce(F.col(name), F.col(_CARRY))).drop(_CARRY, _SLICE)
+    def known(*by: str) -> Column:
+        window = W.partitionBy(*by).orderBy(*series.order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return F.last(value, ignorenulls=True).over(window)
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        newest = rows.groupBy(*keys, _SLICE).agg(
+            F.max_by(F.col(value), F.when(F.col(value).isNotNull(), series.position())).alias("_known"))
+        earlier = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+        summary = newest.select(*keys, _SLICE, F.last("_known", ignorenulls=True).over(earlier).alias(_CARRY))
+        joined = _with_carry(rows.withColumn(name, known(*keys, _SLICE)), summary, series)
+        return joined.withColumn(name, F.coalesce(F.col(name), F.col(_CARRY))).drop(_CARRY, _SLICE)
+
+    return _by_size(df, series, lambda rows: rows.withColumn(name, known(*keys)), sliced)
 
 
 def with_running_max(df: DataFrame, series: Series, name: str, value: str) -> DataFrame:
     """Adds the maximum of ``value`` over all earlier rows of the same key."""
-    sliced = _sliced(df, series)
     keys = list(series.keys)
-    if sliced is None:
-        window = W.partitionBy(*keys).orderBy(*series.order).rowsBetween(W.unboundedPreceding, -1)
-        return df.withColumn(name, F.max(value).over(window))
-
-    window = W.partitionBy(*keys, _SLICE).orderBy(*series.order).rowsBetween(W.unboundedPreceding, -1)
-    local = sliced.withColumn(name, F.max(value).over(window))
-    peaks = sliced.filter(F.col(_SLICE).isNotNull()).groupBy(*keys, _SLICE).agg(F.max(value).alias("_peak"))
-    earlier = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-    summary = peaks.select(*keys, _SLICE, F.max("_peak").over(earlier).alias(_CARRY))
-    joined = _with_carry(local, summary, series)
-    return joined.withColumn(name, F.greatest(F.col(name), F.col(_CARRY))).drop(_CARRY, _SLICE)
+
+    def peak(*by: str) -> Column:
+        window = W.partitionBy(*by).orderBy(*series.order).rowsBetween(W.unboundedPreceding, -1)
+        return F.max(value).over(window)
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        peaks = rows.groupBy(*keys, _SLICE).agg(F.max(value).alias("_peak"))
+        earlier = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+        summary = peaks.select(*keys, _SLICE, F.max("_peak").over(earlier).alias(_CARRY))
+        joined = _with_carry(rows.withColumn(name, peak(*keys, _SLICE)), summary, series)
+        return joined.withColumn(name, F.greatest(F.col(name), F.col(_CARRY))).drop(_CARRY, _SLICE)
+
+    return _by_size(df, series, lambda rows: rows.withColumn(name, peak(*keys)), sliced)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,3 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="millrace-")
     return _own_dirs[app]
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and safe from lost executors."""
+    path = f"{shared_dir(df.sparkSession)}/{label}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
