@@ -34,6 +34,7 @@ from millrace.quality import invariants
 from millrace.quality.checks import CheckSpec, duplicates, evaluate, failing_rows, wrong_current
 from millrace.quality.freshness import (EXTENSION, KAFKA, OLTP, Freshness, freshness, layer_counts, offenders)
 from millrace.session import apply_defaults
+from millrace.sources import files
 from millrace.sources.extract import SOURCES, Cursor, extract_page
 from millrace.sources.feeds import feed_over, sample
 from millrace.sources.store import KeyedTable
@@ -109,6 +110,11 @@ def _warehouse_query(name: str) -> Callable[[Callable[[Warehouse], DataFrame]],
     return register
 
 
+def _work_dir(w: Warehouse, name: str) -> str:
+    """A folder of its own per run, so that a repeated query starts from nothing."""
+    return f"{w.root}/streams/{name}-{uuid.uuid4().hex}"
+
+
 def on_warehouse(name: str, f: Callable[[Warehouse], DataFrame]) -> None:
     _warehouse_query(name)(f)
 
@@ -325,6 +331,36 @@ on_warehouse("contract_payments", lambda w: split(payment_rows(w.raw("payment_me
 on_warehouse("contract_clean_orders", lambda w: split(w.frame("clean_orders"), CLEAN_ORDER)[0])
 on_warehouse("ingest_slice", lambda w: ingest_slice(w.raw("oltp_orders"), datetime(1999, 1, 1), datetime(2000, 1, 1)))
 
+LANDED_ROW = ("event_id string, event_type string, payment_id bigint, order_id bigint, transaction_id string, "
+              "amount decimal(14,2), currency string, payment_method string, status string, decline_reason string, "
+              "timestamp bigint")
+
+
+@_warehouse_query("landing_payments")
+def _landing_payments(w: Warehouse) -> DataFrame:
+    """Payment events written as JSON lines, discovered, read with bad lines set apart, stamped with an id."""
+    folder = _work_dir(w, "landing-payments")
+    messages = w.raw("payment_messages").select(
+        F.when(F.col("value").contains("DECLINED"), F.concat(F.lit("broken "), "value")).otherwise(F.col("value")))
+    messages.write.text(f"{folder}/payments.jsonl")
+    manifest = w.spark.createDataFrame([], files.MANIFEST_SCHEMA)
+    found = files.discover(files.list_files(w.spark, folder), manifest, max_files=200)
+    paths = [r[0] for r in found.collect()]
+    lines = files.with_row_identity(files.read_jsonl(w.spark, paths, LANDED_ROW))
+    good, _ = files.split_bad_lines(lines)
+    return good.select("event_id", "payment_id", "order_id", "amount", "currency", "status",
+                       F.timestamp_millis("timestamp").cast("timestamp_ntz").alias("event_ts"))
+
+
+@_warehouse_query("landing_catalog")
+def _landing_catalog(w: Warehouse) -> DataFrame:
+    """Catalog rows through a CSV file: header, every column text."""
+    folder = _work_dir(w, "landing-catalog")
+    rows = w.raw("oltp_products").select("product_id", "seller_id", "product_name", "category", "price", "is_active")
+    rows.write.option("header", True).csv(folder)
+    return files.read_csv(w.spark, folder).drop(files.SOURCE)
+
+
 # --- change streams -----------------------------------------------------------------------
 
 USER_ROW = "user_id bigint, state string, value decimal(12,2)"
@@ -337,11 +373,6 @@ def _events_stream(w: Warehouse) -> DataFrame:
     return file_stream(w.spark, w.directory, "events.parquet", schema)
 
 
-def _work_dir(w: Warehouse, name: str) -> str:
-    """A folder of its own per run, so that a repeated query starts from nothing."""
-    return f"{w.root}/streams/{name}-{uuid.uuid4().hex}"
-
-
 @_warehouse_query("stream_changes_applied")
 def _stream_changes(w: Warehouse) -> DataFrame:
     """The change log as a stream, merged batch by batch into a keyed table."""
@@ -486,10 +517,10 @@ on_warehouse("runs_finished", lambda w: runs.finish(
 
 on_warehouse("campaign_ratios", lambda w: marketplace.campaign_ratios(w.raw("campaign_performance")))
 on_warehouse("keyword_rank_changes", lambda w: marketplace.rank_changes(w.raw("keyword_ranks")))
-on_warehouse("web_vitals_p95_exact", lambda w: marketplace.web_vitals_p95(w.raw("web_vitals"), exact=True))
+on_warehouse("web_vitals_p95_exact", lambda w: marketplace.web_vitals_p95_exact(w.raw("web_vitals")))
 on_warehouse("web_vitals_p95", lambda w: marketplace.web_vitals_p95(w.raw("web_vitals")))
 on_warehouse("orders_by_country", lambda w: marketplace.orders_by_country(w.frame("clean_order_events")))
-on_warehouse("order_item_totals", lambda w: marketplace.item_totals(marketplace.nested_orders(
+on_warehouse("order_item_totals", lambda w: marketplace.item_totals(marketplace.order_events(
     w.table("stg_orders").select(F.col("order_bk").cast("long").alias("order_id"), "total_amount"),
     w.raw("order_items_nested"))))
 on_warehouse("session_rates", lambda w: marketplace.session_rates(w.raw("organic_sessions")))

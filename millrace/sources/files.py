@@ -6,23 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BAD_LINE = "_bad_line"
+SOURCE = "source_file"
 MANIFEST_SCHEMA = ("file_path string, size_bytes bigint, status string, rows_loaded bigint, error string, "
                    "discovered_at timestamp, loaded_at timestamp")
 
 
+def _sourced(df: DataFrame) -> DataFrame:
+    return df.select("*", F.col("_metadata.file_path").alias(SOURCE))
+
+
 def read_jsonl(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
     """Blank lines vanish; a line that does not parse keeps its text in ``_bad_line``."""
-    return spark.read.schema(f"{schema}, {BAD_LINE} string").option("mode", "PERMISSIVE").option(
-        "columnNameOfCorruptRecord", BAD_LINE).json(paths)
+    lines = _sourced(spark.read.text(paths)).filter(F.trim("value") != "")
+    row = F.from_json("value", f"{schema}, {BAD_LINE} string", {"columnNameOfCorruptRecord": BAD_LINE})
+    return lines.select(SOURCE, F.explode(F.array(row)).alias("_row")).select("_row.*", SOURCE)
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], schema: str | None = None) -> DataFrame:
     """Header line, every column text."""
-    return spark.read.option("header", True).csv(paths)
+    return _sourced(spark.read.option("header", True).csv(paths))
 
 
 def read_parquet(spark: SparkSession, paths: str | list[str], schema: str | None = None) -> DataFrame:
-    return spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    return _sourced(spark.read.parquet(*([paths] if isinstance(paths, str) else paths)))
 
 
 READERS = {"jsonl": read_jsonl, "csv": read_csv, "parquet": read_parquet}
@@ -59,9 +65,9 @@ def discover(listing: DataFrame, manifest: DataFrame, max_files: int, retry_quar
 
 
 def with_row_identity(df: DataFrame) -> DataFrame:
-    """Source path and content hash of each row, both independent of read order."""
-    return df.select("*", F.col("_metadata.file_path").alias("source_file")).withColumn(
-        "line_hash", F.sha2(F.to_json(F.struct(*[c for c in df.columns if c != BAD_LINE])), 256))
+    """Content hash of each row; with the source path it is an id that no read order changes."""
+    content = [c for c in df.columns if c not in (BAD_LINE, SOURCE)]
+    return df.withColumn("line_hash", F.sha2(F.to_json(F.struct(*content)), 256))
 
 
 def write_dated(df: DataFrame, path: str, date_column: str, file_format: str = "parquet") -> None:

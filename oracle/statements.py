@@ -241,6 +241,9 @@ add("contract_payments", """
     WHERE status NOT IN ('authorized', 'captured', 'declined', 'refunded')""")
 add("contract_clean_orders", "SELECT * FROM clean_orders WHERE total_amount > 0")
 add("ingest_slice", "SELECT * FROM raw_oltp_orders WHERE ingested_at BETWEEN TIMESTAMP '1999-01-01' AND TIMESTAMP '2000-01-01'")
+add("landing_payments", "SELECT event_id, payment_id, order_id, amount, currency, status, event_ts FROM parsed_payments WHERE status <> 'DECLINED'")
+add("landing_catalog", "SELECT CAST(product_id AS VARCHAR) AS product_id, CAST(seller_id AS VARCHAR) AS seller_id, product_name, category, "
+    "CAST(price AS VARCHAR) AS price, CAST(is_active AS VARCHAR) AS is_active FROM raw_oltp_products")
 _STATE = """
     SELECT user_id, state, CAST(value AS DECIMAL(12,2)) AS value
     FROM (SELECT user_id, event_type AS state, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
@@ -410,7 +413,7 @@ add("keyword_rank_changes", """
            WHEN position <= 20 THEN 'top_20' WHEN position <= 50 THEN 'top_50' ELSE 'beyond' END AS bucket
     FROM (SELECT *, lag(position) OVER (PARTITION BY keyword_id ORDER BY rank_date) AS previous_position FROM raw_keyword_ranks) AS r""")
 add("web_vitals_p95_exact", "SELECT date_trunc('hour', metric_ts) AS hour, count(*) AS samples, " + ", ".join(
-    f"quantile_cont({c}, 0.95) AS {c}_p95" for c in ("lcp", "fid", "cls")) + " FROM raw_web_vitals GROUP BY 1")
+    f"round(quantile_cont({c}, 0.95), 6) AS {c}_p95" for c in ("lcp", "fid", "cls")) + " FROM raw_web_vitals GROUP BY 1")
 add("orders_by_country", "SELECT country_code, count(*) AS orders FROM clean_order_events GROUP BY 1")
 add("order_item_totals", """
     SELECT o.order_id, o.total_amount, count(*) AS item_count, CAST(sum(CAST(quantity * unit_price AS DECIMAL(18,2))) AS DECIMAL(24,2)) AS items_total,

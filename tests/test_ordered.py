@@ -47,14 +47,13 @@ def run(df, large_group):
     return {r["id"]: (r["p"], r["n"], r["k"], r["m"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("large_group", [3, 60, 10_000])
+@pytest.mark.parametrize("seed, large_group", [(1, 3), (2, 60), (2, 10_000)])
 def test_slices_equal_brute_force(spark, seed, large_group):
     data = skewed(seed)
     assert run(make(spark, data), large_group) == expected(data)
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=3, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.integers(0, 600),
                           st.one_of(st.none(), st.integers(0, 9))), min_size=1, max_size=30))
 def test_slices_equal_brute_force_property(spark, drawn):
