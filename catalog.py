@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from millrace.operators.contracts import CLEAN_ORDER, ORDER_EVENT, PAYMENT_EVENT
 from millrace.operators.keys import hub_rows, link_rows
 from millrace.operators.latest import latest_by
 from millrace.operators.merge import incremental_refresh, insert_absent, upsert
-from millrace.operators.pit import build_pit
+from millrace.operators.pit import build_pit, refresh_pit
 from millrace.operators.scd2 import (SatSpec, build_satellite, close_and_insert, end_date_only, first_versions,
                                      load_satellite, lossless_timeline, new_versions)
 from millrace.operators.union import union_all
@@ -163,6 +163,17 @@ on_warehouse("link_increment", lambda w: link_rows(
 on_warehouse("pit_user_state", lambda w: build_pit(
     _second_load(w).select("hub_key").distinct(), [("state", _second_load(w)), ("first", _first_load(w))],
     EVENTS_NOW.date(), 30))
+
+
+@_warehouse_query("pit_increment")
+def _pit_increment(w: Warehouse) -> DataFrame:
+    """A table that ends six days earlier and does not know every user, brought up to date."""
+    users = _second_load(w).select("hub_key").distinct()
+    versions = [("state", _second_load(w))]
+    existing = build_pit(users.filter(F.col("hub_key") < "5"), versions, date(2024, 1, 25), 24)
+    return refresh_pit(existing, users, versions, EVENTS_NOW.date(), 30)
+
+
 on_warehouse("bridge_generic", lambda w: build_bridge(
     w.table("link_order_payment"), {"order": w.table("hub_orders"), "payment": w.table("hub_payments")}))
 

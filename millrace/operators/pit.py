@@ -15,6 +15,8 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .merge import replace_by_key
+
 POINTERS = ("load_dts", "hashdiff", "effective_from")
 
 
@@ -74,3 +76,16 @@ def build_pit(hub: DataFrame, satellites: Sequence[tuple[str, DataFrame]], as_of
         rows = rows.withColumn(f"_p_{alias}", F.get(valid, F.lit(0)))
         out += [F.col(f"_p_{alias}.{p}").alias(f"{alias}_{p}") for p in POINTERS]
     return rows.select(*out)
+
+
+def refresh_pit(existing: DataFrame, hub: DataFrame, satellites: Sequence[tuple[str, DataFrame]], as_of: date,
+                days: int, lookback: int = 7) -> DataFrame:
+    """Existing table with the last ``lookback`` days recomputed, and all days of hubs that are new."""
+    newest = existing.agg(F.max("as_of_date")).first()[0]
+    if newest is None:
+        return build_pit(hub, satellites, as_of, days)
+    seen = existing.select("hub_key").distinct()
+    recent = min(days, (as_of - newest).days + lookback)
+    fresh = build_pit(hub.join(seen, "hub_key", "left_semi"), satellites, as_of, recent).unionByName(
+        build_pit(hub.join(seen, "hub_key", "left_anti"), satellites, as_of, days))
+    return replace_by_key(existing, fresh, ["hub_key", "as_of_date"])

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RATE_SCHEMA = "rate_date date, currency string, rate_to_rub double"
 
 
+def rate_table(spark: SparkSession, rates: Iterable[tuple[date, str, float]]) -> DataFrame:
+    """Rates fetched elsewhere, one per day and currency."""
+    return spark.createDataFrame(list(rates), RATE_SCHEMA)
+
+
 def in_window(df: DataFrame, start: date, end: date) -> DataFrame:
     return df.filter(F.col("order_date").between(F.lit(start), F.lit(end)))
 

@@ -101,6 +101,8 @@ _SPINE = ("(SELECT hub_key, CAST(unnest(generate_series(DATE '2024-01-01', DATE
           "FROM (SELECT DISTINCT hub_key FROM state_2) AS h) AS d ")
 add("pit_user_state", "SELECT d.hub_key, d.as_of_date, state_load_dts, state_hashdiff, state_effective_from, first_load_dts, "
     f"first_hashdiff, first_effective_from FROM {_SPINE}{_pointers('state_2', 'state', _EOD)}{_pointers('state_1', 'first', _EOD)}")
+add("pit_increment", "SELECT d.hub_key, d.as_of_date, state_load_dts, state_hashdiff, state_effective_from "
+    f"FROM {_SPINE}{_pointers('state_2', 'state', _EOD)}")
 add("bridge_generic", f"""
     SELECT {h('l.link_key', 'l.order_hub_key', 'l.payment_hub_key')} AS bridge_key, l.link_key, l.order_hub_key, l.payment_hub_key,
            l.load_dts, l.record_source

@@ -14,11 +14,13 @@ from millrace.functions.text import email_is_valid, identifier_token
 from millrace.meta import watermarks
 from millrace.ml.order_value import TrainingSpec, save, train
 from millrace.operators.contracts import Contract, split, with_violations
+from millrace.plans import finance
 from millrace.plans.business import payments_per_order
 from millrace.plans.marketplace import rank_bucket, web_vitals_p95, web_vitals_p95_exact
 from millrace.plans.marts import mart_cohort_retention
 from millrace.plans.serving import agg_daily_sales
 from millrace.quality.checks import CheckSpec, evaluate, execute_checks
+from millrace.session import shared_dir
 from millrace.sources import files, layers
 from millrace.sources.extract import SOURCES, Cursor, extract_all, extract_page, next_cursor
 from millrace.sources.jdbc import first_readable
@@ -259,3 +261,28 @@ def test_training_needs_rows_and_saves(spark, tmp_path):
     model, metrics = train(df, NOW, TrainingSpec(max_iter=2, max_depth=2))
     assert np.isfinite(list(metrics.first().asDict().values())).all()
     save(model, str(tmp_path / "model"))
+
+
+def test_rates_default_to_one(spark):
+    daily = spark.createDataFrame([(date(2024, 1, 1), "USD", Decimal(2)), (date(2024, 1, 2), "USD", Decimal(2))],
+                                  "order_date date, currency string, gross_sales decimal(24,2)")
+    rates = finance.rate_table(spark, [(date(2024, 1, 1), "USD", 90.0)])
+    assert sorted(one(finance.with_rate(daily, rates).select("rate_to_rub"))) == [1.0, 90.0]
+
+
+def test_shared_folder_is_never_local_on_a_cluster(spark):
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default):
+            return self.value or default
+
+    class Fake:
+        def __init__(self, value, master):
+            self.conf = Conf(value)
+            self.sparkContext = type("C", (), {"master": master, "applicationId": "a"})()
+
+    assert shared_dir(Fake("hdfs://shared", "yarn")) == "hdfs://shared"
+    with pytest.raises(RuntimeError):
+        shared_dir(Fake(None, "yarn"))
