@@ -355,7 +355,7 @@ def _landing_payments(w: Warehouse) -> DataFrame:
         F.when(F.col("value").contains("DECLINED"), F.concat(F.lit("broken "), "value")).otherwise(F.col("value")))
     messages.write.text(f"{folder}/payments.jsonl")
     manifest = w.spark.createDataFrame([], files.MANIFEST_SCHEMA)
-    found = files.discover(files.list_files(w.spark, folder), manifest, max_files=200)
+    found = files.discover(files.list_files(w.spark, folder), manifest, max_files=None)
     paths = [r[0] for r in found.collect()]
     lines = files.with_row_identity(files.read_jsonl(w.spark, paths, LANDED_ROW))
     good, _ = files.split_bad_lines(lines)
@@ -379,17 +379,17 @@ on_warehouse("changes_applied", lambda w: live_rows(
     change_state(w.raw("change_messages"), USER_ROW, ["user_id"])))
 
 
-def _events_stream(w: Warehouse) -> DataFrame:
-    schema = sample(w.spark, w.directory, "events").schema
-    return file_stream(w.spark, w.directory, "events.parquet", schema)
+def _events_stream(w: Warehouse, files_per_trigger: int | None = None) -> DataFrame:
+    path = f"{w.directory}/events.parquet"
+    return file_stream(w.spark, path, w.spark.read.parquet(path).schema, files_per_trigger)
 
 
 @_warehouse_query("stream_changes_applied")
 def _stream_changes(w: Warehouse) -> DataFrame:
     """The change log as a stream, merged batch by batch into a keyed table."""
     base = _work_dir(w, "changes")
-    table = KeyedTable(w.spark, f"{base}/table", f"{USER_ROW}, {CHANGE_STATE}", ["user_id"], buckets=8)
-    messages = feed_over(_events_stream(w), "change_messages", "events")
+    table = KeyedTable(w.spark, f"{base}/table", f"{USER_ROW}, {CHANGE_STATE}", ["user_id"], buckets=16)
+    messages = feed_over(_events_stream(w, 1000), "change_messages", "events")
     maintain_state(messages, table, USER_ROW, f"{base}/checkpoint")
     return live_rows(table.read())
 
@@ -399,8 +399,8 @@ def _stream_log(w: Warehouse) -> DataFrame:
     """Idempotent log ingestion: positions delivered twice are stored once."""
     base = _work_dir(w, "log")
     schema = "topic string, partition_id int, kafka_offset bigint, event_type string, payload string"
-    table = KeyedTable(w.spark, f"{base}/table", schema, ["topic", "partition_id", "kafka_offset"], buckets=8)
-    rows = feed_over(_events_stream(w), "kafka_extension_events", "events").select(
+    table = KeyedTable(w.spark, f"{base}/table", schema, ["topic", "partition_id", "kafka_offset"], buckets=16)
+    rows = feed_over(_events_stream(w, 1000), "kafka_extension_events", "events").select(
         "topic", "partition_id", "kafka_offset", "event_type", "payload")
     append_log(rows, table, f"{base}/checkpoint")
     return table.read()
@@ -412,7 +412,7 @@ def _stream_satellite(w: Warehouse) -> DataFrame:
     base = _work_dir(w, "satellite")
     rows = feed_over(_events_stream(w), "user_state_log", "events").drop("batch")
     schema = build_satellite(w.raw("user_state_log").drop("batch").limit(0), STATE).schema
-    table = KeyedTable(w.spark, f"{base}/table", schema, ["hub_key"], buckets=8)
+    table = KeyedTable(w.spark, f"{base}/table", schema, ["hub_key"], buckets=16)
     maintain_satellite(rows, table, STATE, f"{base}/checkpoint")
     return table.read()
 

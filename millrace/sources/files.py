@@ -53,15 +53,17 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
         F.col("modificationTime").alias("modified_at"))
 
 
-def discover(listing: DataFrame, manifest: DataFrame, max_files: int, retry_quarantined: bool = False) -> DataFrame:
-    """Files still to load, oldest path first.
+def discover(listing: DataFrame, manifest: DataFrame, max_files: int | None = 200,
+             retry_quarantined: bool = False) -> DataFrame:
+    """Files still to load, oldest path first, at most ``max_files`` in one run.
 
     Only finished files are skipped: one that an earlier run found but had no room for
     comes back, a quarantined one on request.
     """
     finished = ["loaded"] if retry_quarantined else ["loaded", "quarantined"]
     done = manifest.filter(F.col("status").isin(finished)).select("file_path")
-    return listing.join(done, "file_path", "left_anti").orderBy("file_path").limit(max_files)
+    waiting = listing.join(done, "file_path", "left_anti").orderBy("file_path")
+    return waiting if max_files is None else waiting.limit(max_files)
 
 
 def with_row_identity(df: DataFrame) -> DataFrame:

@@ -96,6 +96,12 @@ def load_topics(loaders: dict[str, Callable[[], int]], min_success: int = 1) ->
     return loaded, errors
 
 
-def file_stream(spark: SparkSession, folder: str, pattern: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option(
-        "maxFilesPerTrigger", files_per_trigger).parquet(folder)
+def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """A Parquet file or folder as a stream; without a limit all that is there makes one batch.
+
+    The path is given as a pattern, which the source accepts for a single file as well.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")

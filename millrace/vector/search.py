@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import written
+
 BLOCK_VALUES = 2_000_000
 
 
@@ -59,6 +61,7 @@ def top_k(corpus: DataFrame, queries: DataFrame, k: int, block_values: int = BLO
     Queries are read in id order, at most ``block_values`` numbers at a time, whatever
     their count; every block costs one pass over the corpus.
     """
+    queries = written(queries.select("query_id", "embedding"), "queries")
     shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("width")).first()
     per_block = max(1, block_values // max(1, shape["width"] or 1))
     schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, " \
@@ -66,7 +69,7 @@ def top_k(corpus: DataFrame, queries: DataFrame, k: int, block_values: int = BLO
     found, after = [], None
     for _ in range(0, shape["n"], per_block):
         rest = queries if after is None else queries.filter(F.col("query_id") > F.lit(after))
-        block = rest.select("query_id", "embedding").orderBy("query_id").limit(per_block).collect()
+        block = rest.orderBy("query_id").limit(per_block).collect()
         after = block[-1]["query_id"]
         ids = np.array([r["query_id"] for r in block])
         matrix = np.array([r["embedding"] for r in block], dtype=np.float64)

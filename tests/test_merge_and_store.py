@@ -100,7 +100,7 @@ def test_stream_restarts_from_its_checkpoint(spark, rows, tmp_path):
     inbox, base = str(tmp_path / "in"), str(tmp_path)
     table = KeyedTable(spark, f"{base}/t", f"{ROW}, {STATE}", ["user_id"], buckets=4)
     def advance():
-        stream = file_stream(spark, inbox, "*.parquet", events.schema)
+        stream = file_stream(spark, inbox, events.schema, 1)
         maintain_state(feed_over(stream, "change_messages", "events"), table, ROW, f"{base}/ckpt")
     events.filter("event_id >= 500").write.mode("append").parquet(inbox)
     advance()
@@ -113,7 +113,7 @@ def test_stream_restarts_from_its_checkpoint(spark, rows, tmp_path):
 
 def test_console_projection_and_batch_hook(spark, tmp_path):
     events = sample(spark, "/root/testdata/sf0.001", "events")
-    stream = feed_over(file_stream(spark, "/root/testdata/sf0.001", "events.parquet", events.schema),
+    stream = feed_over(file_stream(spark, "/root/testdata/sf0.001/events.parquet", events.schema),
                        "change_messages", "events")
     console_preview(stream, str(tmp_path / "a"), sink="memory", name="shown").awaitTermination()
     assert spark.table("shown").columns == ["topic", "partition", "offset", "timestamp", "value_json"]
