@@ -15,14 +15,8 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from catalog import QUERIES, warehouse  # noqa: E402
-from millrace.plans.vault import HUBS, LINKS, SATELLITES  # noqa: E402
 from millrace.session import build_session  # noqa: E402
 
-BUILD = (*HUBS, *LINKS, *SATELLITES, "bridge_customer_order", "bridge_order_product", "sat_customer_business",
-         "sat_order_enriched", "dim_customers", "dim_products", "fct_orders", "fct_payments", "fct_daily_sales",
-         "mart_daily_business_kpis", "mart_cohort_retention", "mart_user_rfm", "mart_category_performance",
-         "mart_marketing_channel", "mart_unit_economics", "mv_customer_360")
-
 HEADLINE = (
     "stg_orders", "stg_order_items", "stg_payments", "hub_orders", "link_order_product", "sat_order_history",
     "sat_after_late_load", "bridge_order_product", "sat_order_enriched", "pit_customer", "fct_orders", "fct_daily_sales",
@@ -48,8 +42,7 @@ def main() -> None:
     times: dict[str, float] = {}
 
     start = time.perf_counter()
-    for name in BUILD:
-        wh.table(name)
+    wh.build()
     times["warehouse_build"] = round(time.perf_counter() - start, 3)
     for name in HEADLINE:
         start = time.perf_counter()

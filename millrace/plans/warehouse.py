@@ -13,6 +13,7 @@ import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,12 @@ class Warehouse:
         """The table, written on first use and read from there afterwards."""
         return self.stored(name, lambda: self.frame(name))
 
+    def build(self, threads: int = 4) -> None:
+        """Writes every table. Tables of one wave only read earlier waves and are written side by side."""
+        with ThreadPool(threads) as pool:
+            for wave in WAVES:
+                pool.map(self.table, wave)
+
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._written:
             path = f"{self.root}/{name}"
@@ -135,3 +142,15 @@ _TABLES: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 TABLES = tuple([*HUBS, *LINKS, *SATELLITES, *_TABLES])
+
+WAVES = (
+    (*_RAW_OF_STAGING, "stg_customers", "stg_payments", "stg_extension_events"),
+    (*HUBS, *LINKS, *SATELLITES),
+    ("bridge_customer_order", "bridge_order_product", "dim_products", "fct_payments"),
+    ("sat_customer_business", "sat_order_enriched"),
+    ("dim_customers", "fct_orders"),
+    ("fct_daily_sales", "mart_daily_business_kpis", "mart_cohort_retention", "mart_user_rfm",
+     "mart_category_performance", "mart_marketing_channel", "agg_payment_performance", "agg_segment_revenue",
+     "mv_customer_360", "pit_customer", "unbalanced_entries"),
+    ("mart_unit_economics", "serving_snapshot", "spark_analytics", "agg_daily_sales"),
+)
