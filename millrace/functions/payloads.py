@@ -5,8 +5,6 @@ Messages come as ``topic, partition, offset, timestamp, value``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -13,8 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.merge import rows_without_match
-
 
 @dataclass(frozen=True)
 class CheckSpec:
@@ -172,7 +170,3 @@ def execute_checks(specs: Sequence[CheckSpec], tables: Mapping[str, DataFrame],
         except Exception as problem:  # noqa: BLE001 - a broken check is a failed check
             results.append(CheckResult(spec.name, spec.table, spec.severity, False, None, None, str(problem)))
     return results, [r for r in results if not r.passed and r.severity in fail_on]
-
-
-def missing_on_both(link: DataFrame, bridge: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows_without_match(bridge, link, keys)
