@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id, pii, quality, sharding
+from millrace.llm import language_id, pii, quality, sharding, simhash_dedup
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
 
 
+@query
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect_pii(table(spark, sf_dir, "documents")))
