@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id, pii, quality, sharding, simhash_dedup
+from millrace.llm import language_id, line_dedup, pii, quality, sharding, simhash_dedup
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,50 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of each text without later copies of line runs."""
+    cleaned = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+ORACLES["op5_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, i, trim(line, E' \t\r\x0b\x0c') AS line FROM (
+    SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line
+    FROM documents WHERE text IS NOT NULL)),
+words AS (
+  SELECT doc_id, i, line, len(regexp_extract_all(line, '[^ 	
+]+')) AS w,
+         row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j
+  FROM lines WHERE line <> ''),
+sums AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY j) AS upto, sum(w) OVER (PARTITION BY doc_id) AS total FROM words),
+whole AS (SELECT doc_id, list(line ORDER BY j) AS seq FROM words GROUP BY doc_id),
+spans AS (
+  SELECT doc_id, j AS a, j - 1 + count(*) OVER (PARTITION BY doc_id ORDER BY upto - w RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING) AS b,
+         total - upto + w >= 50 AS fits FROM sums
+  UNION
+  SELECT doc_id, j + 1 - count(*) OVER (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW), j, upto >= 50 FROM sums),
+found AS (SELECT doc_id, a, b, array_to_string(seq[a:b], chr(10)) AS content FROM spans JOIN whole USING (doc_id) WHERE fits),
+later AS (
+  SELECT doc_id, a, b FROM (
+    SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, a) AS copy FROM found) WHERE copy > 1),
+gone AS (
+  SELECT DISTINCT s.doc_id, s.j, s.i FROM sums s JOIN later x ON s.doc_id = x.doc_id AND s.j BETWEEN x.a AND x.b),
+runs AS (
+  SELECT doc_id, min(i) AS low, max(i) AS high FROM (
+    SELECT *, j - row_number() OVER (PARTITION BY doc_id ORDER BY j) AS run FROM gone) GROUP BY doc_id, run),
+dropped AS (SELECT DISTINCT l.doc_id, l.i FROM lines l JOIN runs r ON l.doc_id = r.doc_id AND l.i BETWEEN r.low AND r.high),
+removed AS (SELECT doc_id, list(i) AS at FROM dropped GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END::BIGINT AS n_lines,
+       coalesce(len(r.at), 0)::BIGINT AS n_removed,
+       sha256(coalesce(CASE WHEN r.at IS NULL THEN d.text ELSE array_to_string(
+         list_transform(list_filter(list_zip(string_split(d.text, chr(10)), range(1, len(string_split(d.text, chr(10))) + 1)),
+                                    lambda x: NOT list_contains(r.at, x[2])), lambda x: x[1]), chr(10)) END, '')) AS text_sha256
+FROM documents d LEFT JOIN removed r USING (doc_id)
+"""
+
+
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect_pii(table(spark, sf_dir, "documents")))
