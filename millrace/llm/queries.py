@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language_id, line_dedup, pii, quality, sharding, simhash_dedup
+from millrace.llm import decontamination, language_id, line_dedup, pii, quality, sharding, simhash_dedup
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,15 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect_pii(table(spark, sf_dir, "documents")))
 
 
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in each document."""
+    indexes = decontamination.build_indexes(table(spark, sf_dir, "benchmark"))
+    found = decontamination.find_contaminated(table(spark, sf_dir, "documents"), indexes)
+    return found.select("doc_id", "contaminated", F.transform("items", lambda x: x["item"]).alias("item_ids"),
+                        F.coalesce(F.get("items", F.lit(0)).getField("score"), F.lit(0.0)).alias("best_score"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
