@@ -15,6 +15,8 @@ from millrace.session import shared_dir
 
 #: Rows of one Arrow batch; with long documents this bounds the memory of a Python worker.
 BATCH_ROWS = 1000
+#: Bytes of text that an operator sees at once, but for one longer text.
+BATCH_BYTES = 4 << 20
 
 #: ASCII letters that have a lower-case form; fixed values.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -48,17 +50,29 @@ def or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def mapped(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str) -> DataFrame:
-    """``f`` over Arrow batches; ``f`` sees one bounded batch at a time."""
+def by_bytes(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``limit`` bytes in a text column, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < batch.num_rows:
+        done = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def mapped(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str, text: str = "text") -> DataFrame:
+    """``f`` over Arrow batches with at most ``BATCH_BYTES`` in column ``text``, or one row."""
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = f(batch)
-            if isinstance(out, pa.Table):
-                yield from out.to_batches()
-            elif out is not None:
-                yield out
+            for part in by_bytes(batch, text, BATCH_BYTES):
+                out = f(part)
+                if isinstance(out, pa.Table):
+                    yield from out.to_batches()
+                elif out is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)
 

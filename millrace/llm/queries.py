@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, language_id, line_dedup, pii, quality, sharding, simhash_dedup
+from millrace.llm import bpe_chunks, decontamination, language_id, line_dedup, pii, quality, sharding, simhash_dedup
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 8
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -90,6 +92,11 @@ FROM documents d LEFT JOIN removed r USING (doc_id)
 """
 
 
+@query
+def op6_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_chunks.digest(bpe_chunks.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY))
+
+
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect_pii(table(spark, sf_dir, "documents")))
