@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_chunks, decontamination, language_id, line_dedup, pii, quality, sharding, simhash_dedup
+from millrace.llm import bpe_chunks, decontamination, language_id, line_dedup, pii, quality, sharding, simhash_dedup, warc
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,33 @@ def op6_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.digest(bpe_chunks.encode_decode(table(spark, sf_dir, "documents"), VOCABULARY))
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, read back, and placed in the order of captures."""
+    captures = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured_at", "capture_no")
+
+
+ORACLES["op7_warc"] = r"""
+WITH sized AS (
+  SELECT page_id, coalesce(url, '') AS url, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+owned AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS owner FROM sized),
+keyed AS (
+  SELECT *, regexp_replace(regexp_extract(trim(url), '^[a-z]+://([^/?#:]*)', 1), '^www[.]', '') AS host,
+         regexp_extract(trim(url), '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(trim(url), '^[^?#]*([?][^#]+)', 1) AS query,
+         strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id % 630720000), '%Y%m%d%H%M%S') AS captured_at FROM owned),
+named AS (
+  SELECT *, lower(array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN path = '' THEN '/' ELSE path END || query) AS url_key FROM keyed)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < owner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < owner THEN owner END AS refers_to, url_key, captured_at,
+       row_number() OVER (PARTITION BY url_key ORDER BY captured_at, page_id) AS capture_no
+FROM named
+"""
+
+
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect_pii(table(spark, sf_dir, "documents")))
