@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_chunks, decontamination, language_id, line_dedup, pii, quality, sharding, simhash_dedup, warc
+from millrace.llm import bpe_chunks, decontamination, language_id, line_dedup, pii, quality, sharding, simhash_dedup, toxicity, warc
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,16 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "text", held_out.alias("held_out")), trees, keep=("held_out",))
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document; labels are learned from rows whose remainder is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    learned = docs.filter(~held_out).select("doc_id", "text").join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
+    index = toxicity.learn(learned)
+    return toxicity.score_texts(docs.select("doc_id", "text", held_out.alias("held_out")), index, keep=("held_out",))
+
+
 @query
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARDS)
