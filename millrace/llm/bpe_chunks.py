@@ -249,7 +249,11 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     return mapped(met.select("id", "text"), of, f"id {kind}, tokens array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
+def digest_columns(id_col: str = "doc_id") -> list:
+    """Columns over ``encode_decode`` rows: id, token count, SHA-256 of the tokens as decimals and of the decoded text."""
+    return [F.col(id_col), F.size("tokens").cast("long").alias("n_tokens"),
+            F.sha2(F.array_join(F.col("tokens").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
+
+
 def digest(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Token count and SHA-256 of the tokens as decimals and of the decoded text."""
-    return encoded.select(id_col, F.size("tokens").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("tokens").cast("array<string>"), ","), 256).alias("ids_sha256"),
-                          F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encoded.select(*digest_columns(id_col))

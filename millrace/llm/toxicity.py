@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are the words that tell the labels apart: those whose share of toxic examples differs from their share of the
-others by more than ``LEAST_Z`` standard errors. Texts are TF-IDF vectors of these terms, at length one. The index holds the
+Terms are words, word beginnings of ``STEMS`` characters, and the latter once more as "seen at least n times" (``TIMES``):
+of these, the ones that tell the labels apart, whose share of toxic examples differs from their share of the others by
+more than ``LEAST_Z`` standard errors. Texts are TF-IDF vectors of these terms, at length one. The index holds the
 examples' weights by term in blocks of examples with each block's maximum; a query adds the maxima to a bound per block,
 visits blocks from the highest bound down and stops when no bound can reach its k-th best cosine, so the neighbours are
 exact. Votes weigh with the cosine and a prior weight of ``PRIOR_WEIGHT`` pulls a score with little evidence to the
@@ -29,6 +30,7 @@ MAX_EXAMPLE_BYTES = 1 << 20
 LEAST_Z, LEAST_DOCUMENTS = 6.0, 5
 NEIGHBOURS, PRIOR_WEIGHT = 15, 1.0
 BLOCK = 64
+STEMS, TIMES = range(4, 9), (2, 4)
 _WORD = re.compile(r"\w+")
 
 
@@ -47,15 +49,44 @@ class Index:
     ids: list
     labels: np.ndarray
     prior: float
+    heads: frozenset[str]
 
 
 def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def terms_of(words: list[str]) -> Counter:
+    """Counts of words (w), of word beginnings (^w) and of beginnings seen at least n times (^w/n)."""
+    counts = Counter(words)
+    stems = Counter()
+    for word, n in counts.items():
+        for size in STEMS:
+            if len(word) < size:
+                break
+            stems[f"^{word[:size]}"] += n
+    for stem, n in stems.items():
+        counts[stem] = n
+        for times in TIMES:
+            if n >= times:
+                counts[f"{stem}/{times}"] = 1
+    return counts
+
+
+def heads_of(vocabulary) -> frozenset[str]:
+    """First characters of all terms: a word with other ones has no known term."""
+    return frozenset(t.removeprefix("^").split("/")[0][:STEMS[0]] for t in vocabulary)
+
+
+def telling_words(text: str, heads: frozenset[str]) -> list[str]:
+    """The words of a text that may have a known term."""
+    size = STEMS[0]
+    return [w for w in words_of(text) if w[:size] in heads]
+
+
 def vector(vocabulary: dict[str, int], idf: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Terms in order and their weights, (1 + log tf) * idf, at length one; empty without a known term."""
-    counts = Counter(t for w in words if (t := vocabulary.get(w)) is not None)
+    counts = {t: n for term, n in terms_of(words).items() if (t := vocabulary.get(term)) is not None}
     terms = np.array(sorted(counts), np.int64)
     weights = np.array([1 + math.log(counts[t]) for t in terms.tolist()]) * idf[terms]
     norm = math.sqrt(float((weights * weights).sum()))
@@ -80,7 +111,7 @@ def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list[tupl
     np.maximum.at(most, place, weights)
     by_row = lambda rows: np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(vocabulary)))])
     return Index(vocabulary, idf, by_row(terms), of, weights, by_row(key // blocks), key % blocks, most,
-                 [e[0] for e in examples], np.array([e[1] for e in examples], np.int64), prior)
+                 [e[0] for e in examples], np.array([e[1] for e in examples], np.int64), prior, heads_of(vocabulary))
 
 
 def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, float]]:
@@ -133,7 +164,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     drawn = stored(rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < F.element_at(rate, F.col("label"))), "examples")
 
     def distinct(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pairs = [(label, w) for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()) for w in set(words_of(text))]
+        pairs = [(label, w) for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()) for w in terms_of(words_of(text))]
         return pa.record_batch([pa.array([p[0] for p in pairs], pa.int32()), pa.array([p[1] for p in pairs], pa.string())], ["label", "word"])
 
     size = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -146,10 +177,10 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     telling = seen.filter((F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS) & (z > LEAST_Z)).orderBy("word").collect()
     vocabulary = {r["word"]: i for i, r in enumerate(telling)}
     idf = np.array([math.log((1 + toxic_n + other_n) / (1 + r["toxic"] + r["other"])) + 1 for r in telling])
-    known = set(vocabulary)
+    heads = heads_of(vocabulary)
 
     def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = [[w for w in words_of(t) if w in known] for t in batch.column("text").to_pylist()]
+        words = [telling_words(t, heads) for t in batch.column("text").to_pylist()]
         return pa.record_batch([batch.column("id"), batch.column("label"), pa.array(words, pa.list_(pa.string()))], ["id", "label", "words"])
 
     kind = drawn.schema["id"].dataType.simpleString()
@@ -173,7 +204,7 @@ def score_texts(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col:
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         ix, scores, evidence = holder.value, [], []
         for text in batch.column("text").to_pylist():
-            found = nearest(ix, *vector(ix.vocabulary, ix.idf, words_of(text)), k) if text else []
+            found = nearest(ix, *vector(ix.vocabulary, ix.idf, telling_words(text, ix.heads)), k) if text else []
             scores.append(vote(ix, found))
             evidence.append([{"example": str(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for p, c in found])
         predicted = [int(s >= 0.5) for s in scores]
