@@ -56,6 +56,7 @@ class Index:
     full: list[dict[int, float]]
     question: list[frozenset]
     answer: list[frozenset]
+    block_size: int = BLOCK
 
 
 def words_of(text: str) -> list[str]:
@@ -121,7 +122,7 @@ def build_index(items: list[tuple], frequency: dict[str, int], n_entries: int, m
     block_need = np.full(blocks, np.inf)
     np.minimum.at(block_need, np.arange(len(owners)) // BLOCK, needs)
     n = len(vocabulary)
-    return Index(owners, vocabulary, _by_row(pairs // blocks, n), pairs % blocks, most, block_need, _by_row(terms, n), of, impacts, needs, full, question, answer)
+    return Index(owners, vocabulary, _by_row(pairs // blocks, n), pairs % blocks, most, block_need, _by_row(terms, n), of, impacts, needs, full, question, answer, BLOCK)
 
 
 def _spread(rows: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +146,7 @@ def candidates(index: Index, passage: np.ndarray, term: np.ndarray) -> tuple[np.
     passage, term = passage[some], term[some]
     of, at = _spread(index.entry_rows, term)
     entry = index.entry_of[at]
-    alive = np.isin(passage[of] * blocks + entry // BLOCK, key)
+    alive = np.isin(passage[of] * blocks + entry // index.block_size, key)
     of, at, entry = of[alive], at[alive], entry[alive]
     width = len(index.items)
     pair, place = np.unique(passage[of] * width + entry, return_inverse=True)
