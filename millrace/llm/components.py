@@ -18,7 +18,8 @@ def _both_ways(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     """Each neighbour above a node is linked to the node's least neighbour."""
     sides = _both_ways(links)
-    least = sides.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # A written side, so that Spark can split a node with very many links.
+    least = stored(sides.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least-neighbours")
     return sides.filter("b > a").join(least, "a").select(F.col("b").alias("u"), F.col("m").alias("v")).distinct()
 
 

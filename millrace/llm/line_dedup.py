@@ -88,9 +88,11 @@ def _later_copies(windows: DataFrame, names: DataFrame, width: int) -> DataFrame
     same = lambda place: [F.col("x.id").eqNullSafe(F.col("y.id")), F.col("x.d") == F.col("y.d"), place == F.col("y.j")]
     own = (windows.filter(F.col("m").between(width, 2 * width - 1)).alias("x").join(some.alias("y"), same(F.col("x.first")))
            .select("x.*", F.col("y.rank").alias("head")))
-    own = (own.alias("x").join(some.alias("y"), same(F.col("x.first") + F.col("x.m") - width))
-           .select("x.*", F.col("y.rank").alias("tail")))
-    interval = own.groupBy("m", "head", "tail").agg(F.min(F.struct("id", "d", "first")).alias("least"), F.count("*").alias("n")).filter("n > 1")
+    # Both sides of the last join are written tables, so that Spark can split an interval of very many copies.
+    own = stored(own.alias("x").join(some.alias("y"), same(F.col("x.first") + F.col("x.m") - width))
+                 .select("x.*", F.col("y.rank").alias("tail")), "window-names")
+    interval = stored(own.groupBy("m", "head", "tail").agg(F.min(F.struct("id", "d", "first")).alias("least"), F.count("*").alias("n"))
+                      .filter("n > 1").drop("n"), "intervals")
     return (own.join(interval, ["m", "head", "tail"]).filter(F.struct("id", "d", "first") > F.col("least"))
             .select("id", "d", "first", (F.col("first") + F.col("m") - 1).alias("reach")))
 

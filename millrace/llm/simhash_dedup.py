@@ -220,7 +220,8 @@ def grouped(prints: DataFrame, id_col: str = "doc_id", max_bits: int = MAX_BITS)
     distinct = stored(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "fingerprints")
     roots = components(near_links(distinct, max_bits))
     of = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = of.join(of.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "root")
+    # A written side, so that Spark can split a fingerprint of very many documents.
+    named = stored(of.join(of.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "root"), "groups")
     return prints.join(named, "fp", "left")
 
 

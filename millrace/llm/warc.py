@@ -244,7 +244,7 @@ def merged_index(runs: DataFrame) -> DataFrame:
         before += n
     starts = local.sparkSession.createDataFrame(first, "part int, first bigint")
     placed = local.join(starts, "part").withColumn("place", F.col("place") + F.col("first"))
-    begin = placed.groupBy("url_key").agg(F.min("place").alias("_begin"))
+    begin = stored(placed.groupBy("url_key").agg(F.min("place").alias("_begin")), "url-keys")
     return placed.join(begin, "url_key").select(*_FIELDS, "place", (F.col("place") - F.col("_begin") + 1).alias("capture_no"))
 
 
