@@ -1,7 +1,7 @@
 """Hash keys, change hashes and record hashes.
 
 Text forms are fixed per type so that a hash never depends on a session setting:
-floating-point numbers go through DECIMAL, timestamps through a fixed pattern.
+floating-point numbers take their shortest exact text, timestamps a fixed pattern.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ def as_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, _STAMP)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return c.cast("decimal(38,6)").cast("string")
+        # The shortest text that reads back as the same number; zero has one sign.
+        return F.when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))
     return c.cast("string")
 
 

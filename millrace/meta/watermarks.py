@@ -8,7 +8,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.latest import latest_by
 from ..operators.merge import upsert
+from ..sources.batches import BATCH, BatchLog
 
 SCHEMA = "pipeline_name string, watermark_value string, last_run_at timestamp, records_processed bigint, notes string"
 FALLBACK = "1970-01-01T00:00:00+00:00"
@@ -24,6 +26,11 @@ def watermark_row(spark: SparkSession, pipeline: str, value: str, at: datetime,
     return spark.createDataFrame([(pipeline, value, at, records, notes)], SCHEMA)
 
 
+def newest(marks: BatchLog) -> DataFrame:
+    """The last mark of each pipeline."""
+    return latest_by(marks.read(with_batch=True), ["pipeline_name"], [F.col(BATCH).desc()]).drop(BATCH)
+
+
 def set_watermarks(table: DataFrame, rows: DataFrame) -> DataFrame:
     return upsert(table, rows, ["pipeline_name"])
 

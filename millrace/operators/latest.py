@@ -24,7 +24,9 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
 
 def latest_snapshot(df: DataFrame, keys: Sequence[str], stamp: str = "ingested_at",
                     ties: Sequence[str] = ()) -> DataFrame:
-    order = [F.col(stamp).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties]]
+    """Newest row per key. Of rows with one stamp, ``ties`` decide, then the least content, so the order is total."""
+    rest = [c for c in df.columns if c not in (*keys, stamp, *ties)]
+    order = [F.col(stamp).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in (*ties, *rest)]]
     return latest_by(df, keys, order)
 
 
@@ -35,8 +37,9 @@ def latest_log_position(df: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
 
 def latest_across_sources(df: DataFrame, keys: Sequence[str], event_time: str, load_time: str,
                           ties: Sequence[str] = ()) -> DataFrame:
+    rest = [c for c in df.columns if c not in (*keys, event_time, load_time, *ties)]
     order = [F.col(event_time).desc_nulls_last(), F.col(load_time).desc_nulls_last(),
-             *[F.col(t).asc_nulls_last() for t in ties]]
+             *[F.col(t).asc_nulls_last() for t in (*ties, *rest)]]
     return latest_by(df, keys, order)
 
 

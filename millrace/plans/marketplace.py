@@ -48,15 +48,10 @@ def web_vitals_p95(vitals: DataFrame, accuracy: int = 10000) -> DataFrame:
         F.percentile_approx(name, F.lit(0.95), F.lit(accuracy)).alias(f"{name}_p95") for name in VITALS])
 
 
-def web_vitals_p95_exact(vitals: DataFrame, digits: int = 4) -> DataFrame:
-    """The same from counts per measured value, interpolated between neighbours.
-
-    Vitals are measured in fixed steps (``digits`` decimals), so an hour holds at most as
-    many different values as the scale has steps, however many samples it has. Equal
-    values are counted before anything is exchanged.
-    """
+def web_vitals_p95_exact(vitals: DataFrame) -> DataFrame:
+    """The same from counts per measured value, interpolated between neighbours. Equal values are counted before anything is exchanged."""
     long = vitals.select(_hour().alias("hour"), F.explode(F.array(*[
-        F.struct(F.lit(n).alias("vital"), F.round(n, digits).alias("value")) for n in VITALS])).alias("v"))
+        F.struct(F.lit(n).alias("vital"), F.col(n).alias("value")) for n in VITALS])).alias("v"))
     counted = long.groupBy("hour", "v.vital", "v.value").agg(F.count(F.lit(1)).alias("n"))
     p95 = counted.groupBy("hour", "vital").agg(
         F.sum("n").alias("samples"), F.round(F.percentile("value", F.lit(0.95), F.col("n")), 6).alias("p95"))

@@ -144,13 +144,14 @@ _TABLES: dict[str, Callable[[Warehouse], DataFrame]] = {
 TABLES = tuple([*HUBS, *LINKS, *SATELLITES, *_TABLES])
 
 WAVES = (
-    (*_RAW_OF_STAGING, "stg_customers", "stg_payments", "stg_extension_events"),
+    (*_RAW_OF_STAGING, "stg_customers", "stg_payments", "stg_extension_events", "clean_customers", "clean_orders",
+     "clean_order_events", "clean_payment_events"),
     (*HUBS, *LINKS, *SATELLITES),
     ("bridge_customer_order", "bridge_order_product", "dim_products", "fct_payments"),
     ("sat_customer_business", "sat_order_enriched"),
     ("dim_customers", "fct_orders"),
     ("fct_daily_sales", "mart_daily_business_kpis", "mart_cohort_retention", "mart_user_rfm",
      "mart_category_performance", "mart_marketing_channel", "agg_payment_performance", "agg_segment_revenue",
-     "mv_customer_360", "pit_customer", "unbalanced_entries"),
+     "mv_customer_360", "pit_customer", "pit_order", "unbalanced_entries"),
     ("mart_unit_economics", "serving_snapshot", "spark_analytics", "agg_daily_sales"),
 )

@@ -100,9 +100,17 @@ def next_cursor(page: DataFrame, spec: SourceSpec, cursor: Cursor) -> Cursor:
 
 def extract_all(tables: dict[str, DataFrame], cursors: dict[str, Cursor], size: int
                 ) -> Iterator[tuple[SourceSpec, DataFrame, Cursor]]:
-    """One page of every configured table that is present, with the cursor to store after loading it."""
+    """Pages of every configured table that is present until none is left, each with the cursor to store after loading it."""
     for name, spec in SOURCES.items():
-        if name in tables:
-            start = cursors.get(name, Cursor())
-            page = extract_page(tables[name], spec, start, size)
-            yield spec, page, next_cursor(page, spec, start)
+        if name not in tables:
+            continue
+        cursor = cursors.get(name, Cursor())
+        while True:
+            page = extract_page(tables[name], spec, cursor, size)
+            after = next_cursor(page, spec, cursor)
+            if spec.cursor is not None and after == cursor:
+                break
+            yield spec, page, after
+            if spec.cursor is None:
+                break
+            cursor = after

@@ -53,9 +53,9 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
         F.col("modificationTime").alias("modified_at"))
 
 
-def discover(listing: DataFrame, manifest: DataFrame, max_files: int | None = 200,
+def discover(listing: DataFrame, manifest: DataFrame, max_files: int | None = None,
              retry_quarantined: bool = False) -> DataFrame:
-    """Files still to load, oldest path first, at most ``max_files`` in one run.
+    """Files still to load, oldest path first; ``max_files`` bounds one run.
 
     Only finished files are skipped: one that an earlier run found but had no room for
     comes back, a quarantined one on request.

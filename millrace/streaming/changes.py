@@ -10,9 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.payloads import change_rows, message_projection
 from ..operators.latest import latest_by
-from ..operators.merge import insert_absent
-from ..operators.scd2 import SatSpec, load_satellite
-from ..sources.store import KeyedTable
+from ..operators.scd2 import SatSpec, build_satellite
+from ..sources.batches import BATCH, BatchLog
 
 STATE = "ts_ms bigint, kafka_offset bigint, deleted boolean"
 
@@ -50,30 +49,25 @@ def run_to_end(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, i
     return query
 
 
-def maintain_state(messages: DataFrame, table: KeyedTable, row_schema: str, checkpoint: str,
-                   name: str = "changes") -> None:
-    """Keeps ``table`` (row columns plus :data:`STATE`) equal to the change log."""
-    def batch(df: DataFrame, batch_id: int) -> None:
-        table.merge(change_state(df, row_schema, table.keys),
-                    lambda old, new: apply_changes(old, new, table.keys), writer=name, batch_id=batch_id)
+def collect_changes(messages: DataFrame, log: BatchLog, row_schema: str, keys: Sequence[str], checkpoint: str) -> None:
+    """Stores the last state per key of each micro-batch; :func:`newest_state` over the log is the state of all."""
+    run_to_end(messages, checkpoint, lambda df, batch_id: log.put(change_state(df, row_schema, keys), batch_id))
 
-    run_to_end(messages, checkpoint, batch)
 
+def collect_rows(rows: DataFrame, log: BatchLog, checkpoint: str) -> None:
+    """Stores the rows of each micro-batch as they are."""
+    run_to_end(rows, checkpoint, lambda df, batch_id: log.put(df, batch_id))
 
-def append_log(rows: DataFrame, table: KeyedTable, checkpoint: str, name: str = "log") -> None:
-    """Appends log rows whose position is new; re-deliveries change nothing."""
-    def batch(df: DataFrame, batch_id: int) -> None:
-        table.merge(df, lambda old, new: insert_absent(old, new, table.keys), writer=name, batch_id=batch_id)
 
-    run_to_end(rows, checkpoint, batch)
+def first_deliveries(log: BatchLog, keys: Sequence[str]) -> DataFrame:
+    """One row per position: of a position that was delivered again, the earliest batch counts, then the least content."""
+    rest = [c for c in log.schema.names if c not in keys]
+    return latest_by(log.read(with_batch=True), keys, [F.col(BATCH).asc(), *[F.col(c).asc() for c in rest]]).drop(BATCH)
 
 
-def maintain_satellite(rows: DataFrame, table: KeyedTable, spec: SatSpec, checkpoint: str) -> None:
-    """Loads versions as they stream in; late ones repair the timeline of their key."""
-    def batch(df: DataFrame, batch_id: int) -> None:
-        table.merge(df, lambda old, new: load_satellite(old, new, spec), writer=spec.name, batch_id=batch_id)
-
-    run_to_end(rows, checkpoint, batch)
+def satellite_of(log: BatchLog, spec: SatSpec) -> DataFrame:
+    """The timeline of all observations in the log. Late ones fall into place, wherever the batches were cut."""
+    return build_satellite(log.read(), spec)
 
 
 def console_preview(stream: DataFrame, checkpoint: str, sink: str = "console", name: str = "preview") -> StreamingQuery:

@@ -252,6 +252,8 @@ _STATE = """
           FROM events) AS r WHERE rn = 1 AND state <> 'error'"""
 add("changes_applied", _STATE)
 add("stream_changes_applied", _STATE)
+add("ingested_messages", """
+    SELECT topic, "partition" AS partition_id, count(*) AS n, max("offset") AS last_offset FROM raw_order_messages GROUP BY 1, 2""")
 add("stream_event_log", "SELECT DISTINCT topic, partition_id, kafka_offset, event_type, payload FROM raw_kafka_extension_events")
 
 

@@ -1,4 +1,4 @@
-"""Merging rules, the keyed table and streams on top of it."""
+"""Merging rules, the batch log and streams on top of it."""
 
 from datetime import date, datetime
 
@@ -8,9 +8,9 @@ from millrace.meta import watermarks
 from millrace.meta.runs import finish
 from millrace.operators.merge import incremental_refresh, insert_absent, lookback_start, replace_by_key, upsert
 from millrace.sources.feeds import feed_over, sample
-from millrace.sources.store import KeyedTable
-from millrace.streaming.changes import (STATE, apply_changes, change_state, console_preview, file_stream, live_rows,
-                                        load_topics, maintain_state, run_to_end)
+from millrace.sources.batches import BatchLog
+from millrace.streaming.changes import (STATE, apply_changes, change_state, collect_changes, console_preview, file_stream,
+                                        first_deliveries, live_rows, load_topics, newest_state, run_to_end)
 
 
 def frame(spark, data, schema="k string, a int, b int"):
@@ -53,31 +53,17 @@ def test_lookback(spark, rows):
     assert lookback_start(None, "d", 7) == lookback_start(full.limit(0), "d", 7) == datetime(1970, 1, 1)
 
 
-def test_keyed_table_merges_commits_once_and_compacts(spark, rows, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "t"), "k string, a int, b int", ["k"], buckets=4)
-    def combine(old, new):
-        return upsert(old, new, ["k"])
-    assert table.read().count() == 0
-    assert table.merge(frame(spark, [(str(i), i, 0) for i in range(20)]), combine, writer="w", batch_id=0)
-    assert not table.merge(frame(spark, [("1", 99, 9)]), combine, writer="w", batch_id=0)
-    assert table.merge(frame(spark, [("1", 99, 9), ("new", 1, 1)]), combine, writer="w", batch_id=1)
-    assert not table.merge(frame(spark, []), combine)
-    want = sorted([(str(i), i, 0) for i in range(20) if i != 1] + [("1", 99, 9), ("new", 1, 1)])
-    assert rows(table.read()) == want
-    table.compact()
-    assert rows(table.read()) == want
-    assert table.merge(frame(spark, [("1", 0, 0)]), lambda old, new: old.join(new.select("k"), "k", "left_anti"))
-    assert rows(table.read()) == [r for r in want if r[0] != "1"]
-
-
-def test_uncommitted_write_is_invisible(spark, rows, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "t"), "k string, a int, b int", ["k"], buckets=2)
-    table.merge(frame(spark, [("x", 1, 1)]), lambda old, new: new)
-    frame(spark, [("bad", 0, 0)]).withColumn("_bucket", F.lit(0)).write.partitionBy("_bucket").parquet(
-        str(tmp_path / "t/data/version=2"))
-    assert rows(table.read()) == [("x", 1, 1)]
-    table.merge(frame(spark, [("x", 2, 2)]), lambda old, new: upsert(old, new, ["k"]))
-    assert rows(table.read()) == [("x", 2, 2)]
+def test_batches_replace_themselves(spark, rows, tmp_path):
+    log = BatchLog(spark, str(tmp_path / "t"), "k string, a int, b int")
+    assert log.read().count() == 0 and log.last_batch() == -1
+    log.put(frame(spark, [("x", 1, 1), ("y", 2, 2)]), 0)
+    log.put(frame(spark, [("x", 1, 1), ("z", 9, 9)]), 1)
+    log.put(frame(spark, [("x", 1, 1), ("z", 3, 3)]), 1)
+    again = BatchLog(spark, str(tmp_path / "t"), "k string, a int, b int")
+    assert rows(again.read()) == [("x", 1, 1), ("x", 1, 1), ("y", 2, 2), ("z", 3, 3)] and again.last_batch() == 1
+    assert rows(first_deliveries(again, ["k"])) == [("x", 1, 1), ("y", 2, 2), ("z", 3, 3)]
+    small = log.compacted(str(tmp_path / "u"), lambda df: df.distinct())
+    assert rows(small.read()) == [("x", 1, 1), ("y", 2, 2), ("z", 3, 3)]
 
 
 ROW = "user_id bigint, state string, value decimal(12,2)"
@@ -98,17 +84,17 @@ def test_changes_apply_in_any_order(spark, rows):
 def test_stream_restarts_from_its_checkpoint(spark, rows, tmp_path):
     events = sample(spark, "/root/testdata/sf0.001", "events")
     inbox, base = str(tmp_path / "in"), str(tmp_path)
-    table = KeyedTable(spark, f"{base}/t", f"{ROW}, {STATE}", ["user_id"], buckets=4)
+    table = BatchLog(spark, f"{base}/t", f"{ROW}, {STATE}")
     def advance():
         stream = file_stream(spark, inbox, events.schema, 1)
-        maintain_state(feed_over(stream, "change_messages", "events"), table, ROW, f"{base}/ckpt")
+        collect_changes(feed_over(stream, "change_messages", "events"), table, ROW, ["user_id"], f"{base}/ckpt")
     events.filter("event_id >= 500").write.mode("append").parquet(inbox)
     advance()
     events.filter("event_id < 500").write.mode("append").parquet(inbox)
     advance()
     advance()
     whole = change_state(feed_over(events, "change_messages", "events"), ROW, ["user_id"])
-    assert rows(table.read().select(*whole.columns)) == rows(whole)
+    assert rows(newest_state(table.read(), ["user_id"]).select(*whole.columns)) == rows(whole)
 
 
 def test_console_projection_and_batch_hook(spark, tmp_path):

@@ -12,7 +12,7 @@ from millrace.functions.payloads import extension_rows, order_rows, parse_moment
 from millrace.functions.privacy import mask_email, mask_name, resolve_salt
 from millrace.functions.text import email_is_valid, identifier_token
 from millrace.meta import watermarks
-from millrace.ml.order_value import TrainingSpec, save, train
+from millrace.ml.order_value import TrainingSpec, save, train, training_frame
 from millrace.operators.contracts import Contract, split, with_violations
 from millrace.plans import finance
 from millrace.plans.business import payments_per_order
@@ -25,7 +25,7 @@ from millrace.sources import files, layers
 from millrace.sources.extract import SOURCES, Cursor, extract_all, extract_page, next_cursor
 from millrace.sources.jdbc import first_readable
 from millrace.sources.kafka import starting_offsets
-from millrace.sources.store import KeyedTable
+from millrace.sources.batches import BatchLog
 from millrace.streaming.ingest import load_messages
 from millrace.vector.schema_docs import COLUMNS_SCHEMA, schema_documents
 from millrace.vector.search import l2_normalise, top_k
@@ -147,19 +147,24 @@ def test_cursors(spark):
         seen += one(page.select("order_id"))
         cursor = next_cursor(page, spec, cursor)
     assert sorted(seen) == list(range(10))
-    loaded = list(extract_all({"orders": df}, {"orders": cursor}, 4))
-    assert len(loaded) == 1 and loaded[0][1].count() == 0 and loaded[0][2] == cursor
+    assert list(extract_all({"orders": df}, {"orders": cursor}, 4)) == []
+    drained = list(extract_all({"orders": df}, {}, 4))
+    assert [p.count() for _, p, _ in drained] == [4, 4, 2] and drained[-1][2] == cursor
     assert starting_offsets("t", {0: 5}, 2) == '{"t": {"0": 6, "1": -2}}'
 
 
 def test_ingest_resumes_after_stored_offsets(spark, tmp_path):
-    target = KeyedTable(spark, str(tmp_path / "raw"), order_rows(message(spark, ["{}"])).schema,
-                        ["topic", "partition_id", "kafka_offset"], buckets=2)
-    marks = KeyedTable(spark, str(tmp_path / "marks"), watermarks.SCHEMA, ["pipeline_name"], buckets=1)
+    target = BatchLog(spark, str(tmp_path / "raw"), order_rows(message(spark, ["{}"])).schema)
+    marks = BatchLog(spark, str(tmp_path / "marks"), watermarks.SCHEMA)
     log = message(spark, ["{}"] * 5).unionByName(message(spark, ["{}"] * 2, partition=1))
-    counts = [load_messages(log, order_rows, target, marks, "p", NOW, limit=4).rows_in for _ in range(3)]
-    assert counts == [4, 3, 0] and target.read().count() == 7
-    assert watermarks.get_offsets(marks.read(), "p") == {0: 4, 1: 1}
+    runs = [load_messages(log, order_rows, target, marks, "p", NOW, limit=4) for _ in range(3)]
+    assert [r.rows_in for r in runs] == [4, 3, 0] and target.read().count() == 7
+    assert watermarks.get_offsets(watermarks.newest(marks), "p") == {0: 4, 1: 1}
+    # A lost mark repeats messages; those that are stored already do not count.
+    again = BatchLog(spark, str(tmp_path / "marks2"), watermarks.SCHEMA)
+    again.put(watermarks.watermark_row(spark, "p", '{"0": 1}', NOW, 2), 4)
+    late = load_messages(log, order_rows, target, again, "p", NOW)
+    assert (late.rows_in, late.rows_out) == (5, 0) and target.read().count() == 7
 
 
 def test_checks(spark, tmp_path):
@@ -240,7 +245,17 @@ def test_top_k_in_blocks_equals_brute_force(spark):
         order = sorted(range(300), key=lambda i: (-float(u[q] @ u[i]), i))[:4]
         scores = [round(float(u[q] @ u[i]), 9) for i in order]
         assert [round(float(u[q] @ u[got[q][k]]), 9) for k in (1, 2, 3, 4)] == scores
-    assert l2_normalise is not None and top_k(unit, queries.limit(0), 3).count() == 0
+        assert [got[q][k] for k in (1, 2, 3, 4)] == order
+    assert top_k(unit, queries.limit(0), 3).count() == 0
+
+
+def test_top_k_with_repeated_and_missing_ids_and_ragged_vectors(spark):
+    corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [1.0]), (5, [])], "vec_id bigint, embedding array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [1.0, 0.0]), (None, [0.0, 1.0]), (None, [0.0, 1.0]), (6, None), (7, [2.0])],
+                                    "query_id bigint, embedding array<double>")
+    for block_values in (2, 4, 1000):
+        got = sorted(((r["query_id"], r["vec_id"]) for r in top_k(corpus, queries, 1, block_values).collect()), key=str)
+        assert got == sorted([(1, 1), (2, 2), (2, 1), (None, 2), (None, 2), (7, 4)], key=str)
 
 
 def test_schema_documents_and_fallback_table(spark):
@@ -254,12 +269,19 @@ def test_schema_documents_and_fallback_table(spark):
 
 
 def test_training_needs_rows_and_saves(spark, tmp_path):
-    rows = [(["a", "b"][i % 2], "EUR", str(i % 300), NOW, float(1 + i % 7)) for i in range(400)]
-    df = spark.createDataFrame(rows, "status string, currency string, customer_bk string, order_ts timestamp_ntz, total_amount double")
+    rows = [(str(i), ["a", "b"][i % 2], "EUR", str(i % 300), NOW, float(1 + i % 7)) for i in range(400)]
+    df = spark.createDataFrame(rows, "order_bk string, status string, currency string, customer_bk string, order_ts timestamp_ntz, total_amount double")
     with pytest.raises(ValueError):
         train(df.limit(10), NOW)
     model, metrics = train(df, NOW, TrainingSpec(max_iter=2, max_depth=2))
-    assert np.isfinite(list(metrics.first().asDict().values())).all()
+    row = metrics.first()
+    assert np.isfinite(list(row.asDict().values())).all() and 250 < row["train_rows"] < 390
+    scored = model.transform(training_frame(df, NOW, TrainingSpec()).filter("NOT in_training")).toPandas()
+    error = scored["label"] - scored["prediction"]
+    again = train(df.repartition(7), NOW, TrainingSpec(max_iter=2, max_depth=2))[1].first()
+    assert again["train_rows"] == row["train_rows"]
+    assert row["rmse"] == pytest.approx(np.sqrt((error ** 2).mean())) and row["mae"] == pytest.approx(error.abs().mean())
+    assert row["r2"] == pytest.approx(1 - (error ** 2).sum() / ((scored["label"] - scored["label"].mean()) ** 2).sum())
     save(model, str(tmp_path / "model"))
 
 
