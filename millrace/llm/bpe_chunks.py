@@ -33,8 +33,12 @@ from millrace.llm.common import byte_texts, mapped, or_empty
 MEAN, LEAST, MOST = 1024, 256, 8192
 WINDOW = 32
 #: Bytes hashed at once; bytes of chunks a task remembers; chunks encoded at once; tokens decoded at once.
-PIECE, REMEMBER, CALL, TOKENS = 1 << 20, 32 << 20, 512, 1 << 18
+PIECE, REMEMBER, CALL, TOKENS = 1 << 20, 8 << 20, 256, 1 << 18
 _FACTOR = 0x9E3779B97F4A7C15
+#: Split pattern of the vocabulary; a fixed value.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters whose classes may differ between versions of Unicode, and the beginning of a special token.
+_BEYOND = re.compile("[^\x00-\u024f]|<\\|")
 _ANCHOR = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 
 
@@ -107,16 +111,24 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.bytes_of = token_bytes(path)
+        self.quick = _by_rank(path, self.bytes_of)
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
         self.known: dict[bytes, Encoded] = {}
         self.size = 0
         self.encoded_chunks = 0
 
     def plain(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """Tokens of each text, by the library."""
+        """Tokens of each text on its own, in order.
+
+        Where merges are ranks and a text has only characters up to U+024F and no special token, a second library with the
+        same vocabulary gives the same tokens several times faster; all other texts go to the file's own library.
+        """
         for low in range(0, len(texts), CALL):
-            for e in self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts[low:low + CALL]], add_special_tokens=False):
-                yield np.array(e.ids, np.int32)
+            part = [t.decode("utf-8") for t in texts[low:low + CALL]]
+            slow = [t for t in part if self.quick is None or _BEYOND.search(t)]
+            rest = iter(self.tokenizer.encode_batch_fast(slow, add_special_tokens=False) if slow else ())
+            for t in part:
+                yield np.array(next(rest).ids if self.quick is None or _BEYOND.search(t) else self.quick.encode_ordinary(t), np.int32)
 
     def _placed(self, chunk: bytes, tokens: np.ndarray) -> Encoded:
         ends = np.cumsum(self.lengths[tokens])
@@ -217,6 +229,23 @@ def token_bytes(path: str) -> list[bytes]:
     return out
 
 
+def _by_rank(path: str, bytes_of: list[bytes]):
+    """An encoder by ranks, if the file is byte-level with this pattern and its ids count the merges; else None."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocabulary, merges = spec["model"]["vocab"], spec["model"].get("merges", [])
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+    level = spec.get("pre_tokenizer") or {}
+    if spec.get("normalizer") or level.get("type") != "ByteLevel" or level.get("add_prefix_space") or not level.get("use_regex", True):
+        return None
+    if len(vocabulary) - len(merges) not in (256, 256 + len(spec["added_tokens"])) or any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    ranks = {bytes_of[i]: i for i in range(256 + len(merges))}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
     """One encoder per process and vocabulary file."""

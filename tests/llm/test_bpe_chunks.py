@@ -52,6 +52,14 @@ def test_small_chunks(parts):
     assert tokens.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_quick_character(library):
+    encoder = m.ChunkEncoder(PATH)
+    assert encoder.quick is not None
+    for c in map(chr, range(0x250)):
+        text = f"a{c}b {c} {c}{c}1 {c}'s  {c}\n{c}"
+        assert next(encoder.plain([text.encode()])).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_chunks_are_shared_and_encoded_once():
     r = random.Random(1)
     body = " ".join("".join(r.choices("abcdefgh", k=r.randint(2, 9))) for _ in range(9000)).encode()
