@@ -46,6 +46,7 @@ class Index:
     block_rows: np.ndarray
     block: np.ndarray
     block_max: np.ndarray
+    block_first: np.ndarray
     ids: list
     labels: np.ndarray
     prior: float
@@ -73,6 +74,12 @@ def terms_of(words: list[str]) -> Counter:
     return counts
 
 
+def _shorter(term: str) -> str:
+    """The same kind of term with one letter less."""
+    stem, slash, times = term.partition("/")
+    return f"{stem[:-1]}{slash}{times}"
+
+
 def heads_of(vocabulary) -> frozenset[str]:
     """First characters of all terms: a word with other ones has no known term."""
     return frozenset(t.removeprefix("^").split("/")[0][:STEMS[0]] for t in vocabulary)
@@ -106,41 +113,48 @@ def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list[tupl
     order = np.lexsort((of, terms))
     terms, of, weights = terms[order], of[order], weights[order]
     blocks = max(1, -(-len(examples) // BLOCK))
-    key, place = np.unique(terms * blocks + of // BLOCK, return_inverse=True)
+    # Postings of a term are in order of examples, so those of a block stand together.
+    key, first, place = np.unique(terms * blocks + of // BLOCK, return_index=True, return_inverse=True)
     most = np.zeros(len(key))
     np.maximum.at(most, place, weights)
     by_row = lambda rows: np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(vocabulary)))])
-    return Index(vocabulary, idf, by_row(terms), of, weights, by_row(key // blocks), key % blocks, most,
+    return Index(vocabulary, idf, by_row(terms), of, weights, by_row(key // blocks), key % blocks, most, np.append(first, len(terms)),
                  [e[0] for e in examples], np.array([e[1] for e in examples], np.int64), prior, heads_of(vocabulary))
 
 
+def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All whole numbers from first to below last of each range: (number of the range, value)."""
+    n = last - first
+    of = np.repeat(np.arange(len(n)), n)
+    return of, np.arange(len(of)) + np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+
+
 def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, float]]:
-    """(example, cosine) of the k nearest, best first; ties, equal to nine decimals, by place. Cosine zero is no neighbour."""
+    """(example, cosine) of the k nearest, best first; ties, equal to nine decimals, by place. Cosine zero is no neighbour.
+
+    Blocks are scored from the highest bound down, each time twice as many, until no bound left reaches the k-th best.
+    """
     if not len(terms):
         return []
-    blocks = max(1, -(-len(index.ids) // BLOCK))
-    bound = np.zeros(blocks)
-    for t, w in zip(terms, weights):
-        part = slice(index.block_rows[t], index.block_rows[t + 1])
-        bound[index.block[part]] += w * index.block_max[part]
-    bound = np.floor(bound * 1e9).astype(np.int64) + 2
+    of, at = _ranges(index.block_rows[terms], index.block_rows[terms + 1])
+    block = index.block[at]
+    bound = np.floor(np.bincount(block, weights[of] * index.block_max[at]) * 1e9).astype(np.int64) + 2
     order = np.argsort(-bound, kind="stable")
     order = order[bound[order] > 2]
-    found: list[tuple[int, int]] = []
-    for block in order.tolist():
-        if len(found) >= k and bound[block] < -found[k - 1][0]:
-            break
-        low = block * BLOCK
-        score = np.zeros(BLOCK)
-        for t, w in zip(terms, weights):
-            first, last = index.rows[t], index.rows[t + 1]
-            a, b = first + np.searchsorted(index.example[first:last], (low, low + BLOCK))
-            score[index.example[a:b] - low] += w * index.weight[a:b]
-        whole = np.rint(score * 1e9).astype(np.int64)
-        found += [(-int(whole[i]), low + int(i)) for i in np.flatnonzero(whole > 0)]
-        found.sort()
-        del found[k:]
-    return [(place, -score / 1e9) for score, place in found]
+    rank = np.empty(len(bound), np.int64)
+    rank[order] = np.arange(len(order))
+    block_rank = rank[block]
+    places, scores, done, more = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 4
+    while done < len(order) and (len(places) < k or bound[order[done]] >= scores[k - 1]):
+        some = np.flatnonzero((block_rank >= done) & (block_rank < done + more))
+        part, posting = _ranges(index.block_first[at[some]], index.block_first[at[some] + 1])
+        example, slot = np.unique(index.example[posting], return_inverse=True)
+        score = np.rint(np.bincount(slot, weights[of[some[part]]] * index.weight[posting]) * 1e9).astype(np.int64)
+        places, scores = np.concatenate([places, example[score > 0]]), np.concatenate([scores, score[score > 0]])
+        best = np.lexsort((places, -scores))[:k]
+        places, scores = places[best], scores[best]
+        done, more = done + more, 2 * more
+    return [(int(p), int(s) / 1e9) for p, s in zip(places, scores)]
 
 
 def vote(index: Index, found: list[tuple[int, float]]) -> float:
@@ -175,6 +189,9 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     error = F.sqrt(share * (1 - share) * F.lit(1 / max(1, toxic_n) + 1 / max(1, other_n)) + 1e-12)
     z = F.abs(F.col("toxic") / F.lit(max(1, toxic_n)) - F.col("other") / F.lit(max(1, other_n))) / error
     telling = seen.filter((F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS) & (z > LEAST_Z)).orderBy("word").collect()
+    seen_in = {r["word"]: (r["toxic"], r["other"]) for r in telling}
+    # A longer beginning that is in the very same examples says nothing new.
+    telling = [r for r in telling if not (r["word"].startswith("^") and seen_in.get(_shorter(r["word"])) == seen_in[r["word"]])]
     vocabulary = {r["word"]: i for i, r in enumerate(telling)}
     idf = np.array([math.log((1 + toxic_n + other_n) / (1 + r["toxic"] + r["other"])) + 1 for r in telling])
     heads = heads_of(vocabulary)
