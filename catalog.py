@@ -26,6 +26,7 @@ from millrace.operators.scd2 import (SatSpec, build_satellite, close_and_insert,
                                      load_satellite, lossless_timeline, new_versions)
 from millrace.operators.union import union_all
 from millrace.plans import dashboards, finance, marketplace, serving
+from millrace.plans.loads import VaultTable, key_columns
 from millrace.plans.marts import kpi_snapshot
 from millrace.plans.staging import ingest_slice, orders_shape
 from millrace.plans.vault import HUBS, LINKS, SATELLITES, row_counts
@@ -37,6 +38,7 @@ from millrace.session import apply_defaults
 from millrace.sources import files
 from millrace.sources.extract import SOURCES, Cursor, extract_page
 from millrace.sources.feeds import feed_over, sample
+from millrace.sources.landing import Prefix, load_all, new_logs, newest_manifest
 from millrace.sources.batches import BatchLog
 from millrace.streaming.changes import STATE as CHANGE_STATE
 from millrace.streaming.changes import (change_state, collect_changes, collect_rows, file_stream, first_deliveries,
@@ -126,6 +128,35 @@ on_warehouse("sat_merge_detector", lambda w: new_versions(_batch(w, 2), _first_l
 on_warehouse("sat_after_late_load", lambda w: load_satellite(_first_load(w), _batch(w, 2), STATE))
 on_warehouse("sat_end_dated", lambda w: end_date_only(first_versions(w.raw("user_state_log"), STATE)))
 on_warehouse("sat_lossless", lambda w: lossless_timeline(w.raw("user_state_log").drop("batch"), STATE))
+
+
+def _loaded(w: Warehouse, name: str) -> DataFrame:
+    """A vault table after two loads: two thirds of the keys, then all rows; the second load is run again."""
+    spec = {**HUBS, **LINKS, **SATELLITES}[name]
+    staged = w.table(spec.source)
+    early = staged.filter(F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in key_columns(spec)]), F.lit(3)) > 0)
+    table = VaultTable(w.spark, _work_dir(w, f"loads-{name}"), spec)
+    for number, rows in ((1, early), (2, staged), (2, staged)):
+        table.load(rows, number)
+    return table.rows()
+
+
+for _name in (*HUBS, *LINKS, *SATELLITES):
+    on_warehouse(f"loaded_{_name}", lambda w, name=_name: _loaded(w, name))
+
+
+@_warehouse_query("loaded_order_history")
+def _loaded_order_history(w: Warehouse) -> DataFrame:
+    """Every order snapshot as an observation, in three loads that come in no order of time."""
+    spec = SatSpec("sat_order_history", "oltp_orders", SATELLITES["sat_order_status"].columns)
+    snapshots = orders_shape(w.raw("oltp_orders"))
+    table = VaultTable(w.spark, _work_dir(w, "loads-order-history"), spec)
+    part = F.pmod(F.xxhash64("hub_key", "hashdiff", "effective_from"), F.lit(3))
+    for number in (2, 0, 1):
+        table.load(snapshots.filter(part == number), number)
+    return table.rows()
+
+
 on_warehouse("sat_order_history", lambda w: build_satellite(
     orders_shape(w.raw("oltp_orders")), SatSpec(
         "sat_order_history", "oltp_orders", SATELLITES["sat_order_status"].columns)))
@@ -188,7 +219,7 @@ def _old_orders(w: Warehouse) -> DataFrame:
 
 
 on_warehouse("upsert_orders", lambda w: upsert(
-    _old_orders(w), w.frame("clean_orders").filter(F.col("total_amount") >= 100000).select(
+    _old_orders(w), w.frame("clean_orders").filter((F.col("total_amount") >= 100000) | (F.col("order_ts") >= F.lit(CUT))).select(
         "order_id", F.lit("audited").alias("status")), ["order_id"], ["status"]))
 on_warehouse("insert_absent_orders", lambda w: insert_absent(
     _old_orders(w).select("order_id", "status"), w.raw("oltp_orders").select(
@@ -218,15 +249,15 @@ def _rates(w: Warehouse) -> DataFrame:
     return usd.unionByName(eur)
 
 
-def _since_2000(w: Warehouse, table: str) -> DataFrame:
-    return finance.in_window(w.table(table), CUT.date(), CLOCK.today)
+def _dated(w: Warehouse, table: str) -> DataFrame:
+    return w.table(table).filter(F.col("order_date").isNotNull())
 
 
 on_warehouse("rate_dates", lambda w: finance.rate_dates(w.table("fct_daily_sales"), w.table("fct_orders")))
 on_warehouse("mart_daily_finance_rub", lambda w: finance.mart_daily_finance_rub(
-    _since_2000(w, "fct_daily_sales"), _rates(w), "20010802_000000"))
+    _dated(w, "fct_daily_sales"), _rates(w), "20010802_000000"))
 on_warehouse("mart_order_mix_rub", lambda w: finance.mart_order_mix_rub(
-    _since_2000(w, "fct_orders"), _rates(w), "20010802_000000"))
+    _dated(w, "fct_orders"), _rates(w), "20010802_000000"))
 
 # --- dashboards ---------------------------------------------------------------------------
 
@@ -364,6 +395,38 @@ def _landing_payments(w: Warehouse) -> DataFrame:
                        F.timestamp_millis("timestamp").cast("timestamp_ntz").alias("event_ts"))
 
 
+def _landed(w: Warehouse) -> tuple[BatchLog, BatchLog]:
+    """Manifest and quarantine after two runs over three folders: JSON lines with broken ones, CSV, Parquet and an unknown format."""
+    base = _work_dir(w, "landing")
+    manifest, quarantine = new_logs(w.spark, base)
+    prefixes = [Prefix(f"{base}/in/payments", LANDED_ROW, "jsonl"), Prefix(f"{base}/in/products", ""), Prefix(f"{base}/in/orders", "")]
+    w.raw("payment_messages").select(F.when(F.col("value").contains("DECLINED"), F.concat(F.lit("broken "), "value")).otherwise(
+        F.col("value"))).write.text(prefixes[0].folder)
+    w.raw("oltp_products").select("product_id", "product_name").write.option("header", True).csv(prefixes[1].folder)
+    w.raw("oltp_products").limit(1).select(F.col("product_name")).write.mode("append").text(prefixes[1].folder)
+    w.raw("oltp_orders").select("order_id", "status").write.parquet(prefixes[2].folder)
+
+    def store(prefix: Prefix, rows: DataFrame, run: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{base}/rows/{prefix.folder.rsplit('/', 1)[-1]}/run={run}")
+
+    for _ in range(2):
+        load_all(w.spark, prefixes, manifest, quarantine, store, CLOCK.now)
+    return manifest, quarantine
+
+
+@_warehouse_query("landing_manifest")
+def _landing_manifest(w: Warehouse) -> DataFrame:
+    """Rows per folder and status."""
+    folder = F.regexp_extract("file_path", "/in/([a-z]+)/", 1)
+    return newest_manifest(_landed(w)[0]).groupBy(folder.alias("prefix"), "status").agg(
+        F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("rows_loaded"), F.max("error").alias("error"))
+
+
+@_warehouse_query("landing_quarantine")
+def _landing_quarantine(w: Warehouse) -> DataFrame:
+    return _landed(w)[1].read().select("line")
+
+
 @_warehouse_query("landing_catalog")
 def _landing_catalog(w: Warehouse) -> DataFrame:
     """Catalog rows through a CSV file: header, every column text."""
