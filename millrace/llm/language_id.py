@@ -215,8 +215,9 @@ def learn(labelled: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTE
         return build_trees({}, order)
     draw = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20))
     rate = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, train_bytes / r["size"]) * (1 << 20))))])
-    counted = gram_counts(rows.filter(draw < F.coalesce(F.element_at(rate, F.col("lang")), F.lit(0))), order).toPandas()
-    return build_trees({lang: (g["gram"].to_numpy(), g["n"].to_numpy()) for lang, g in counted.groupby("lang")}, order)
+    counted = gram_counts(rows.filter(draw < F.coalesce(F.element_at(rate, F.col("lang")), F.lit(0))), order).toArrow()
+    parts = {lang: counted.filter(pc.equal(counted["lang"], lang)) for lang in counted["lang"].unique().to_pylist()}
+    return build_trees({lang: (g["gram"].to_numpy(), g["n"].to_numpy()) for lang, g in parts.items()}, order)
 
 
 def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

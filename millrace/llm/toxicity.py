@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,26 +101,20 @@ def vector(vocabulary: dict[str, int], idf: np.ndarray, words: list[str]) -> tup
     return (terms, weights / norm) if norm else (terms[:0], weights[:0])
 
 
-def build_index(vocabulary: dict[str, int], idf: np.ndarray, examples: list[tuple], prior: float) -> Index:
-    """``examples``: (id, label, words), in order of their place; an example without a known term is no neighbour."""
-    terms, of, weights = [], [], []
-    for place, (_, _, words) in enumerate(examples):
-        t, w = vector(vocabulary, idf, words)
-        terms.append(t)
-        weights.append(w)
-        of.append(np.full(len(t), place))
-    terms, of, weights = (np.concatenate(x) if x else np.zeros(0) for x in (terms, of, weights))
-    terms, of = terms.astype(np.int64), of.astype(np.int64)
+def build_index(vocabulary: dict[str, int], idf: np.ndarray, ids: list, labels: np.ndarray, offsets: np.ndarray, terms: np.ndarray,
+                weights: np.ndarray, prior: float) -> Index:
+    """Index of examples given by id, label and vector; vector i stands at offsets[i] to offsets[i + 1]."""
+    terms, of = terms.astype(np.int64), np.repeat(np.arange(len(ids)), np.diff(offsets))
     order = np.lexsort((of, terms))
     terms, of, weights = terms[order], of[order], weights[order]
-    blocks = max(1, -(-len(examples) // BLOCK))
+    blocks = max(1, -(-len(ids) // BLOCK))
     # Postings of a term are in order of examples, so those of a block stand together.
     key, first, place = np.unique(terms * blocks + of // BLOCK, return_index=True, return_inverse=True)
     most = np.zeros(len(key))
     np.maximum.at(most, place, weights)
     by_row = lambda rows: np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(vocabulary)))])
     return Index(vocabulary, idf, by_row(terms), of, weights, by_row(key // blocks), key % blocks, most, np.append(first, len(terms)),
-                 [e[0] for e in examples], np.array([e[1] for e in examples], np.int64), prior, heads_of(vocabulary))
+                 ids, labels.astype(np.int64), prior, heads_of(vocabulary))
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +168,8 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             .filter(F.col("label").isin(0, 1) & (F.octet_length("text") <= MAX_EXAMPLE_BYTES)))
     n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not n:
-        return build_index({}, np.zeros(0), [], 0.0)
+        nothing = np.zeros(0)
+        return build_index({}, nothing, [], nothing, np.zeros(1, np.int64), nothing, nothing, 0.0)
     rate = F.create_map(*[x for label, count in n.items() for x in (F.lit(label), F.lit(int(min(1.0, max_examples / count) * (1 << 20))))])
     drawn = stored(rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < F.element_at(rate, F.col("label"))), "examples")
 
@@ -188,7 +184,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     share = (F.col("toxic") + F.col("other")) / F.lit(max(1, toxic_n + other_n))
     error = F.sqrt(share * (1 - share) * F.lit(1 / max(1, toxic_n) + 1 / max(1, other_n)) + 1e-12)
     z = F.abs(F.col("toxic") / F.lit(max(1, toxic_n)) - F.col("other") / F.lit(max(1, other_n))) / error
-    telling = seen.filter((F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS) & (z > LEAST_Z)).orderBy("word").collect()
+    telling = seen.filter((F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS) & (z > LEAST_Z)).orderBy("word").toArrow().to_pylist()
     seen_in = {r["word"]: (r["toxic"], r["other"]) for r in telling}
     # A longer beginning that is in the very same examples says nothing new.
     telling = [r for r in telling if not (r["word"].startswith("^") and seen_in.get(_shorter(r["word"])) == seen_in[r["word"]])]
@@ -196,14 +192,19 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     idf = np.array([math.log((1 + toxic_n + other_n) / (1 + r["toxic"] + r["other"])) + 1 for r in telling])
     heads = heads_of(vocabulary)
 
-    def kept(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = [telling_words(t, heads) for t in batch.column("text").to_pylist()]
-        return pa.record_batch([batch.column("id"), batch.column("label"), pa.array(words, pa.list_(pa.string()))], ["id", "label", "words"])
+    def vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [vector(vocabulary, idf, telling_words(t, heads)) for t in batch.column("text").to_pylist()]
+        return pa.record_batch([batch.column("id"), batch.column("label"), pa.array([t.tolist() for t, _ in found], pa.list_(pa.int32())),
+                                pa.array([w.tolist() for _, w in found], pa.list_(pa.float64()))], ["id", "label", "terms", "weights"])
 
     kind = drawn.schema["id"].dataType.simpleString()
-    reduced = mapped(drawn, kept, f"id {kind}, label int, words array<string>").filter(F.size("words") > 0).orderBy("id", "words", "label").collect()
+    reduced = (mapped(drawn, vectors, f"id {kind}, label int, terms array<int>, weights array<double>")
+               .filter(F.size("terms") > 0).orderBy("id", "terms", "label").toArrow())
+    offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(reduced["terms"]).to_numpy())]).astype(np.int64)
+    flat = lambda c, t: pc.list_flatten(reduced[c]).to_numpy().astype(t)
     # All rows count for the share of toxic ones, whatever was drawn.
-    return build_index(vocabulary, idf, [(r["id"], r["label"], r["words"]) for r in reduced], n.get(1, 0) / sum(n.values()))
+    return build_index(vocabulary, idf, reduced["id"].to_pylist(), reduced["label"].to_numpy(), offsets, flat("terms", np.int64),
+                       flat("weights", np.float64), n.get(1, 0) / sum(n.values()))
 
 
 def score_texts(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), k: int = NEIGHBOURS) -> DataFrame:

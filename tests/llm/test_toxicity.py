@@ -11,7 +11,10 @@ def made(seed=0, n=300):
     vocabulary = {f"t{i}": i for i in range(12)}
     idf = np.array([1 + i / 7 for i in range(12)])
     examples = [(i, r.randint(0, 1), r.choices(list(vocabulary), k=r.randint(1, 9))) for i in range(n)]
-    return vocabulary, idf, examples, m.build_index(vocabulary, idf, examples, 0.3)
+    vectors = [m.vector(vocabulary, idf, words) for *_, words in examples]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])])
+    terms, weights = (np.concatenate(x) for x in zip(*vectors))
+    return vocabulary, idf, examples, m.build_index(vocabulary, idf, [e[0] for e in examples], np.array([e[1] for e in examples]), offsets, terms, weights, 0.3)
 
 
 @pytest.mark.parametrize("block", [1, 4, 64])
