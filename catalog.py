@@ -32,7 +32,7 @@ from millrace.plans.staging import ingest_slice, orders_shape
 from millrace.plans.vault import HUBS, LINKS, SATELLITES, row_counts
 from millrace.plans.warehouse import TABLES, Clock, Warehouse
 from millrace.quality import invariants
-from millrace.quality.checks import CheckSpec, duplicates, evaluate, failing_rows, wrong_current
+from millrace.quality.checks import CheckSpec, duplicates, evaluate, execute_checks, failing_rows, wrong_current
 from millrace.quality.freshness import (EXTENSION, KAFKA, OLTP, Freshness, freshness, layer_counts, offenders)
 from millrace.session import apply_defaults
 from millrace.sources import files
@@ -599,6 +599,9 @@ on_warehouse("runs_longest", lambda w: runs.longest_runs(w.raw("pipeline_runs"),
 on_warehouse("runs_latest_failures", lambda w: runs.latest_failures(w.raw("pipeline_runs"), EVENTS_NOW))
 on_warehouse("runs_latest", lambda w: runs.latest_rows(
     runs.recent_runs(w.raw("pipeline_runs"), EVENTS_NOW), "started_at", "run_id"))
+# The checks as a result log: every row with its time, those of the last week.
+on_warehouse("dq_result_log", lambda w: runs.recent_results(execute_checks(
+    CHECKS, _checked_tables(w), CLOCK.now), CLOCK.now).drop("checked_at"))
 on_warehouse("runs_finished", lambda w: runs.finish(
     w.raw("pipeline_runs"), w.raw("pipeline_runs").filter("status = 'running'").select(
         "run_id", F.lit("success").alias("status"), F.col("started_at").alias("finished_at"),

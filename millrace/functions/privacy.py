@@ -28,7 +28,7 @@ def mask_name(c: Column) -> Column:
     return _unless_blank(c, F.concat(F.substring(first_word, 1, 1), F.lit("***")))
 
 
-def resolve_salt(argument: str | None, *, production: bool, variable: str = "CUSTOMER_HASH_SALT") -> str:
+def resolve_salt(argument: str | None, *, production: bool, variable: str = "MILLRACE_HASH_SALT") -> str:
     """Environment before argument; a production run without a salt must not start."""
     salt = os.environ.get(variable) or argument or ""
     if production and not salt.strip():

@@ -9,7 +9,6 @@ neither the spine nor (hub, day) pairs are ever shuffled.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,14 +19,6 @@ from .merge import replace_by_key
 POINTERS = ("load_dts", "hashdiff", "effective_from")
 
 
-@dataclass(frozen=True)
-class PitSpec:
-    name: str
-    hub: str
-    satellites: tuple[str, ...]
-    days: int = 180
-
-
 def date_spine(spark: SparkSession, as_of: date, days: int) -> DataFrame:
     """All days from ``as_of - days`` to ``as_of``."""
     bounds = F.sequence(F.lit(as_of - timedelta(days=days)), F.lit(as_of), F.expr("interval 1 day"))

@@ -11,7 +11,3 @@ from pyspark.sql import DataFrame
 def union_all(frames: Sequence[DataFrame], evolve: bool = False) -> DataFrame:
     """By name; ``evolve`` fills columns a frame does not have with NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=evolve), frames)
-
-
-def distinct_union(frames: Sequence[DataFrame]) -> DataFrame:
-    return union_all(frames).distinct()

@@ -13,6 +13,7 @@ from ..functions.measures import HIGH_VALUE_FROM, is_success, payment_state, seg
 from ..functions.text import email_domain, email_is_valid
 from ..operators.bridge import bridge_key, build_bridge
 from ..operators.scd2 import HEAD, SatSpec
+from ..session import written
 
 CUSTOMER_RULES = SatSpec(
     "sat_customer_business", "sat_customer_details",
@@ -31,15 +32,19 @@ def bridge_order_product(link: DataFrame, orders: DataFrame, products: DataFrame
     """Link rows with quantity and amount per order and product.
 
     Lines are summed before any join. The sums meet the link on the link key, which no
-    hot product can dominate; the hubs are only asked whether they know the keys.
+    hot product can dominate. Products that the hub does not know are found among the
+    distinct ones and taken out, so lines are never dealt out by product unless very
+    many products are unknown.
     """
     lines = items.groupBy("order_bk", "product_bk").agg(
         F.sum("quantity").cast("long").alias("total_quantity"),
         F.sum("line_amount").cast("decimal(24,2)").alias("total_line_amount"),
         F.max("load_dts").alias("load_dts"), F.min("record_source").alias("record_source"))
-    known = lines.join(
+    unknown = written(items.select("product_bk").distinct().join(
+        products.select(F.col("business_key").alias("product_bk")), "product_bk", "left_anti"), "unknown-products")
+    known = lines.filter(F.col("product_bk").isNotNull()).join(
         orders.select(F.col("business_key").alias("order_bk")), "order_bk", "left_semi").join(
-        products.select(F.col("business_key").alias("product_bk")), "product_bk", "left_semi")
+        unknown, "product_bk", "left_anti")
     keyed = known.withColumn("link_key", hash_parts([F.col("order_bk"), F.col("product_bk")]))
     ends = link.select("link_key", "order_hub_key", "product_hub_key")
     return keyed.join(ends, "link_key").select(

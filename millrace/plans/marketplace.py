@@ -68,10 +68,10 @@ def orders_by_country(events: DataFrame) -> DataFrame:
 
 
 def order_events(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Order events as they are sent: the order's total with an array of items, here one per event."""
+    """Order events as they are sent: the order's total with the array of its items, in line order."""
     item = F.struct("line_number", "product_id", "quantity", "unit_price")
-    return lines.select("order_id", F.array(item).alias("items")).join(
-        orders.select("order_id", "total_amount"), "order_id")
+    items = lines.groupBy("order_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    return items.join(orders.select("order_id", "total_amount"), "order_id")
 
 
 def item_totals(events: DataFrame, discount: Column | None = None) -> DataFrame:

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 
@@ -33,15 +34,8 @@ class CheckSpec:
     min_rows: int = 1
 
 
-@dataclass(frozen=True)
-class CheckResult:
-    name: str
-    table: str
-    severity: str
-    passed: bool
-    observed: str | None
-    expected: str | None
-    error: str | None = None
+RESULT_SCHEMA = ("check_name string, table_name string, severity string, passed boolean, observed_value string, "
+                 "expected_value string, error string, checked_at timestamp")
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -152,21 +146,34 @@ def evaluate(specs: Sequence[CheckSpec], tables: Mapping[str, DataFrame]) -> Dat
     return reduce(DataFrame.unionByName, frames)
 
 
-def execute_checks(specs: Sequence[CheckSpec], tables: Mapping[str, DataFrame],
-                   fail_on: Sequence[str] = ("error", "critical")) -> tuple[list[CheckResult], list[CheckResult]]:
-    """Runs every check on its own, so one that raises fails alone; returns all and blocking results.
+def execute_checks(specs: Sequence[CheckSpec], tables: Mapping[str, DataFrame], now: datetime) -> DataFrame:
+    """One row per check with its result, the time and, if it could not run, its error.
 
-    An unknown check type is a configuration error and raises before anything runs.
+    All checks run together; only if that raises does each run on its own, so that one broken check fails alone. An
+    unknown check type is a configuration error and raises before anything runs.
     """
     for spec in specs:
         if spec.type not in ROW_CHECKS + GROUP_CHECKS:
             raise ValueError(f"unknown check type: {spec.type}")
-    results = []
-    for spec in specs:
-        try:
-            row = evaluate([spec], tables).first()
-            results.append(CheckResult(spec.name, spec.table, spec.severity, row["passed"], row["observed_value"],
-                                       row["expected_value"]))
-        except Exception as problem:  # noqa: BLE001 - a broken check is a failed check
-            results.append(CheckResult(spec.name, spec.table, spec.severity, False, None, None, str(problem)))
-    return results, [r for r in results if not r.passed and r.severity in fail_on]
+    spark = next(iter(tables.values())).sparkSession
+    try:
+        rows = [(*_outcome(r), None, now) for r in evaluate(specs, tables).collect()]
+    except Exception:  # noqa: BLE001 - found again, and named, below
+        rows = [_alone(spec, tables, now) for spec in specs]
+    return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
+def _outcome(row: Row) -> tuple:
+    return tuple(row[c] for c in ("check_name", "table_name", "severity", "passed", "observed_value", "expected_value"))
+
+
+def _alone(spec: CheckSpec, tables: Mapping[str, DataFrame], now: datetime) -> tuple:
+    try:
+        return (*_outcome(evaluate([spec], tables).first()), None, now)
+    except Exception as problem:  # noqa: BLE001 - a broken check is a failed check
+        return spec.name, spec.table, spec.severity, False, None, None, str(problem), now
+
+
+def blocking(results: DataFrame, fail_on: Sequence[str] = ("error", "critical")) -> DataFrame:
+    """Failed checks of a severity that stops a run."""
+    return results.filter(~F.col("passed") & F.col("severity").isin(*fail_on))

@@ -280,7 +280,7 @@ def _orphan(child: str, column: str, parent: str, parent_column: str, extra: str
 
 _FILE_IDS = "(SELECT 'pay-' || payment_id AS event_id FROM raw_file_payments)"
 _TWO = "(SELECT * FROM state_2 UNION ALL SELECT * FROM state_1)"
-add("dq_results", " UNION ALL ".join([
+_DQ_RESULTS = " UNION ALL ".join([
     _check("stg_customers_pk_unique", "clean_customers", "critical", _dup("clean_customers", "customer_id")),
     _check("stg_orders_not_null", "clean_orders", "critical",
            "count(*) AS n FROM clean_orders WHERE order_id IS NULL OR customer_id IS NULL OR order_ts IS NULL OR status IS NULL"),
@@ -314,7 +314,9 @@ add("dq_results", " UNION ALL ".join([
            _dup("mart_cohort_retention", "cohort_month, activity_date, days_since_first_order")),
     _check("retention_two_column_grain", "mart_cohort_retention", "warning",
            _dup("mart_cohort_retention", "cohort_month, activity_date")),
-]))
+])
+add("dq_results", _DQ_RESULTS)
+add("dq_result_log", f"SELECT *, CAST(NULL AS VARCHAR) AS error FROM ({_DQ_RESULTS}) AS r")
 add("dq_failing_duplicates", "SELECT order_item_id, count(*) AS row_count FROM raw_oltp_order_items GROUP BY 1 HAVING count(*) > 1")
 add("dq_failing_orphans", f"""
     SELECT c.topic, c.partition_id, c.kafka_offset, c.event_id FROM raw_kafka_payments c

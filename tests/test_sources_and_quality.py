@@ -12,6 +12,7 @@ from millrace.functions.payloads import extension_rows, order_rows, parse_moment
 from millrace.functions.privacy import mask_email, mask_name, resolve_salt
 from millrace.functions.text import email_is_valid, identifier_token
 from millrace.meta import watermarks
+from millrace.meta.runs import recent_results
 from millrace.ml.order_value import TrainingSpec, save, train, training_frame
 from millrace.operators.contracts import Contract, split, with_violations
 from millrace.plans import finance
@@ -19,7 +20,7 @@ from millrace.plans.business import payments_per_order
 from millrace.plans.marketplace import rank_bucket, web_vitals_p95, web_vitals_p95_exact
 from millrace.plans.marts import mart_cohort_retention
 from millrace.plans.serving import agg_daily_sales
-from millrace.quality.checks import CheckSpec, evaluate, execute_checks
+from millrace.quality.checks import CheckSpec, blocking, evaluate, execute_checks
 from millrace.session import shared_dir
 from millrace.sources import files, layers
 from millrace.sources.extract import SOURCES, Cursor, extract_all, extract_page, next_cursor
@@ -53,11 +54,11 @@ def test_masks_and_text(spark):
 
 
 def test_salt_guard(monkeypatch):
-    monkeypatch.delenv("CUSTOMER_HASH_SALT", raising=False)
+    monkeypatch.delenv("MILLRACE_HASH_SALT", raising=False)
     assert resolve_salt(None, production=False) == ""
     with pytest.raises(ValueError):
         resolve_salt(" ", production=True)
-    monkeypatch.setenv("CUSTOMER_HASH_SALT", "env")
+    monkeypatch.setenv("MILLRACE_HASH_SALT", "env")
     assert resolve_salt("arg", production=True) == "env"
 
 
@@ -179,11 +180,13 @@ def test_checks(spark, tmp_path):
     got = {r["check_name"]: r["observed_value"] for r in evaluate(specs, tables).collect()}
     assert got == {"u": "1", "n": "1", "r": "2", "free": "0", "o": "3", "i": "2", "m": "3"}
     broken = CheckSpec("b", "t", "not_null", columns=("missing",))
-    results, blocking = execute_checks([specs[1], specs[3], broken], tables)
-    assert [r.passed for r in results] == [False, True, False] and [r.name for r in blocking] == ["b"]
-    assert results[2].error and results[2].observed is None
+    results = execute_checks([specs[1], specs[3], broken], tables, NOW)
+    found = {r["check_name"]: r for r in results.collect()}
+    assert {k: r["passed"] for k, r in found.items()} == {"n": False, "free": True, "b": False}
+    assert one(blocking(results).select("check_name")) == ["b"] and found["b"]["error"] and found["n"]["checked_at"] == NOW
+    assert found["b"]["observed_value"] is None and recent_results(results, NOW).count() == 3
     with pytest.raises(ValueError):
-        execute_checks([CheckSpec("x", "t", "nonsense")], tables)
+        execute_checks([CheckSpec("x", "t", "nonsense")], tables, NOW)
     paths = layers.store_failures(specs[:2], tables, str(tmp_path))
     assert spark.read.parquet(paths[1]).count() == 1
 
