@@ -18,9 +18,6 @@ BATCH_ROWS = 1000
 #: Bytes of text that an operator sees at once, but for one longer text.
 BATCH_BYTES = 4 << 20
 
-#: ASCII letters that have a lower-case form; fixed values.
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

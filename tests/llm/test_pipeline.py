@@ -3,7 +3,6 @@ import importlib
 
 import duckdb
 import numpy as np
-import pytest
 from test_decontamination import slow_search
 from test_simhash_dedup import slow_fingerprint, slow_groups
 from tokenizers import Tokenizer
