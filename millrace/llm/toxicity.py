@@ -2,7 +2,7 @@
 
 Terms are words, word beginnings of ``STEMS`` characters, and the latter once more as "seen at least n times" (``TIMES``):
 of these, the ones that tell the labels apart, whose share of toxic examples differs from their share of the others by
-more than ``LEAST_Z`` standard errors. Texts are TF-IDF vectors of these terms, at length one. The index holds the
+more than ``LEAST_Z`` standard errors and by ``LEAST_GAP`` or more, so that their number does not grow with the data. Texts are TF-IDF vectors of these terms, at length one. The index holds the
 examples' weights by term in blocks of examples with each block's maximum; a query adds the maxima to a bound per block,
 visits blocks from the highest bound down and stops when no bound can reach its k-th best cosine, so the neighbours are
 exact. Votes weigh with the cosine and a prior weight of ``PRIOR_WEIGHT`` pulls a score with little evidence to the
@@ -28,7 +28,7 @@ from millrace.llm.common import mapped, or_empty, stored
 MAX_EXAMPLES = 10_000
 #: Longest text of an example in bytes; longer ones are not drawn.
 MAX_EXAMPLE_BYTES = 1 << 20
-LEAST_Z, LEAST_DOCUMENTS = 6.0, 5
+LEAST_Z, LEAST_GAP, LEAST_DOCUMENTS = 6.0, 0.02, 5
 NEIGHBOURS, PRIOR_WEIGHT = 15, 1.0
 BLOCK = 64
 STEMS, TIMES = range(4, 9), (2, 4)
@@ -183,8 +183,8 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             .agg(F.sum("label").alias("toxic"), (F.count("*") - F.sum("label")).alias("other")))
     share = (F.col("toxic") + F.col("other")) / F.lit(max(1, toxic_n + other_n))
     error = F.sqrt(share * (1 - share) * F.lit(1 / max(1, toxic_n) + 1 / max(1, other_n)) + 1e-12)
-    z = F.abs(F.col("toxic") / F.lit(max(1, toxic_n)) - F.col("other") / F.lit(max(1, other_n))) / error
-    telling = seen.filter((F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS) & (z > LEAST_Z)).orderBy("word").toArrow().to_pylist()
+    gap = F.abs(F.col("toxic") / F.lit(max(1, toxic_n)) - F.col("other") / F.lit(max(1, other_n)))
+    telling = seen.filter((F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS) & (gap >= LEAST_GAP) & (gap / error > LEAST_Z)).orderBy("word").toArrow().to_pylist()
     seen_in = {r["word"]: (r["toxic"], r["other"]) for r in telling}
     # A longer beginning that is in the very same examples says nothing new.
     telling = [r for r in telling if not (r["word"].startswith("^") and seen_in.get(_shorter(r["word"])) == seen_in[r["word"]])]
