@@ -10,7 +10,7 @@ close copies costs no square.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -212,13 +212,13 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .mapInArrow(lambda batches: _join_partition(batches, starts, max_bits), "u bigint, v bigint"))
 
 
-def grouped(prints: DataFrame, id_col: str = "doc_id", max_bits: int = MAX_BITS) -> DataFrame:
+def grouped(prints: DataFrame, id_col: str = "doc_id", links: Callable[[DataFrame], DataFrame] = near_links) -> DataFrame:
     """``prints`` (with fp) plus component_id, the smallest id of the group, and root, its least fingerprint.
 
-    A null id counts only if there is no other.
+    ``links`` makes the links (u, v) of the distinct fingerprints. A null id counts only if there is no other.
     """
     distinct = stored(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "fingerprints")
-    roots = components(near_links(distinct, max_bits))
+    roots = components(links(distinct))
     of = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     # A written side, so that Spark can split a fingerprint of very many documents.
     named = stored(of.join(of.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "root"), "groups")
@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingle. Repeated ids are rows of their own and meet in the group of the id's texts. An empty table gives no rows.
     """
     prints = stored(fingerprints(docs, id_col, text_col), "prints")
-    return grouped(prints, id_col, max_bits).select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return grouped(prints, id_col, lambda distinct: near_links(distinct, max_bits)).select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
@@ -240,10 +240,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
 
     Of rows with that id the one with the least hash over all columns stays; of equal rows, one.
     """
-    columns = docs.columns
-    marked = docs.withColumn("_row", F.xxhash64(*columns))
+    marked = docs.withColumn("_row", F.xxhash64(*docs.columns))
     prints = stored(fingerprints(marked, id_col, text_col, keep=("_row",)), "prints")
-    firsts = grouped(prints, id_col, max_bits).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
+    return first_rows(marked, docs.columns, prints, id_col, lambda distinct: near_links(distinct, max_bits))
+
+
+def first_rows(marked: DataFrame, columns: list[str], prints: DataFrame, id_col: str, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Of each group of ``prints`` (id, _row, fp) that ``links`` makes, the first row of ``marked`` (``columns``, _row), as in ``keep_one``."""
+    firsts = grouped(prints, id_col, links).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
     chosen = stored(firsts.groupBy("root").agg(F.min(F.struct("_row", id_col)).alias("least"))
                     .select(F.col("least").getField(id_col).alias(id_col), F.col("least._row").alias("_row"))
                     .join(prints.groupBy(F.col("_row").alias("_same")).agg(F.count("*").alias("_n")), F.col("_row") == F.col("_same"))
