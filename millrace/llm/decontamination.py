@@ -8,9 +8,10 @@ terms. Their postings are gathered first by block of entries with the block's ma
 below the score are skipped, then entries likewise, and the rest are scored in full. All passages of a batch go through
 each step together.
 
-A retrieved entry is verified by its five-word shingles: ``MIN_OVERLAP`` of all, and ``MIN_PART`` of those of the question
-and of those of the answer, must stand in the passage. The answer begins after a question mark or "answer:"; without
-one, in the middle.
+The item of a retrieved entry is verified whole by its five-word shingles: ``MIN_OVERLAP`` of all, and ``MIN_PART`` of those
+of the question and of those of the answer, must stand in a window around the passage: for an item of up to ``ENTRY_WORDS``
+words the passage itself, for a longer one neighbouring passages, so that every stretch of the item's length lies whole in
+a window. The answer begins after a question mark or "answer:"; without one, in the middle.
 """
 
 from __future__ import annotations
@@ -41,7 +42,10 @@ _ANSWER = re.compile(r"\?|\banswer\s*:", re.I)
 
 @dataclass
 class Index:
-    """Postings in rows by term: essential ones by block (with maxima) and by entry, and all terms of each entry."""
+    """Postings in rows by term: essential ones by block (with maxima) and by entry, all terms of each entry and its item.
+
+    By item: shingles of question and answer, and the number of passages in a window.
+    """
 
     items: list
     vocabulary: dict[str, int]
@@ -54,8 +58,10 @@ class Index:
     entry_impact: np.ndarray
     entry_need: np.ndarray
     full: list[dict[int, float]]
+    item_of: list[int]
     question: list[frozenset]
     answer: list[frozenset]
+    spans: list[int]
     block_size: int = BLOCK
 
 
@@ -68,16 +74,21 @@ def shingles(words: list[str]) -> list[tuple]:
     return [tuple(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))] if words else []
 
 
-def entries_of(text: str) -> list[tuple[list[str], int]]:
-    """(words, place of the answer) of each entry; neighbouring entries share four words."""
-    words = words_of(text)
+def answer_place(text: str, words: list[str]) -> int:
+    """Place of the answer's first word; the middle if a mark leaves nothing before or after it."""
     mark = _ANSWER.search(text)
     answer = len(words_of(text[:mark.end()])) if mark else len(words) // 2
-    if not 0 < answer < len(words):
-        answer = len(words) // 2
+    return answer if 0 < answer < len(words) else len(words) // 2
+
+
+def entries_of(text: str) -> list[tuple[list[str], int]]:
+    """(words, place of the answer) of each entry; neighbouring entries share four words, the last reaches back to full length."""
+    words = words_of(text)
+    answer = answer_place(text, words)
     step = ENTRY_WORDS - SHINGLE + 1
     out = []
     for low in range(0, max(1, len(words) - SHINGLE + 1), step):
+        low = max(0, min(low, len(words) - ENTRY_WORDS))
         part = words[low:low + ENTRY_WORDS]
         inside = answer - low
         out.append((part, inside if 0 < inside < len(part) else len(part) // 2))
@@ -90,10 +101,17 @@ def _by_row(rows: np.ndarray, n: int) -> np.ndarray:
 
 def build_index(items: list[tuple], frequency: dict[str, int], n_entries: int, mean_words: float) -> Index:
     """Index of (item id, text) pairs with the document frequencies of all entries of the benchmark."""
-    owners, vocabulary, full, question, answer = [], {}, [], [], []
+    owners, vocabulary, full, item_of, question, answer, spans = [], {}, [], [], [], [], []
     terms, of, impacts, needs = [], [], [], []
     for item, text in items:
-        for words, cut in entries_of(text or ""):
+        whole = words_of(text or "")
+        if not whole:
+            continue
+        cuts, cut = shingles(whole), answer_place(text, whole)
+        question.append(frozenset(cuts[:cut]))
+        answer.append(frozenset(cuts[cut:]))
+        spans.append(-(-len(whole) // ENTRY_WORDS))
+        for words, _ in entries_of(text):
             norm = K1 * (1 - B + B * len(words) / mean_words)
             score = {w: math.log(1 + (n_entries - frequency[w] + 0.5) / (frequency[w] + 0.5)) * tf * (K1 + 1) / (tf + norm) for w, tf in Counter(words).items()}
             own = sum(score.values())
@@ -109,9 +127,7 @@ def build_index(items: list[tuple], frequency: dict[str, int], n_entries: int, m
             needs.append(MIN_SCORE - rest)
             owners.append(item)
             full.append(shares)
-            cuts = shingles(words)
-            question.append(frozenset(cuts[:cut]))
-            answer.append(frozenset(cuts[cut:]))
+            item_of.append(len(spans) - 1)
     terms, of, impacts, needs = np.array(terms, np.int64), np.array(of, np.int64), np.array(impacts), np.array(needs)
     order = np.lexsort((of, terms))
     terms, of, impacts = terms[order], of[order], impacts[order]
@@ -122,7 +138,7 @@ def build_index(items: list[tuple], frequency: dict[str, int], n_entries: int, m
     block_need = np.full(blocks, np.inf)
     np.minimum.at(block_need, np.arange(len(owners)) // BLOCK, needs)
     n = len(vocabulary)
-    return Index(owners, vocabulary, _by_row(pairs // blocks, n), pairs % blocks, most, block_need, _by_row(terms, n), of, impacts, needs, full, question, answer, BLOCK)
+    return Index(owners, vocabulary, _by_row(pairs // blocks, n), pairs % blocks, most, block_need, _by_row(terms, n), of, impacts, needs, full, item_of, question, answer, spans, BLOCK)
 
 
 def _spread(rows: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,27 +171,27 @@ def candidates(index: Index, passage: np.ndarray, term: np.ndarray) -> tuple[np.
     return pair // width, pair % width
 
 
-def verified(index: Index, words: list[str], ids: np.ndarray, passage: int, entry: int) -> float | None:
-    """Score of the passage for the entry if it reaches ``MIN_SCORE`` and question and answer overlap; else None."""
+def reached(index: Index, ids: np.ndarray, passage: int, entry: int) -> float | None:
+    """Score of the passage for the entry if it reaches ``MIN_SCORE``; else None."""
     low = passage * STRIDE
     present = set(ids[low:low + PASSAGE_WORDS].tolist())
     score = sum(s for t, s in index.full[entry].items() if t in present)
-    if score < MIN_SCORE - 1e-9:
-        return None
-    question, answer = index.question[entry], index.answer[entry]
+    return score if score >= MIN_SCORE - 1e-9 else None
+
+
+def holds(index: Index, words: list[str], first: int, item: int) -> bool:
+    """Whether enough of the item's shingles, of all and of each part, stand in its window from passage ``first`` on."""
+    question, answer = index.question[item], index.answer[item]
     whole = question | answer
-    window = words[low:low + PASSAGE_WORDS]
+    low = first * STRIDE
+    window = words[low:low + (index.spans[item] - 1) * STRIDE + PASSAGE_WORDS]
     size = len(next(iter(whole)))
     here = {tuple(window[i:i + size]) for i in range(len(window) - size + 1)}
-    if len(whole & here) < MIN_OVERLAP * len(whole):
-        return None
-    if any(part and len(part & here) < MIN_PART * len(part) for part in (question, answer)):
-        return None
-    return score
+    return len(whole & here) >= MIN_OVERLAP * len(whole) and all(len(part & here) >= MIN_PART * len(part) for part in (question, answer))
 
 
 def search(index: Index, texts: list[str]) -> list[dict]:
-    """For each text {item: best score of a verified entry}."""
+    """For each text {item: best score of an entry of it in a passage of a window that holds the item}."""
     out: list[dict] = [{} for _ in texts]
     get = index.vocabulary.get
     essential = index.entry_rows[1:] > index.entry_rows[:-1]
@@ -199,12 +215,20 @@ def search(index: Index, texts: list[str]) -> list[dict]:
     if not len(pairs):
         return out
     starts = np.array(firsts)
+    held: dict[tuple[int, int, int], bool] = {}
     for passage, entry in zip(*candidates(index, pairs // n, pairs % n)):
         text = int(np.searchsorted(starts, passage, side="right")) - 1
-        score = verified(index, all_words[text], all_ids[text], int(passage - starts[text]), int(entry))
-        if score is not None:
-            item = index.items[entry]
-            out[text][item] = max(score, out[text].get(item, 0.0))
+        place, own = int(passage - starts[text]), index.item_of[entry]
+        item = index.items[entry]
+        score = reached(index, all_ids[text], place, int(entry))
+        if score is None or score <= out[text].get(item, 0.0):
+            continue
+        for first in range(max(0, place - index.spans[own] + 1), place + 1):
+            if (text, first, own) not in held:
+                held[text, first, own] = holds(index, all_words[text], first, own)
+            if held[text, first, own]:
+                out[text][item] = score
+                break
     return out
 
 
