@@ -2,7 +2,9 @@
 
 Terms are words, word beginnings of ``STEMS`` characters, and the latter once more as "seen at least n times" (``TIMES``):
 of these, the ones that tell the labels apart, whose share of toxic examples differs from their share of the others by
-more than ``LEAST_Z`` standard errors and by ``LEAST_GAP`` or more, so that their number does not grow with the data. Texts are TF-IDF vectors of these terms, at length one. The index holds the
+more than ``LEAST_Z`` standard errors and by ``LEAST_GAP`` or more, so that their number does not grow with the data. Texts are TF-IDF vectors of these terms, at length one.
+If the labels are drawn at different rates, document frequencies and votes count each example by the inverse of its label's
+rate. The index holds the
 examples' weights by term in blocks of examples with each block's maximum; a query adds the maxima to a bound per block,
 visits blocks from the highest bound down and stops when no bound can reach its k-th best cosine, so the neighbours are
 exact. Votes weigh with the cosine and a prior weight of ``PRIOR_WEIGHT`` pulls a score with little evidence to the
@@ -52,6 +54,8 @@ class Index:
     labels: np.ndarray
     prior: float
     heads: frozenset[str]
+    #: Weight of a neighbour's vote by label.
+    votes: tuple[float, float] = (1.0, 1.0)
 
 
 def words_of(text: str) -> list[str]:
@@ -102,7 +106,7 @@ def vector(vocabulary: dict[str, int], idf: np.ndarray, words: list[str]) -> tup
 
 
 def build_index(vocabulary: dict[str, int], idf: np.ndarray, ids: list, labels: np.ndarray, offsets: np.ndarray, terms: np.ndarray,
-                weights: np.ndarray, prior: float) -> Index:
+                weights: np.ndarray, prior: float, votes: tuple[float, float] = (1.0, 1.0)) -> Index:
     """Index of examples given by id, label and vector; vector i stands at offsets[i] to offsets[i + 1]."""
     terms, of = terms.astype(np.int64), np.repeat(np.arange(len(ids)), np.diff(offsets))
     order = np.lexsort((of, terms))
@@ -114,7 +118,7 @@ def build_index(vocabulary: dict[str, int], idf: np.ndarray, ids: list, labels:
     np.maximum.at(most, place, weights)
     by_row = lambda rows: np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(vocabulary)))])
     return Index(vocabulary, idf, by_row(terms), of, weights, by_row(key // blocks), key % blocks, most, np.append(first, len(terms)),
-                 ids, labels.astype(np.int64), prior, heads_of(vocabulary))
+                 ids, labels.astype(np.int64), prior, heads_of(vocabulary), votes)
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,16 +157,17 @@ def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int) -> lis
 
 
 def vote(index: Index, found: list[tuple[int, float]]) -> float:
-    """Share of toxic neighbours, weighted by cosine; the prior counts as one neighbour of weight ``PRIOR_WEIGHT``."""
-    total = sum(c for _, c in found)
-    toxic = sum(c for place, c in found if index.labels[place] == 1)
+    """Share of toxic neighbours, weighted by cosine and the vote of their label; the prior counts as one of weight ``PRIOR_WEIGHT``."""
+    total = sum(c * index.votes[index.labels[place]] for place, c in found)
+    toxic = sum(c * index.votes[1] for place, c in found if index.labels[place] == 1)
     return (toxic + PRIOR_WEIGHT * index.prior) / (total + PRIOR_WEIGHT)
 
 
 def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_examples: int = MAX_EXAMPLES) -> Index:
     """Index of labelled rows (id, text, label 0 or 1); rows without a label are left out.
 
-    At most about ``max_examples`` of each label are drawn, whole. Document frequencies are counted by Spark.
+    At most about ``max_examples`` of each label are drawn, whole. Document frequencies are counted by Spark and, like votes,
+    weighted by the number of rows that a drawn one stands for; the vote of the label drawn at the higher rate is one.
     """
     rows = (labelled.select(F.col(id_col).alias("id"), or_empty(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
             .filter(F.col("label").isin(0, 1) & (F.octet_length("text") <= MAX_EXAMPLE_BYTES)))
@@ -179,6 +184,8 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     size = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic_n, other_n = size.get(1, 0), size.get(0, 0)
+    stands = {label: n.get(label, 0) / size[label] if size.get(label) else 1.0 for label in (0, 1)}
+    total = n.get(1, 0) + n.get(0, 0)
     seen = (mapped(drawn.select("label", "text"), distinct, "label int, word string").groupBy("word")
             .agg(F.sum("label").alias("toxic"), (F.count("*") - F.sum("label")).alias("other")))
     share = (F.col("toxic") + F.col("other")) / F.lit(max(1, toxic_n + other_n))
@@ -189,7 +196,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     # A longer beginning that is in the very same examples says nothing new.
     telling = [r for r in telling if not (r["word"].startswith("^") and seen_in.get(_shorter(r["word"])) == seen_in[r["word"]])]
     vocabulary = {r["word"]: i for i, r in enumerate(telling)}
-    idf = np.array([math.log((1 + toxic_n + other_n) / (1 + r["toxic"] + r["other"])) + 1 for r in telling])
+    idf = np.array([math.log((1 + total) / (1 + stands[1] * r["toxic"] + stands[0] * r["other"])) + 1 for r in telling])
     heads = heads_of(vocabulary)
 
     def vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -204,7 +211,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     flat = lambda c, t: pc.list_flatten(reduced[c]).to_numpy().astype(t)
     # All rows count for the share of toxic ones, whatever was drawn.
     return build_index(vocabulary, idf, reduced["id"].to_pylist(), reduced["label"].to_numpy(), offsets, flat("terms", np.int64),
-                       flat("weights", np.float64), n.get(1, 0) / sum(n.values()))
+                       flat("weights", np.float64), n.get(1, 0) / sum(n.values()), tuple(stands[x] / min(stands[y] for y in size) for x in (0, 1)))
 
 
 def score_texts(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), k: int = NEIGHBOURS) -> DataFrame:
