@@ -2,9 +2,10 @@
 
 Terms are words, word beginnings of ``STEMS`` characters, and the latter once more as "seen at least n times" (``TIMES``):
 of these, the ones that tell the labels apart, whose share of toxic examples differs from their share of the others by
-more than ``LEAST_Z`` standard errors and by ``LEAST_GAP`` or more, so that their number does not grow with the data. Texts are TF-IDF vectors of these terms, at length one.
-If the labels are drawn at different rates, document frequencies and votes count each example by the inverse of its label's
-rate. The index holds the
+more than ``LEAST_Z`` standard errors, however rare they are; the drawn examples bound their number. Texts are TF-IDF
+vectors of these terms, at length one; a text without any has one term that stands for all its words, so that an exact copy
+of an example has cosine one with it. If the labels are drawn at different rates, document frequencies and votes count each
+example by the inverse of its label's rate. The index holds the
 examples' weights by term in blocks of examples with each block's maximum; a query adds the maxima to a bound per block,
 visits blocks from the highest bound down and stops when no bound can reach its k-th best cosine, so the neighbours are
 exact. Votes weigh with the cosine and a prior weight of ``PRIOR_WEIGHT`` pulls a score with little evidence to the
@@ -13,6 +14,7 @@ share of toxic examples; the neighbours are returned as evidence.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -30,7 +32,7 @@ from millrace.llm.common import mapped, or_empty, stored
 MAX_EXAMPLES = 10_000
 #: Longest text of an example in bytes; longer ones are not drawn.
 MAX_EXAMPLE_BYTES = 1 << 20
-LEAST_Z, LEAST_GAP, LEAST_DOCUMENTS = 6.0, 0.02, 5
+LEAST_Z, LEAST_DOCUMENTS = 6.0, 5
 NEIGHBOURS, PRIOR_WEIGHT = 15, 1.0
 BLOCK = 64
 STEMS, TIMES = range(4, 9), (2, 4)
@@ -79,6 +81,11 @@ def terms_of(words: list[str]) -> Counter:
     return counts
 
 
+def whole_term(words: list[str]) -> str:
+    """The term of a text as a whole; no other term begins with this sign."""
+    return "=" + hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def _shorter(term: str) -> str:
     """The same kind of term with one letter less."""
     stem, slash, times = term.partition("/")
@@ -87,7 +94,7 @@ def _shorter(term: str) -> str:
 
 def heads_of(vocabulary) -> frozenset[str]:
     """First characters of all terms: a word with other ones has no known term."""
-    return frozenset(t.removeprefix("^").split("/")[0][:STEMS[0]] for t in vocabulary)
+    return frozenset(t.removeprefix("^").split("/")[0][:STEMS[0]] for t in vocabulary if t[0] != "=")
 
 
 def telling_words(text: str, heads: frozenset[str]) -> list[str]:
@@ -105,6 +112,13 @@ def vector(vocabulary: dict[str, int], idf: np.ndarray, words: list[str]) -> tup
     return (terms, weights / norm) if norm else (terms[:0], weights[:0])
 
 
+def text_vector(vocabulary: dict[str, int], idf: np.ndarray, text: str, heads: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Vector of the telling terms; without any, of the one term of the whole text if the vocabulary has it."""
+    terms, weights = vector(vocabulary, idf, telling_words(text, heads))
+    whole = None if len(terms) else vocabulary.get(whole_term(words_of(text)))
+    return (terms, weights) if whole is None else (np.array([whole], np.int64), np.ones(1))
+
+
 def build_index(vocabulary: dict[str, int], idf: np.ndarray, ids: list, labels: np.ndarray, offsets: np.ndarray, terms: np.ndarray,
                 weights: np.ndarray, prior: float, votes: tuple[float, float] = (1.0, 1.0)) -> Index:
     """Index of examples given by id, label and vector; vector i stands at offsets[i] to offsets[i + 1]."""
@@ -191,7 +205,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     share = (F.col("toxic") + F.col("other")) / F.lit(max(1, toxic_n + other_n))
     error = F.sqrt(share * (1 - share) * F.lit(1 / max(1, toxic_n) + 1 / max(1, other_n)) + 1e-12)
     gap = F.abs(F.col("toxic") / F.lit(max(1, toxic_n)) - F.col("other") / F.lit(max(1, other_n)))
-    telling = seen.filter((F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS) & (gap >= LEAST_GAP) & (gap / error > LEAST_Z)).orderBy("word").toArrow().to_pylist()
+    telling = seen.filter((F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS) & (gap / error > LEAST_Z)).orderBy("word").toArrow().to_pylist()
     seen_in = {r["word"]: (r["toxic"], r["other"]) for r in telling}
     # A longer beginning that is in the very same examples says nothing new.
     telling = [r for r in telling if not (r["word"].startswith("^") and seen_in.get(_shorter(r["word"])) == seen_in[r["word"]])]
@@ -200,13 +214,23 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     heads = heads_of(vocabulary)
 
     def vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [vector(vocabulary, idf, telling_words(t, heads)) for t in batch.column("text").to_pylist()]
+        texts = batch.column("text").to_pylist()
+        found = [vector(vocabulary, idf, telling_words(t, heads)) for t in texts]
+        whole = [whole_term(words) if not len(v) and (words := words_of(t)) else None for t, (v, _) in zip(texts, found)]
         return pa.record_batch([batch.column("id"), batch.column("label"), pa.array([t.tolist() for t, _ in found], pa.list_(pa.int32())),
-                                pa.array([w.tolist() for _, w in found], pa.list_(pa.float64()))], ["id", "label", "terms", "weights"])
+                                pa.array([w.tolist() for _, w in found], pa.list_(pa.float64())), pa.array(whole, pa.string())],
+                               ["id", "label", "terms", "weights", "whole"])
 
     kind = drawn.schema["id"].dataType.simpleString()
-    reduced = (mapped(drawn, vectors, f"id {kind}, label int, terms array<int>, weights array<double>")
-               .filter(F.size("terms") > 0).orderBy("id", "terms", "label").toArrow())
+    reduced = (mapped(drawn, vectors, f"id {kind}, label int, terms array<int>, weights array<double>, whole string")
+               .filter((F.size("terms") > 0) | F.col("whole").isNotNull()).orderBy("id", "terms", "label").toArrow())
+    rows_whole = reduced["whole"].to_pylist()
+    for term in rows_whole:
+        if term is not None:
+            vocabulary.setdefault(term, len(vocabulary))
+    idf = np.append(idf, np.ones(len(vocabulary) - len(idf)))
+    reduced = reduced.set_column(2, "terms", pa.array([t if w is None else [vocabulary[w]] for t, w in zip(reduced["terms"].to_pylist(), rows_whole)], pa.list_(pa.int32())))
+    reduced = reduced.set_column(3, "weights", pa.array([x if w is None else [1.0] for x, w in zip(reduced["weights"].to_pylist(), rows_whole)], pa.list_(pa.float64())))
     offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(reduced["terms"]).to_numpy())]).astype(np.int64)
     flat = lambda c, t: pc.list_flatten(reduced[c]).to_numpy().astype(t)
     # All rows count for the share of toxic ones, whatever was drawn.
@@ -217,7 +241,7 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 def score_texts(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), k: int = NEIGHBOURS) -> DataFrame:
     """One row per input row: id, columns of ``keep``, score, predicted, evidence (array of (example, cosine, label)).
 
-    A text without a telling term, an empty or a null one has the score of the prior and no evidence. Without labelled
+    A text without a telling term that is no copy of an example, an empty or a null one has the score of the prior and no evidence. Without labelled
     rows every score is 0. Rows with a null or repeated id are answered one by one. Texts are read whole.
     """
     holder = docs.sparkSession.sparkContext.broadcast(index)
@@ -229,7 +253,7 @@ def score_texts(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col:
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         ix, scores, evidence = holder.value, [], []
         for text in batch.column("text").to_pylist():
-            found = nearest(ix, *vector(ix.vocabulary, ix.idf, telling_words(text, ix.heads)), k) if text else []
+            found = nearest(ix, *text_vector(ix.vocabulary, ix.idf, text, ix.heads), k) if text else []
             scores.append(vote(ix, found))
             evidence.append([{"example": str(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for p, c in found])
         predicted = [int(s >= 0.5) for s in scores]

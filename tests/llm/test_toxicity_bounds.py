@@ -23,3 +23,16 @@ def test_thinning_a_label_changes_no_scores(spark):
     whole, thin = (m.score_texts(docs, m.learn(table, max_examples=n)).collect() for n in (10_000, 600))
     assert abs(np.mean([x["score"] for x in whole]) - np.mean([x["score"] for x in thin])) < 0.05
     assert not any(x["predicted"] for x in whole) and not any(x["predicted"] for x in thin)
+
+
+def test_rare_slur_and_exact_copy(spark):
+    table = rows(3, 18_000)
+    toxic = [i for i, _, bad in table if bad]
+    for i in toxic[:len(toxic) // 200]:
+        table[i] = (i, table[i][1] + " skarnfel", 1)
+    table[toxic[-1]] = (toxic[-1], "quopp zzim trell", 1)
+    index = m.learn(spark.createDataFrame(table, "doc_id long, text string, toxic int"))
+    docs = spark.createDataFrame([(1, "you skarnfel"), (2, "Quopp zzim, trell"), (3, "quopp zzim other"), (4, "")], "doc_id long, text string")
+    got = {x["doc_id"]: x for x in m.score_texts(docs, index).collect()}
+    assert got[1]["predicted"] == 1 and got[2]["predicted"] == 1 and not got[3]["predicted"] and not got[4]["predicted"]
+    assert [(x["example"], x["cosine"], x["label"]) for x in got[2]["evidence"]] == [(str(toxic[-1]), 1.0, 1)]
