@@ -9,22 +9,23 @@ length of a text is exact, does not depend on other texts, and the shortest of t
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import mapped, utf8
 
 #: Longest context in bytes.
 ORDER = 4
-#: Bytes of text per language that the trees are learned from, about: whole rows, drawn by a hash of id and text. A longer row is not drawn.
+#: Bytes of text per language that the trees are learned from, about: whole rows, drawn by a hash of text and language. A longer row is not drawn,
+#: but if a language has no other, the beginning of one.
 TRAIN_BYTES = 1_500_000
-#: Languages at most; the ones with most text.
-MAX_LANGUAGES = 64
+#: Languages whose trees are in one group; a text is scored by group after group.
+GROUP_LANGUAGES = 64
 #: Code lengths are whole numbers of 2**-SCALE bits, so that sums do not depend on their order.
 SCALE = 16
 #: Positions scored at once.
@@ -36,7 +37,7 @@ UNKNOWN = "und"
 
 @dataclass
 class Trees:
-    """Trees of all languages over one alphabet.
+    """Trees of a group of languages over one alphabet; ``others`` are the further groups, if any, each with its own.
 
     ``symbol`` maps a byte to its symbol: 0 for bytes that no tree holds, 1 for the start of a text. ``step[k]`` maps
     (id of the k-gram that ends one place earlier) * width + symbol to the id of the (k+1)-gram, 0 if no tree has it.
@@ -50,6 +51,7 @@ class Trees:
     step: list[np.ndarray]
     cost: list[np.ndarray]
     escape: list[np.ndarray]
+    others: list[Trees] = field(default_factory=list)
 
 
 def _grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -204,20 +206,42 @@ def code_lengths(trees: Trees, data: np.ndarray, offsets: np.ndarray) -> np.ndar
 
 
 def learn(labelled: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES) -> Trees:
-    """Trees from the rows of ``labelled`` (lang, text) with a language.
+    """Trees from the rows of ``labelled`` (lang, text) with a language, in groups of languages by name.
 
-    One aggregate finds the size of each language; rows are then drawn at a rate that leaves about ``train_bytes``.
+    One aggregate finds the size of each language; rows are then drawn at a rate that leaves about ``train_bytes``, and the
+    row with the least hash always. A language whose rows are all longer than ``train_bytes`` learns from the beginning of one.
     """
-    rows = labelled.select("lang", "text").filter(F.col("lang").isNotNull() & (F.octet_length("text") > 0) & (F.octet_length("text") <= train_bytes))
-    sizes = (rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"))
-             .orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES).collect())
+    size = F.octet_length("text")
+    rows = labelled.select("lang", "text").filter(F.col("lang").isNotNull() & (size > 0)).withColumn("draw", F.xxhash64("text", "lang"))
+    short, at = size <= train_bytes, F.pmod("draw", F.lit(1 << 20))
+    sizes = (rows.groupBy("lang").agg(F.sum(F.when(short, size)).alias("size"), F.min(F.when(short, F.struct(at.alias("at"), "draw"))).alias("least"),
+                                      F.min("draw").alias("least_long")).orderBy("lang").collect())
     if not sizes:
         return build_trees({}, order)
-    draw = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20))
-    rate = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, train_bytes / r["size"]) * (1 << 20))))])
-    counted = gram_counts(rows.filter(draw < F.coalesce(F.element_at(rate, F.col("lang")), F.lit(0))), order).toArrow()
-    parts = {lang: counted.filter(pc.equal(counted["lang"], lang)) for lang in counted["lang"].unique().to_pylist()}
-    return build_trees({lang: (g["gram"].to_numpy(), g["n"].to_numpy()) for lang, g in parts.items()}, order)
+    groups = []
+    for low in range(0, len(sizes), GROUP_LANGUAGES):
+        part = sizes[low:low + GROUP_LANGUAGES]
+        some = [r for r in part if r["size"] is not None]
+        rate = {r["lang"]: int(min(1.0, train_bytes / r["size"]) * (1 << 20)) for r in some}
+        limit = _by_language([(r["lang"], rate[r["lang"]]) for r in some])
+        # The draw of a language from which the rate takes nothing.
+        single = _by_language([(r["lang"], r["least"]["draw"]) for r in some if r["least"]["at"] >= rate[r["lang"]]])
+        drawn = rows.filter(short & ((at < F.coalesce(limit, F.lit(0))) | F.coalesce(F.col("draw") == single, F.lit(False)))).select("lang", "text")
+        long = [(r["lang"], r["least_long"]) for r in part if r["size"] is None]
+        if long:
+            first = rows.filter(F.col("draw") == _by_language(long)).select("lang", F.substring("text", 1, max(1, train_bytes // 4)).alias("text"))
+            drawn = drawn.unionByName(first.dropDuplicates(["lang"]))
+        counted = gram_counts(drawn, order).toArrow()
+        parts = {lang: counted.filter(pc.equal(counted["lang"], lang)) for lang in counted["lang"].unique().to_pylist()}
+        groups.append(build_trees({lang: (g["gram"].to_numpy(), g["n"].to_numpy()) for lang, g in parts.items()}, order))
+    return replace(groups[0], others=groups[1:])
+
+
+def _by_language(values: list[tuple[str, int]]) -> Column:
+    """The value of a row's language, null without one."""
+    if not values:
+        return F.lit(None).cast("bigint")
+    return F.element_at(F.create_map(*[x for lang, v in values for x in (F.lit(lang), F.lit(v).cast("bigint"))]), F.col("lang"))
 
 
 def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -226,34 +250,57 @@ def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: st
     ``score`` is the posterior of the best language with equal priors: 2 to the minus code length over the sum of it
     over languages. A text that is null, empty or without a letter is ``und`` with score 0; so is every text when
     there is no language. Ties go to the first language by name. Texts are read whole, in pieces of bounded size.
+    Groups of trees are applied one after the other, each keeping the best language, the two least code lengths and the
+    sum of weights so far, so that a process holds one group.
     """
-    holder = docs.sparkSession.sparkContext.broadcast(trees)
+    context = docs.sparkSession.sparkContext
     letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), letter.alias("letter"), *[F.col(c).alias(f"keep_{c}") for c in keep])
     passed = ["id", *[f"keep_{c}" for c in keep]]
     own = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in passed)
-
-    def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        t = holder.value
-        data, offsets = utf8(batch.column("text"))
-        n = len(offsets) - 1
-        some = np.array(batch.column("letter").to_pylist(), bool) & bool(t.languages)
-        if t.languages:
-            bits = code_lengths(t, data, offsets) / float(1 << SCALE)
-            best = bits.argmin(axis=1)
-            least = bits[np.arange(n), best]
-            weight = np.exp2(-np.minimum(bits - least[:, None], 1000.0))
-            score = np.where(some, 1.0 / weight.sum(axis=1), 0.0)
-            ordered = np.sort(bits, axis=1)
-            margin = ordered[:, 1] - ordered[:, 0] if len(t.languages) > 1 else np.zeros(n)
-            names = [t.languages[b] if s else UNKNOWN for b, s in zip(best, some)]
-        else:
-            least, score, margin, names = np.zeros(n), np.zeros(n), np.zeros(n), [UNKNOWN] * n
-        rate = np.where(some, least / np.maximum(np.diff(offsets), 1), 0.0)
-        return pa.record_batch([*[batch.column(c) for c in passed], pa.array(names, pa.string()), pa.array(score), pa.array(rate), pa.array(np.where(some, margin, 0.0))],
-                               [*passed, "lang_pred", "score", "bits_per_byte", "margin_bits"])
-
-    out = mapped(source, of, f"{own}, lang_pred string, score double, bits_per_byte double, margin_bits double")
+    groups = [replace(trees, others=[]), *trees.others]
+
+    def step(number: int, group: Trees):
+        holder, last = context.broadcast(group), number == len(groups) - 1
+
+        def of(batch: pa.RecordBatch) -> pa.RecordBatch:
+            t = holder.value
+            data, offsets = utf8(batch.column("text"))
+            n = len(offsets) - 1
+            some = np.array(batch.column("letter").to_pylist(), bool) & bool(t.languages)
+            if t.languages:
+                bits = code_lengths(t, data, offsets) / float(1 << SCALE)
+                best = bits.argmin(axis=1)
+                least = bits[np.arange(n), best]
+                weight = np.exp2(-np.minimum(bits - least[:, None], 1000.0)).sum(axis=1)
+                second = np.partition(bits, 1, axis=1)[:, 1] if len(t.languages) > 1 else np.full(n, np.inf)
+                names = [t.languages[b] for b in best]
+            else:
+                least, weight, second, names = np.zeros(n), np.ones(n), np.full(n, np.inf), [UNKNOWN] * n
+            if number:
+                before = {c: batch.column(c).to_numpy() for c in ("least", "second", "weight")}
+                stays = before["least"] <= least
+                now = np.minimum(before["least"], least)
+                second = np.minimum(np.maximum(before["least"], least), np.minimum(before["second"], second))
+                weight = (before["weight"] * np.exp2(-np.minimum(before["least"] - now, 1000.0))
+                          + weight * np.exp2(-np.minimum(least - now, 1000.0)))
+                names, least = [a if s else b for s, a, b in zip(stays, batch.column("name").to_pylist(), names)], now
+            if not last:
+                return pa.record_batch([batch.column("id"), batch.column("text"), batch.column("letter"), *[batch.column(c) for c in passed[1:]],
+                                        pa.array(names, pa.string()), pa.array(least), pa.array(second), pa.array(weight)],
+                                       ["id", "text", "letter", *passed[1:], "name", "least", "second", "weight"])
+            rate = np.where(some, least / np.maximum(np.diff(offsets), 1), 0.0)
+            margin = np.where(some & np.isfinite(second), second - least, 0.0)
+            return pa.record_batch([*[batch.column(c) for c in passed], pa.array([x if s else UNKNOWN for x, s in zip(names, some)], pa.string()),
+                                    pa.array(np.where(some, 1.0 / weight, 0.0)), pa.array(rate), pa.array(margin)],
+                                   [*passed, "lang_pred", "score", "bits_per_byte", "margin_bits"])
+        return of
+
+    between = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema) + ", name string, least double, second double, weight double"
+    out = source
+    for number, group in enumerate(groups):
+        last = number == len(groups) - 1
+        out = mapped(out, step(number, group), f"{own}, lang_pred string, score double, bits_per_byte double, margin_bits double" if last else between)
     return out.select(F.col("id").alias(id_col), *[F.col(f"keep_{c}").alias(c) for c in keep], "lang_pred", "score", "bits_per_byte", "margin_bits")
 
 
