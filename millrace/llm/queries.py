@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe_chunks, decontamination, language_id, line_dedup, pii, quality, sharding, simhash_dedup, toxicity, warc
+from millrace.llm import (bpe_chunks, decontamination, language_id, line_dedup, merkle, pii, quality, sharding, simhash_dedup, toxicity,
+                          warc)
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +153,62 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.build_references(docs))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents by language; where 7 divides the checksum of the id, a changed n_chars must be noticed."""
+    n_chars, doc_id = F.col("n_chars").cast("decimal(20,0)"), F.col("doc_id")
+    tampered = F.when(F.coalesce(_remainder(7) == 0, F.lit(False)), n_chars + 1).otherwise(n_chars)
+    leaf = lambda n: merkle.leaf_digest([doc_id, F.col("source"), F.col("lang"), n, F.col("text")])
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", leaf(n_chars).alias("leaf"), leaf(tampered).alias("claimed"))
+    proofs = merkle.manifest(rows, "lang", ["doc_id"], keep=("doc_id", "claimed"))
+    return merkle.verify(proofs, "claimed").select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("hops")).alias("proof_sha256"),
+                                                   "folded_root", "verified")
+
+
+ORACLES["op11_merkle_manifest"] = r"""
+WITH RECURSIVE sums AS (
+  SELECT d.*, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [3988292384, 3988292384, 3988292384, 3988292384, 3988292384, 3988292384, 3988292384, 3988292384]),
+      lambda r, p: xor(r >> 1, p * (r & 1))))) AS crc FROM documents d),
+fields AS (
+  SELECT doc_id, lang, crc, n_chars,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+         coalesce(strlen(text) || ':' || text, '-') AS z FROM sums),
+leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || z) AS leaf,
+         CASE WHEN crc % 7 = 0 THEN sha256(a || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || z)
+              ELSE sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || z) END AS claimed FROM fields),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS slot, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+tree AS (
+  SELECT g, 0 AS level, slot, leaf AS digest, n FROM placed
+  UNION ALL
+  SELECT g, level + 1, slot // 2, sha256(string_agg(digest, '' ORDER BY slot)), (max(n) + 1) // 2 FROM tree WHERE n > 1 GROUP BY g, level, slot // 2),
+subroots AS (SELECT g, digest AS subroot, row_number() OVER (ORDER BY g) - 1 AS slot, count(*) OVER () AS n FROM tree WHERE n = 1),
+above AS (
+  SELECT 0 AS level, slot, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT level + 1, slot // 2, sha256(string_agg(digest, '' ORDER BY slot)), (max(n) + 1) // 2 FROM above WHERE n > 1 GROUP BY level, slot // 2),
+hops AS (
+  SELECT p.doc_id, p.g, p.slot, t.level AS lvl, (p.slot >> t.level) % 2 = 1 AS turned, s.digest
+  FROM placed p JOIN (SELECT DISTINCT g, level FROM tree WHERE n > 1) t USING (g)
+  LEFT JOIN tree s ON s.g = p.g AND s.level = t.level AND s.slot = xor(p.slot >> t.level, 1)
+  UNION ALL
+  SELECT p.doc_id, p.g, p.slot, 1000 + t.level, (r.slot >> t.level) % 2 = 1, s.digest
+  FROM placed p JOIN subroots r USING (g) CROSS JOIN (SELECT DISTINCT level FROM above WHERE n > 1) t
+  LEFT JOIN above s ON s.level = t.level AND s.slot = xor(r.slot >> t.level, 1)),
+ways AS (
+  SELECT g, slot, sha256(string_agg(coalesce(digest, ''), '' ORDER BY lvl)) AS proof_sha256,
+         list({'turned': turned, 'digest': coalesce(digest, '')} ORDER BY lvl) AS way FROM hops GROUP BY g, slot),
+folds AS (
+  SELECT p.g, p.slot, 1 AS i, claimed AS now, way FROM placed p LEFT JOIN ways USING (g, slot)
+  UNION ALL
+  SELECT g, slot, i + 1, CASE WHEN way[i].turned THEN sha256(way[i].digest || now) ELSE sha256(now || way[i].digest) END, way
+  FROM folds WHERE i <= coalesce(len(way), 0)),
+ends AS (SELECT g, slot, now AS folded_root FROM folds WHERE i = coalesce(len(way), 0) + 1)
+SELECT p.doc_id, p.leaf, r.subroot, a.digest AS root, coalesce(w.proof_sha256, sha256('')) AS proof_sha256, e.folded_root, e.folded_root = a.digest AS verified
+FROM placed p JOIN subroots r USING (g) CROSS JOIN (SELECT digest FROM above WHERE n = 1) a JOIN ends e ON e.g = p.g AND e.slot = p.slot
+LEFT JOIN ways w ON w.g = p.g AND w.slot = p.slot
+"""
