@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import (bpe_chunks, decontamination, language_id, line_dedup, merkle, pii, quality, sharding, simhash_dedup, toxicity,
+from millrace.llm import (bpe_chunks, decontamination, hard_negatives, language_id, line_dedup, merkle, pii, quality, sharding, simhash_dedup, toxicity,
                           warc)
 from millrace.llm.common import table
 
@@ -212,3 +212,28 @@ SELECT p.doc_id, p.leaf, r.subroot, a.digest AS root, coalesce(w.proof_sha256, s
 FROM placed p JOIN subroots r USING (g) CROSS JOIN (SELECT digest FROM above WHERE n = 1) a JOIN ends e ON e.g = p.g AND e.slot = p.slot
 LEFT JOIN ways w ON w.g = p.g AND w.slot = p.slot
 """
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, against all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+ORACLES["op12_hard_negatives"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS no, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.no, a.vec_id AS anchor_id, o.vec_id AS other_id, o.no AS other_no, a.label = o.label AS same, list_inner_product(a.q, o.q)::BIGINT AS score
+  FROM v a JOIN v o ON a.no <> o.no WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT no, anchor_id, other_id AS positive_id, other_no AS positive_no, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY no ORDER BY score DESC, other_id, other_no) <= 5)
+SELECT p.anchor_id, p.positive_id, row_number() OVER w AS rank, s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.no = p.no AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+WINDOW w AS (PARTITION BY p.no, p.positive_no ORDER BY s.score DESC, s.other_id, s.other_no)
+QUALIFY row_number() OVER w <= 5
+"""
