@@ -6,8 +6,9 @@ is a cover tree: points get one more component that brings all of them to the sa
 radius of its members, and every level has a smaller radius than the one above. On that sphere the angle between a query and a
 node's centre and the angle of its radius bound the inner products of all its members from both sides.
 
-A search visits nodes from the highest bound down, skips those that lie outside every window or cannot reach the worst of
-the rows already kept, and verifies the members of a leaf in exact arithmetic. Positives are found first (in an anchor's own cell,
+A block of queries goes down together: the node with the highest bound comes first, a query goes on only into nodes that lie
+inside one of its windows and can still reach the worst of the rows it keeps, and the members of a leaf are verified in exact
+arithmetic for the queries that arrive there. Positives are found first (in an anchor's own cell,
 then in the pivots that its worst positive does not rule out); their scores give the windows of the negatives.
 """
 
@@ -24,15 +25,16 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bounded_batches, stored
 
 #: Rows of a cell, about; anchors that meet a cell in one task, about.
-CELL_ROWS, TASK_ANCHORS = 4096, 8192
+CELL_ROWS, TASK_ANCHORS = 4096, 2048
 #: Pivots at most, and bytes of their vectors at most.
 MAX_PIVOTS, PIVOT_BYTES = 256, 4 << 20
 #: A level's covering radius shrinks to this share, or the node has ``FAN_OUT`` children; leaves have ``LEAF`` members or fewer.
-SHRINK, FAN_OUT, LEAF = 0.8, 16, 48
+SHRINK, FAN_OUT, LEAF = 0.8, 16, 256
 #: Relative slack of a bound against rounding.
 SLACK = 1e-9
 #: Scores up to here are exact in doubles, up to the second one in 64-bit whole numbers.
 EXACT_DOUBLE, EXACT_LONG = 2.0 ** 53, 2.0 ** 63
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 TREE = ("pivot int, chunk int, nos array<bigint>, ids array<bigint>, labels array<bigint>, vectors array<double>, size int, "
         "centre array<int>, radius array<double>, first array<int>, last array<int>, child array<int>, children array<int>")
 QUERY = "no bigint, anchor_id bigint, label bigint, v array<double>, own_pivot int, own_chunk int, floor bigint, windows array<struct<positive:bigint,lo:bigint,hi:bigint>>"
@@ -118,33 +120,14 @@ def bounds(queries: np.ndarray, centres: np.ndarray, radius: np.ndarray, length:
     return most * np.cos(np.minimum(angle + reach, np.pi)) - slack, most * np.cos(np.maximum(angle - reach, 0)) + slack
 
 
-def scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Inner products of whole numbers, exact."""
-    most = np.sqrt(np.einsum("ij,ij->i", x, x).max(initial=0.0) * float(q @ q))
+    most = np.sqrt(np.einsum("ij,ij->i", x, x).max(initial=0.0) * np.einsum("ij,ij->i", q, q).max(initial=0.0))
     if most < EXACT_DOUBLE:
-        return (x @ q).astype(np.int64)
+        return (q @ x.T).astype(np.int64)
     if most >= EXACT_LONG:
         raise ValueError("scores of these vectors do not fit into a long")
-    return x.astype(np.int64) @ q.astype(np.int64)
-
-
-class Best:
-    """The best k of what was added with a score between lo and hi; ties by id, a null one last."""
-
-    def __init__(self, k: int, lo: int, hi: int):
-        self.k, self.lo, self.hi = k, lo, hi
-        self.rows: list[tuple[int, bool, int, int]] = []
-
-    @property
-    def least(self) -> int:
-        """Scores below this are of no use any more."""
-        return max(self.lo, -self.rows[-1][0]) if len(self.rows) == self.k else self.lo
-
-    def add(self, score: np.ndarray, ids: np.ndarray, known: np.ndarray, nos: np.ndarray) -> None:
-        fit = np.flatnonzero((score >= self.least) & (score <= self.hi))
-        if len(fit):
-            new = zip((-score[fit]).tolist(), (~known[fit]).tolist(), ids[fit].tolist(), nos[fit].tolist())
-            self.rows = heapq.nsmallest(self.k, [*self.rows, *new])
+    return q.astype(np.int64) @ x.astype(np.int64).T
 
 
 class Cell:
@@ -153,33 +136,64 @@ class Cell:
     def __init__(self, row: dict[str, pa.Array]):
         take = lambda c, kind: row[c].values.to_numpy(zero_copy_only=False).astype(kind)
         self.nos, self.labels, self.radius = take("nos", np.int64), take("labels", np.int64), take("radius", np.float64)
-        self.known = row["ids"].values.is_valid().to_numpy(zero_copy_only=False)
-        self.ids = row["ids"].values.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        known = row["ids"].values.is_valid().to_numpy(zero_copy_only=False)
+        self.ids = row["ids"].values
+        # Place of each row in the order of ties: by id, a null one last.
+        self.tie = np.empty(len(known), np.int64)
+        self.tie[np.lexsort((self.nos, self.ids.fill_null(0).to_numpy(zero_copy_only=False), ~known))] = np.arange(len(known))
         self.x = take("vectors", np.float64).reshape(len(self.nos), -1)
         self.centre, self.first, self.last, self.child, self.children = (take(c, np.int64) for c in ("centre", "first", "last", "child", "children"))
         self.length = float(np.sqrt(np.einsum("ij,ij->i", self.x, self.x).max(initial=0.0)))
 
-    def search(self, q: np.ndarray, own: int, label: int, same: bool, low: np.ndarray, high: np.ndarray, wanted: list[Best]) -> None:
-        """Adds the rows of the same or of another label to ``wanted``; ``low`` and ``high`` bound the nodes' scores."""
-        useful = lambda node: any(high[node] >= w.least and low[node] <= w.hi for w in wanted)
-        heap = [(-high[0], 0)]
+    def search(self, q: np.ndarray, own: np.ndarray, label: np.ndarray, same: bool, of: np.ndarray, lo: np.ndarray, hi: np.ndarray,
+               k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places (-1: none) and scores of the best ``k`` rows of the same or of another label, by window.
+
+        Window w belongs to query ``of[w]`` and takes scores from ``lo[w]`` to ``hi[w]``.
+        """
+        width = max(q.shape[1], self.x.shape[1])
+        q, x = widen(q, width), widen(self.x, width)
+        low, high = bounds(q, x[self.centre], self.radius, self.length)
+        place, score, least = np.full((len(of), k), -1), np.full((len(of), k), LOWEST), lo.copy()
+        heap = [(-np.inf, 0, np.arange(len(of)))]
         while heap:
-            top, node = heapq.heappop(heap)
-            if all(-top < w.least for w in wanted):
-                return
-            if not useful(node):
+            _, node, open_ = heapq.heappop(heap)
+            open_ = open_[(high[of[open_], node] >= least[open_]) & (low[of[open_], node] <= hi[open_])]
+            if not len(open_):
                 continue
             if self.children[node]:
-                a = self.child[node]
-                for c in range(a, a + self.children[node]):
-                    heapq.heappush(heap, (-high[c], c))
+                for c in range(self.child[node], self.child[node] + self.children[node]):
+                    heapq.heappush(heap, (-float(high[of[open_], c].max()), c, open_))
+                continue
+            rows = np.arange(self.first[node], self.last[node])
+            asked, back = np.unique(of[open_], return_inverse=True)
+            found = scores(q[asked], x[rows])
+            allowed = ((label[asked][:, None] == self.labels[rows][None, :]) == same) & (own[asked][:, None] != self.nos[rows][None, :])
+            found, fit = found[back], allowed[back]
+            fit &= (found >= least[open_][:, None]) & (found <= hi[open_][:, None])
+            many = np.flatnonzero(fit.sum(axis=1) > k)
+            if len(many):  # rows below a window's k-th best here are of no use
+                kth = np.partition(np.where(fit[many], found[many], LOWEST), len(rows) - k, axis=1)[:, len(rows) - k]
+                fit[many] &= found[many] >= kth[:, None]
+            w, at = np.nonzero(fit)
+            if not len(w):
                 continue
-            rows = slice(self.first[node], self.last[node])
-            fit = np.flatnonzero(((self.labels[rows] == label) == same) & (self.nos[rows] != own)) + self.first[node]
-            if len(fit):
-                score = scores(self.x[fit], q)
-                for w in wanted:
-                    w.add(score, self.ids[fit], self.known[fit], self.nos[fit])
+            touched = np.unique(w)
+            old = open_[touched]
+            kept_w, kept_at = np.nonzero(place[old] >= 0)
+            every_w = np.concatenate([touched[kept_w], w])
+            every_place = np.concatenate([place[old][kept_w, kept_at], rows[at]])
+            every_score = np.concatenate([score[old][kept_w, kept_at], found[w, at]])
+            order = np.lexsort((self.tie[every_place], -every_score, every_w))
+            every_w = every_w[order]
+            start = np.flatnonzero(np.concatenate([[True], every_w[1:] != every_w[:-1]]))
+            nth = np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order))))
+            best = nth < k
+            into = open_[every_w[best]]
+            place[into, nth[best]], score[into, nth[best]] = every_place[order][best], every_score[order][best]
+            full = open_[touched][place[open_[touched], k - 1] >= 0]
+            least[full] = np.maximum(least[full], score[full, k - 1])
+        return place, score
 
 
 def whole_vectors(rows: DataFrame, id_col: str, vector_col: str, label: Column, scale: int) -> DataFrame:
@@ -283,26 +297,23 @@ class Trees:
         """
         parts = max(1, -(-n_queries // TASK_ANCHORS))
         routed = self.routed(queries, home).withColumn("part", F.pmod(F.xxhash64("no"), F.lit(parts)).cast("int"))
-        trees = self.table.withColumn("part", F.explode(F.array(*[F.lit(i) for i in range(parts)])) if parts < 1000 else F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        trees = self.table.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
         def of(tree: pa.Table, asked: pa.Table) -> pa.Table:
-            empty = pa.table({n: pa.array([], pa.int32() if n == "slot" else pa.int64()) for n in ("no", "anchor_id", "slot", "other_no", "other_id", "score")})
             if not tree.num_rows or not asked.num_rows:
-                return empty
+                return pa.table({n: pa.array([], pa.int32() if n == "slot" else pa.int64()) for n in ("no", "anchor_id", "slot", "other_no", "other_id", "score")})
             cell = Cell({c: tree[c].combine_chunks() for c in tree.column_names if pa.types.is_list(tree[c].type)})
-            q = matrix(asked["v"])
-            width = max(q.shape[1], cell.x.shape[1])
-            q, cell.x = widen(q, width), widen(cell.x, width)
-            low, high = bounds(q, cell.x[cell.centre], cell.radius, cell.length)
-            windows, floors = asked["windows"].to_pylist(), asked["floor"].to_numpy()
-            nos, anchors, labels = asked["no"].to_numpy(), asked["anchor_id"].to_numpy(), asked["label"].to_numpy()
-            out = []
-            for i in range(len(q)):
-                wanted = [Best(k, w["lo"], w["hi"]) for w in windows[i] or []] or [Best(k, int(floors[i]), 2 ** 63 - 1)]
-                cell.search(q[i], int(nos[i]), int(labels[i]), same, low[i], high[i], wanted)
-                out += [(nos[i], anchors[i], slot, no, vec if known else None, -score) for slot, w in enumerate(wanted) for score, known, vec, no in
-                        ((s, not unknown, v, m) for s, unknown, v, m in w.rows)]
-            return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), empty.schema.types)], empty.column_names) if out else empty
+            windows = asked["windows"].to_pylist()
+            # Without windows a query takes all scores from its floor.
+            each = [[(w["lo"], w["hi"]) for w in some or ()] or [(floor, HIGHEST)] for some, floor in zip(windows, asked["floor"].to_pylist())]
+            of = np.repeat(np.arange(len(each)), [len(e) for e in each])
+            slot = np.concatenate([np.arange(len(e)) for e in each])
+            lo, hi = (np.array([w[i] for e in each for w in e], np.int64) for i in (0, 1))
+            place, score = cell.search(matrix(asked["v"]), asked["no"].to_numpy(), asked["label"].to_numpy(), same, of, lo, hi, k)
+            w, nth = np.nonzero(place >= 0)
+            at = place[w, nth]
+            return pa.table({"no": asked["no"].take(pa.array(of[w])), "anchor_id": asked["anchor_id"].take(pa.array(of[w])), "slot": pa.array(slot[w].astype(np.int32)),
+                             "other_no": pa.array(cell.nos[at]), "other_id": cell.ids.take(pa.array(at)), "score": pa.array(score[w, nth])})
 
         return (trees.groupBy("pivot", "chunk", "part").cogroup(routed.groupBy("pivot", "chunk", "part")).applyInArrow(of, FOUND))
 
@@ -329,7 +340,7 @@ def mine(rows: DataFrame, anchor: Column, id_col: str = "vec_id", vector_col: st
     trees = Trees(vectors)
     none = F.array().cast("array<struct<positive:bigint,lo:bigint,hi:bigint>>")
     anchors = stored(trees.placed.filter(anchor).select("no", F.col("vec_id").alias("anchor_id"), "label", "v", F.col("pivot").alias("own_pivot"),
-                                                        F.col("chunk").alias("own_chunk"), F.lit(-(1 << 63)).cast("bigint").alias("floor"), none.alias("windows")), "anchors")
+                                                        F.col("chunk").alias("own_chunk"), F.lit(LOWEST).cast("bigint").alias("floor"), none.alias("windows")), "anchors")
     n = anchors.count()
     # The worst positive of an anchor's own cell is a floor for those of all cells.
     home = stored(_first(trees.search(anchors, n, True, positives, home=True), positives), "home-positives")
