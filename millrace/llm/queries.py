@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import (bpe_chunks, decontamination, hard_negatives, language_id, line_dedup, merkle, pii, quality, sharding, simhash_dedup, toxicity,
+from millrace.llm import (bpe_chunks, decontamination, hard_negatives, language_id, line_dedup, maxent_lm, merkle, pii, quality, sharding, simhash_dedup, toxicity,
                           warc)
 from millrace.llm.common import table
 
@@ -237,3 +237,12 @@ FROM positives p JOIN scored s ON s.no = p.no AND NOT s.same AND 80 * p.positive
 WINDOW w AS (PARTITION BY p.no, p.positive_no ORDER BY s.score DESC, s.other_id, s.other_no)
 QUALIFY row_number() OVER w <= 5
 """
+
+
+@query
+def op13_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from those whose remainder is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(10) == 0, F.lit(False))
+    model, counts = maxent_lm.learn(docs, ~held_out)
+    return maxent_lm.score_texts(docs.withColumn("held_out", held_out), model, counts, keep=("held_out",))
