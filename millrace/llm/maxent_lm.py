@@ -4,7 +4,7 @@ Word counts cover the whole training corpus. The ``OWN`` most frequent training
 falls by checksum into one of ``SHARED`` symbols, inside which its probability is its smoothed share of that symbol's count, so any
 text has a probability. A symbol is a class and a member of it. The history gives ``FEATURES`` hashed features: a bias, the last
 word, the last two, the second last and the third last. Class scores are the sum of the features' rows of one table, member
-scores the sum of the rows of (feature, class) of another; both tables have a fixed number of rows, so what a task holds is bounded.
+scores the sum of the rows of (feature, class) of another, for the first ``MEMBER_FEATURES`` of them; both tables have a fixed number of rows, so what a task holds is bounded.
 
 Training passes once over all training documents in ``ROUNDS`` disjoint parts. In a round every task starts from the same tables,
 makes gradient steps (one learning rate per row, falling with its gradients) over its documents and sends the change of each row
@@ -36,12 +36,14 @@ SHARED = 64
 OWN = CLASSES * MEMBERS - SHARED
 #: Rows of the two weight tables (powers of two).
 CLASS_ROWS, MEMBER_ROWS = 1 << 14, 1 << 15
-FEATURES = 4
+FEATURES, MEMBER_FEATURES = 4, 3
 #: Frequent words, and bytes of one, that every task knows; this bounds what is broadcast.
 FREQUENT, FREQUENT_BYTES = 100_000, 64
 ROUNDS, STEP, MINIBATCH = 4, 0.1, 4096
 #: Rows of a run that is summed on its own.
 LONG_RUN = 8
+#: Tokens that a task of a round trains on, at least about: the tables it sends back are small against its texts.
+TASK_TOKENS = 4_000_000
 #: Rows of a table sent as one block; tasks whose blocks are added up at once.
 BLOCK_ROWS, FAN_IN = 2048, 32
 #: Smoothing of counts.
@@ -89,7 +91,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def token_ids(ids: Ids, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-    """Ids of all texts on end, each after two starts and before its end; where tokens are; tokens per text; the words."""
+    """Ids of all texts on end, each after two starts and before its end; where tokens are; tokens per text; words per text."""
     words = [words_of(t) for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
     out = np.full(int(sizes.sum()) + 3 * len(words), START, np.int64)
@@ -122,7 +124,7 @@ def class_rows(feature: np.ndarray) -> np.ndarray:
 
 
 def member_rows(feature: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    mixed = (feature ^ ((cls.astype(np.uint64) + np.uint64(1)) * _MIX[2])[None, :]) * _MIX[3]
+    mixed = (feature[:MEMBER_FEATURES] ^ ((cls.astype(np.uint64) + np.uint64(1)) * _MIX[2])[None, :]) * _MIX[3]
     return (mixed >> np.uint64(64 - MEMBER_ROWS.bit_length() + 1)).astype(np.int32)
 
 
@@ -143,26 +145,28 @@ def step(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, rows: np
     order = np.argsort(flat.astype(np.uint16) if len(weights) <= 1 << 16 else flat, kind="stable")
     ranked = np.take(flat, order)
     start = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    summed, into = _sums(np.take(slope, order % rows.shape[1], axis=0), start), np.take(ranked, start)
-    for i, gradient, times in ((rows[0, :1], slope.sum(axis=0, keepdims=True), rows.shape[1]), (into, summed, np.diff(np.append(start, len(flat))))):
+    size = np.diff(np.append(start, len(flat)))
+    longest = np.argsort(np.minimum(size, 255).astype(np.uint8), kind="stable")[::-1]
+    start, size = np.take(start, longest), np.take(size, longest)
+    summed, into = _sums(np.take(slope, order % rows.shape[1], axis=0), start, size), np.take(ranked, start)
+    for i, gradient, times in ((rows[0, :1], slope.sum(axis=0, keepdims=True), rows.shape[1]), (into, summed, size)):
         squares[i] += np.einsum("ij,ij->i", gradient, gradient) / gradient.shape[1]
         gradient *= (-STEP / np.sqrt(np.take(squares, i) + 1e-6))[:, None]
         weights[i] += gradient
         touched[i] += times
 
 
-def _sums(values: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Sums of the rows from each start to the next: long runs one by one, the n-th rows of all short runs together."""
-    size = np.diff(np.append(start, len(values)))
+def _sums(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of ``size`` rows from each start, longest runs first: long runs one by one, the n-th rows of all short runs together."""
     out = np.take(values, start, axis=0)
-    for run in np.flatnonzero(size > LONG_RUN):
+    alone = int((size > LONG_RUN).sum())
+    for run in range(alone):
         out[run] = values[start[run]:start[run] + size[run]].sum(axis=0)
-    short = np.flatnonzero((size > 1) & (size <= LONG_RUN))
     for nth in range(1, LONG_RUN):
-        short = short[size[short] > nth]
-        if not len(short):
+        upto = int((size > nth).sum())
+        if upto <= alone:
             break
-        out[short] += np.take(values, start[short] + nth, axis=0)
+        out[alone:upto] += np.take(values, start[alone:upto] + nth, axis=0)
     return out
 
 
@@ -249,7 +253,8 @@ def _round(part: DataFrame, model: Model) -> None:
                                        pa.array([n], pa.int64()), pa.array([sent[block * BLOCK_ROWS:(block + 1) * BLOCK_ROWS].tobytes()], pa.binary())],
                                       ["task", "kind", "block", "n", "part"])
 
-    tasks = part.rdd.getNumPartitions()
+    tasks = max(1, min(part.rdd.getNumPartitions(), -(-model.tokens // (ROUNDS * TASK_TOKENS))))
+    part = part.coalesce(tasks)
     summed = _added(part.mapInArrow(of, "task int, kind int, block int, n bigint, part binary"), tasks)
     for kind, block, raw in zip(*(summed[c].to_pylist() for c in ("kind", "block", "part"))):
         weights, squares = model.tables[kind]
@@ -271,12 +276,12 @@ def learn(docs: DataFrame, learned: Column, text_col: str = "text") -> tuple[Mod
     """
     counts = word_counts(docs, text_col, learned)
     total = counts.agg(F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, 1)).alias("kinds")).first()
-    frequent = (counts.filter((F.octet_length("word") <= FREQUENT_BYTES)).orderBy(F.desc("n_all"), "word").limit(FREQUENT)
-                .orderBy(F.desc("n"), "word").toArrow())
-    words = [w.encode() for w in frequent["word"].to_pylist()]
-    if END not in words:  # an empty corpus
-        words.append(END)
-    n = np.array(frequent["n"].to_pylist() + [0] * (len(words) - frequent.num_rows), np.int64)
+    end = F.lit(END.decode())
+    short = counts.filter((F.octet_length("word") <= FREQUENT_BYTES) & (F.col("word") != end)).orderBy(F.desc("n_all"), "word").limit(FREQUENT)
+    frequent = {w.encode(): n for w, n in zip(*(c.to_pylist() for c in short.union(counts.filter(F.col("word") == end)).select("word", "n").toArrow().columns))}
+    frequent.setdefault(END, 0)  # an empty table
+    words = sorted(frequent, key=lambda w: (-frequent[w], w))
+    n = np.array([frequent[w] for w in words], np.int64)
     own = [w.decode() for w, c in zip(words[:OWN], n[:OWN]) if c > 0]
     shared = (counts.filter((F.col("n") > 0) & ~F.col("word").isin(own)).groupBy((F.crc32("word") % SHARED).alias("shared"))
               .agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect())
@@ -301,7 +306,6 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame, id_col: str =
     source = docs.select(F.col(id_col).alias("id"), or_empty(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in keep])
     passed = ["id", *[f"keep_{c}" for c in keep]]
     own = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in passed)
-    pairs = pa.list_(pa.struct([("word", pa.string()), ("k", pa.int64())]))
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         now = holder.value
@@ -315,11 +319,17 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame, id_col: str =
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         add = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
         predicted = symbol_logs(now, ids, at, symbol) - np.where(shared, now.shared_log[np.where(shared, symbol - OWN, 0)], 0.0)
-        rare = [[{"word": w.decode(), "k": k} for w, k in Counter([w for w in some if w not in now.ids]).items()] for some in words]
+        # Rare words, counted by text.
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.flatnonzero(~known)
+        pair = Counter(zip(text[place].tolist(), [words[t][j] for t, j in zip(text[place].tolist(), (place - starts[text[place]]).tolist())]))
+        ends = np.searchsorted(np.fromiter((t for t, _ in pair), np.int64, len(pair)), np.arange(len(sizes) + 1))
+        rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+            [pa.array([w for _, w in pair], pa.binary()).cast(pa.string()), pa.array(list(pair.values()), pa.int64())], ["word", "k"]))
         # Words that no row was counted with are rare; a frequent one may still be unknown to the training rows.
         seen = known & (now.counts[np.where(known, mine, 0)] > 0)
         return pa.record_batch([*[batch.column(c) for c in passed], pa.array(sizes), pa.array(add(seen.astype(np.int64)), pa.int64()), pa.array(add(counted), pa.float64()),
-                                pa.array(add(np.where(shared, counted, 0.0) + predicted), pa.float64()), pa.array(rare, pairs)],
+                                pa.array(add(np.where(shared, counted, 0.0) + predicted), pa.float64()), rare],
                                [*passed, "n_tokens", "n_known", "base", "model", "rare"])
 
     out = stored(mapped(source, of, f"{own}, n_tokens bigint, n_known bigint, base double, model double, rare array<struct<word:string,k:bigint>>")
