@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +26,8 @@ from millrace.operators.scd2 import (SatSpec, build_satellite, close_and_insert,
                                      load_satellite, lossless_timeline, new_versions)
 from millrace.operators.union import union_all
 from millrace.plans import dashboards, finance, marketplace, serving
-from millrace.plans.loads import VaultTable, key_columns
+from millrace.plans.incremental import DailyMarts
+from millrace.plans.loads import PitTable, SatelliteTable, VaultTable, key_columns, vault_table
 from millrace.plans.marts import kpi_snapshot
 from millrace.plans.staging import ingest_slice, orders_shape
 from millrace.plans.vault import HUBS, LINKS, SATELLITES, row_counts
@@ -130,27 +131,78 @@ on_warehouse("sat_end_dated", lambda w: end_date_only(first_versions(w.raw("user
 on_warehouse("sat_lossless", lambda w: lossless_timeline(w.raw("user_state_log").drop("batch"), STATE))
 
 
+def _two_loads(w: Warehouse, spec) -> tuple[DataFrame, DataFrame]:
+    """Two thirds of the keys, then all rows."""
+    staged = w.table(spec.source)
+    return staged.filter(F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in key_columns(spec)]), F.lit(3)) > 0), staged
+
+
 def _loaded(w: Warehouse, name: str) -> DataFrame:
-    """A vault table after two loads: two thirds of the keys, then all rows; the second load is run again."""
+    """A vault table after two loads, the second of them run again, read by a new object."""
     spec = {**HUBS, **LINKS, **SATELLITES}[name]
-    staged = w.table(spec.source)
-    early = staged.filter(F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in key_columns(spec)]), F.lit(3)) > 0)
-    table = VaultTable(w.spark, _work_dir(w, f"loads-{name}"), spec)
+    path = _work_dir(w, f"loads-{name}")
+    table = vault_table(w.spark, path, spec)
+    early, staged = _two_loads(w, spec)
     for number, rows in ((1, early), (2, staged), (2, staged)):
         table.load(rows, number)
-    return table.rows()
+    return vault_table(w.spark, path, spec).rows()
 
 
 for _name in (*HUBS, *LINKS, *SATELLITES):
     on_warehouse(f"loaded_{_name}", lambda w, name=_name: _loaded(w, name))
 
 
+def _kept_pit(w: Warehouse, hub: str, sat: str) -> DataFrame:
+    """A point-in-time table after two loads of its satellite, then moved on by three days."""
+    spec = SATELLITES[sat]
+    table = SatelliteTable(w.spark, _work_dir(w, f"pit-{sat}"), spec, buckets=4)
+    pit = PitTable(w.spark, _work_dir(w, f"kept-pit-{sat}"), [(sat, table)], w.clock.pit_days)
+    for days_ago, rows in zip((3, 0), _two_loads(w, spec)):
+        changed = table.load(rows)
+        pit.refresh(changed, w.table(hub) if days_ago == 0 else changed, w.clock.today - timedelta(days=days_ago))
+    return pit.rows()
+
+
+on_warehouse("kept_pit_customer", lambda w: _kept_pit(w, "hub_customers", "sat_customer_details"))
+on_warehouse("kept_pit_order", lambda w: _kept_pit(w, "hub_orders", "sat_order_status"))
+
+
+# --- facts and marts kept by loads: old versions of some orders first, then corrections and late orders ---
+
+_kept: dict[str, DailyMarts] = {}
+
+
+def _kept_marts(w: Warehouse) -> DailyMarts:
+    """Four fifths of the orders, a quarter of them with another day, amount, state or customer; then the rest and the corrections.
+    Payments come before their orders, first with other states."""
+    if w.root not in _kept:
+        orders, payments = w.table("fct_orders"), w.table("fct_payments")
+        kept = DailyMarts(w.spark, _work_dir(w, "kept-marts"), orders.schema, buckets=4, grain="year")
+        part, old = F.pmod(F.xxhash64("order_hub_key"), F.lit(5)), F.pmod(F.xxhash64("order_hub_key"), F.lit(10)) == 1
+        other = orders.filter(part == 1).withColumns({
+            "order_ts": F.col("order_ts") - F.expr("INTERVAL 40 DAY"), "order_date": F.date_sub("order_date", 40), "payment_state": F.lit("unpaid"),
+            "total_amount": (F.col("total_amount") + 10).cast(orders.schema["total_amount"].dataType),
+            "customer_hub_key": F.when(old, F.concat("customer_hub_key", F.lit("x"))).otherwise(F.col("customer_hub_key"))})
+        early = F.pmod(F.xxhash64("payment_hub_key"), F.lit(3))
+        kept.load_payments(payments.filter(early > 0).withColumn("status", F.when(early == 1, F.lit("failed")).otherwise(F.col("status"))))
+        kept.load(orders.filter(part > 1).unionByName(other))
+        kept.load(orders.filter(part <= 1))
+        kept.load_payments(payments.filter(early <= 1))
+        _kept[w.root] = kept
+    return _kept[w.root]
+
+
+for _name in ("fct_orders", "fct_daily_sales", "agg_daily_sales", "mart_daily_business_kpis", "mart_cohort_retention"):
+    on_warehouse(f"kept_{_name}", lambda w, name=_name: getattr(_kept_marts(w), name)())
+on_warehouse("kept_mv_customer_360", lambda w: _kept_marts(w).mv_customer_360(w.table("dim_customers")))
+
+
 @_warehouse_query("loaded_order_history")
 def _loaded_order_history(w: Warehouse) -> DataFrame:
     """Every order snapshot as an observation, in three loads that come in no order of time."""
     spec = SatSpec("sat_order_history", "oltp_orders", SATELLITES["sat_order_status"].columns)
     snapshots = orders_shape(w.raw("oltp_orders"))
-    table = VaultTable(w.spark, _work_dir(w, "loads-order-history"), spec)
+    table = SatelliteTable(w.spark, _work_dir(w, "loads-order-history"), spec, buckets=4)
     part = F.pmod(F.xxhash64("hub_key", "hashdiff", "effective_from"), F.lit(3))
     for number in (2, 0, 1):
         table.load(snapshots.filter(part == number), number)

@@ -1,44 +1,54 @@
 """The raw vault kept by loads instead of full builds.
 
-Every table is a log of insert-only batches, one per load. Hubs and links append keys that no other load holds. Satellites
-append observations, and the timeline is computed on read from all of them, so a late load falls into place and
-the order of loads does not matter. A load that is repeated replaces its own batch.
+Hubs and links are logs of insert-only batches: a load appends the keys that no other load holds, and a load that is repeated
+replaces its own batch. Satellites are partitioned by bucket of the hub key. They keep every observation, so a late
+one falls into place whatever was collapsed before, and the finished timeline beside them; a load reads and rewrites only the
+buckets that its keys fall into, and readers sort nothing. Point-in-time tables follow from what a load says it
+changed: the touched hubs and the first day that looks different for each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
+from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import HubSpec, LinkSpec, hub_rows, link_rows
 from ..operators.latest import one_version_per_instant
+from ..operators.pit import POINTERS, build_pit
 from ..operators.scd2 import SatSpec, first_versions, recompute_timeline
+from ..session import written
 from ..sources.batches import BATCH, BatchLog
+from ..sources.partitions import PartitionedTable, bucket_of, values_of
 
 Spec = HubSpec | LinkSpec | SatSpec
 
 _OBSERVATION = ["hub_key", "effective_from", "load_dts", "hashdiff"]
 
 
+BUCKETS = 16
+
+
+def _schema_of(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        raise ValueError("nothing has been loaded") from e
+
+
 class VaultTable:
-    """One hub, link or satellite below ``path``."""
+    """One hub or link below ``path``."""
 
-    def __init__(self, spark: SparkSession, path: str, spec: Spec):
-        # A source that holds one row per key within a load can hold another one in the next.
-        self.spec = replace(spec, single_version=False) if isinstance(spec, SatSpec) else spec
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, spec: HubSpec | LinkSpec):
+        self.spec, self.spark, self.path = spec, spark, path
         self._log: BatchLog | None = None
 
     def _rows(self, staged: DataFrame, known: DataFrame | None) -> DataFrame:
-        if isinstance(self.spec, HubSpec):
-            return hub_rows(staged, self.spec, known)
-        if isinstance(self.spec, LinkSpec):
-            return link_rows(staged, self.spec, known)
-        rows = first_versions(staged, self.spec)
-        # Satellite keys are complete, so plain equality finds observations that are stored already.
-        return rows if known is None else rows.join(known.select(*_OBSERVATION), _OBSERVATION, "left_anti")
+        return (hub_rows if isinstance(self.spec, HubSpec) else link_rows)(staged, self.spec, known)
 
     def load(self, staged: DataFrame, number: int) -> None:
         """Appends what ``staged`` has and no other load holds, as batch ``number``."""
@@ -47,11 +57,95 @@ class VaultTable:
         self._log.put(self._rows(staged, others), number)
 
     def rows(self) -> DataFrame:
-        """The table after all loads."""
+        """The table after all loads, also those of other sessions."""
         if self._log is None:
-            raise ValueError("nothing has been loaded")
-        stored = self._log.read()
-        return recompute_timeline(one_version_per_instant(stored)) if isinstance(self.spec, SatSpec) else stored
+            self._log = BatchLog(self.spark, self.path, _schema_of(self.spark, self.path).drop(BATCH).schema)
+        return self._log.read()
+
+
+class SatelliteTable:
+    """One satellite below ``path``: all observations and the timeline, both by bucket of the hub key."""
+
+    def __init__(self, spark: SparkSession, path: str, spec: SatSpec, buckets: int = BUCKETS):
+        # A source that holds one row per key within a load can hold another one in the next.
+        self.spec, self.spark, self.path, self.buckets = replace(spec, single_version=False), spark, path, buckets
+        self._tables: tuple[PartitionedTable, PartitionedTable] | None = None
+
+    def _open(self, rows: DataFrame) -> tuple[PartitionedTable, PartitionedTable]:
+        if self._tables is None:
+            self._tables = tuple(PartitionedTable(self.spark, f"{self.path}/{part}", "bucket", rows.schema) for part in ("observations", "timeline"))
+        return self._tables
+
+    def load(self, staged: DataFrame, number: int = 0) -> DataFrame:
+        """Adds observations and renews the timeline of the touched buckets; (hub_key, since): what changed, from which day on.
+
+        An observation that is stored already adds nothing, so a load may be repeated, also one that broke off; ``number`` is not needed.
+        """
+        rows = first_versions(staged, self.spec)
+        seen, timeline = self._open(rows.withColumn("bucket", bucket_of("hub_key", self.buckets)))
+        incoming = written(rows.withColumn("bucket", bucket_of("hub_key", self.buckets)), "observations")
+        touched = values_of(incoming, "bucket")
+        # Satellite keys are complete, so plain equality finds observations that are stored already.
+        fresh = written(incoming.join(seen.read(touched).select(*_OBSERVATION), _OBSERVATION, "left_anti"), "new-observations")
+        seen.append(fresh)
+        timeline.replace(touched, recompute_timeline(one_version_per_instant(seen.read(touched))))
+        return fresh.groupBy("hub_key").agg(F.to_date(F.min("effective_from")).alias("since"))
+
+    def rows(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The finished timeline, or some buckets of it, as all loads left it, also those of other sessions."""
+        if self._tables is None:
+            self._open(_schema_of(self.spark, f"{self.path}/timeline"))
+        return self._tables[1].read(buckets).drop("bucket")
+
+
+class PitTable:
+    """A point-in-time table over kept satellites, by bucket of the hub key."""
+
+    def __init__(self, spark: SparkSession, path: str, satellites: Sequence[tuple[str, SatelliteTable]], days: int):
+        """All ``satellites`` have the same number of buckets; ``days`` is how far the table looks back."""
+        self.spark, self.satellites, self.days, self.buckets = spark, satellites, days, satellites[0][1].buckets
+        pointers = "".join(f", {a}_{p} {t}" for a, _ in satellites for p, t in zip(POINTERS, ("timestamp", "string", "timestamp")))
+        empty = spark.createDataFrame([], f"hub_key string, as_of_date date{pointers}, bucket int")
+        self.table = PartitionedTable(spark, path, "bucket", empty.schema)
+        self.as_of: date | None = None
+
+    def _built(self, hub: DataFrame, buckets: Sequence[int] | None, as_of: date, days: int) -> DataFrame:
+        versions = [(alias, sat.rows(buckets)) for alias, sat in self.satellites]
+        return build_pit(hub.select("hub_key"), versions, as_of, days).withColumn("bucket", bucket_of("hub_key", self.buckets))
+
+    def refresh(self, changed: DataFrame, hub: DataFrame, as_of: date) -> None:
+        """After a load: ``changed`` (hub_key, since) is what it returned, ``hub`` all hubs, ``as_of`` the last day wanted.
+
+        Days that have passed since are added for all hubs by an append. Of changed hubs the days from ``since`` on are renewed, of hubs
+        that are new all days; only their buckets are rewritten, and their other rows are copied as they are.
+        """
+        first = as_of - timedelta(days=self.days)
+        newest = self.table.read().agg(F.max("as_of_date")).first()[0]
+        keyed = hub.select("hub_key", bucket_of("hub_key", self.buckets))
+        if newest is not None and newest < as_of:
+            there = self.table.read().filter(F.col("as_of_date") == newest).select("hub_key")
+            self.table.append(written(self._built(keyed.join(there, "hub_key", "left_semi"), None, as_of, (as_of - newest).days - 1), "new-days"))
+        known = self.table.read().filter(F.col("as_of_date") == as_of).select("hub_key")
+        fresh = keyed.join(known, "hub_key", "left_anti").select("hub_key", F.lit(first).alias("since"))
+        todo = written(changed.select("hub_key", "since").join(fresh, "hub_key", "left_anti").unionByName(fresh)
+                       .withColumn("bucket", bucket_of("hub_key", self.buckets)), "changed-hubs")
+        touched, since = values_of(todo, "bucket"), todo.select("hub_key", "since")
+        there = self.table.read(touched).join(since, "hub_key", "left")
+        rest = there.filter((F.col("since").isNull() | (F.col("as_of_date") < F.col("since"))) & (F.col("as_of_date") >= first)).drop("since")
+        renewed = self._built(todo, touched, as_of, self.days).join(since, "hub_key").filter(F.col("as_of_date") >= F.col("since")).drop("since")
+        self.table.replace(touched, rest.unionByName(renewed))
+        self.as_of = as_of
+
+    def rows(self) -> DataFrame:
+        """One row per hub and day of the look-back."""
+        newest = self.as_of or self.table.read().agg(F.max("as_of_date")).first()[0]
+        if newest is None:
+            return self.table.read().drop("bucket")
+        return self.table.read().filter(F.col("as_of_date") >= newest - timedelta(days=self.days)).drop("bucket")
+
+
+def vault_table(spark: SparkSession, path: str, spec: Spec) -> VaultTable | SatelliteTable:
+    return SatelliteTable(spark, path, spec, buckets=4) if isinstance(spec, SatSpec) else VaultTable(spark, path, spec)
 
 
 def key_columns(spec: Spec) -> list[str]:

@@ -86,8 +86,8 @@ def fct_daily_sales(orders: DataFrame) -> DataFrame:
         mean_of(F.col("gross_sales"), F.col("_priced")).alias("avg_order_value"), "high_value_orders")
 
 
-def _customer_days(orders: DataFrame, *keys: str) -> DataFrame:
-    """Orders per customer, day and ``keys``, with the customer's first order date.
+def _customer_days(orders: DataFrame, *keys: str, firsts: DataFrame | None = None) -> DataFrame:
+    """Orders per customer, day and ``keys``, with the customer's first order date, taken from ``firsts`` if given.
 
     Everything that compares an order with its customer's first order starts here: after
     this aggregation a customer has at most one row per day (and key), so the window for
@@ -99,18 +99,20 @@ def _customer_days(orders: DataFrame, *keys: str) -> DataFrame:
         F.sum(F.coalesce(F.col("paid_amount"), amount)).alias("net"),
         flag_count(state == "fully_paid").alias("fully"), flag_count(state == "partially_paid").alias("partly"),
         flag_count(state == "unpaid").alias("unpaid"))
+    if firsts is not None:
+        return days.join(firsts, "customer_hub_key", "left")
     return days.withColumn("first_date", F.min("order_date").over(W.partitionBy("customer_hub_key")))
 
 
-def mart_daily_business_kpis(orders: DataFrame) -> DataFrame:
-    """Orders, buyers and money per day and currency.
+def mart_daily_business_kpis(orders: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
+    """Orders, buyers and money per day and currency; ``firsts`` has customers' first days if ``orders`` are only some days.
 
     Buyers are counted from one row per customer and day, orders by a separate distinct
     count; both are joined on the small day grain. No row is multiplied per counter.
     """
     known = F.col("customer_hub_key").isNotNull()
     is_first = F.col("order_date") == F.col("first_date")
-    buyers = _customer_days(orders, "currency").groupBy("order_date", "currency").agg(
+    buyers = _customer_days(orders, "currency", firsts=firsts).groupBy("order_date", "currency").agg(
         flag_count(known).alias("buyers_count"), flag_count(known & is_first).alias("new_buyers_count"),
         flag_count(known & ~is_first).alias("repeat_buyers_count"),
         F.sum("gross").cast(MONEY).alias("gmv"), F.sum("net").cast(MONEY).alias("net_revenue"),
@@ -136,6 +138,11 @@ def mart_cohort_retention(orders: DataFrame) -> DataFrame:
     fact = days.groupBy(
         F.trunc("first_date", "month").alias("cohort_month"), F.col("order_date").alias("activity_date"),
         age.alias("days_since_first_order")).agg(F.count(F.lit(1)).alias("active_users"))
+    return cohort_rates(fact)
+
+
+def cohort_rates(fact: DataFrame) -> DataFrame:
+    """Size and rates of cohorts from active customers per cohort month, activity date and age in days."""
     # A cohort has at most one row per first day, activity day pair: bounded by the calendar.
     cohort = W.partitionBy("cohort_month")
     sized = fact.withColumn("cohort_size", F.sum(

@@ -83,6 +83,11 @@ def mv_customer_360(customers: DataFrame, orders: DataFrame, payments: DataFrame
         "customer_hub_key").agg(
         F.sum("paid").alias("lifetime_payments"), F.sum("good").alias("successful_payments"),
         F.sum("bad").alias("failed_payments"))
+    return customer_view(customers, bought, paid)
+
+
+def customer_view(customers: DataFrame, bought: DataFrame, paid: DataFrame) -> DataFrame:
+    """Customer attributes beside the sums of their orders and payments."""
     rows = customers.join(bought, "customer_hub_key", "left").join(paid, "customer_hub_key", "left")
 
     def money(name: str):

@@ -461,3 +461,6 @@ add("vector_top_k", """
 for _table in (*HUBS, *LINKS, *SATELLITES):
     add(f"loaded_{_table}", f"SELECT * FROM {_table}")
 add("loaded_order_history", timeline("order_snapshots", "status, currency, total_amount, order_ts"))
+
+for _name in ("fct_orders", "fct_daily_sales", "agg_daily_sales", "mart_daily_business_kpis", "mart_cohort_retention", "mv_customer_360", "pit_customer", "pit_order"):
+    STATEMENTS[f"kept_{_name}"] = statement(f"SELECT * FROM {_name}")

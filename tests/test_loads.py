@@ -7,7 +7,7 @@ import pytest
 
 from millrace.operators.keys import HubSpec, LinkSpec
 from millrace.operators.scd2 import SatSpec, build_satellite
-from millrace.plans.loads import VaultTable
+from millrace.plans.loads import PitTable, SatelliteTable, VaultTable
 from millrace.sources.landing import Prefix, load_prefix, new_logs, newest_manifest
 
 NOW = datetime(2024, 5, 1)
@@ -24,7 +24,7 @@ def observations(spark, seed):
 @pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
 def test_satellite_does_not_depend_on_the_order_of_loads(spark, rows, tmp_path, order):
     whole = observations(spark, 7)
-    table = VaultTable(spark, str(tmp_path / "s"), SAT)
+    table = SatelliteTable(spark, str(tmp_path / "s"), SAT, buckets=3)
     for number in (*order, order[0]):
         table.load(whole.filter(f"value % 3 = {number}"), number)
     want = build_satellite(whole, SatSpec("s", "src", ("value",)))
