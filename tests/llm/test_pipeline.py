@@ -4,7 +4,7 @@ import importlib
 import duckdb
 import numpy as np
 from test_decontamination import slow_search
-from test_simhash_dedup import slow_fingerprint, slow_groups
+from test_shingle_dedup import slow_kept
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -30,8 +30,8 @@ def slow_pipeline(spark):
         dropped[i] = set(at)
     docs = [(i, t if i not in dropped else "\n".join(x for n, x in enumerate(t.split("\n"), 1) if n not in dropped[i])) for i, t, _ in docs]
     docs = [d for d in docs if d[0] not in dropped or d[1].strip(" \t\r\x0b\x0c\n")]
-    groups = slow_groups([(i, slow_fingerprint(t)) for i, t in docs])
-    docs = [d for d, (i, least) in zip(docs, groups) if i == least]
+    kept = set(slow_kept(docs))
+    docs = [d for d in docs if d[0] in kept]
     items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
     docs = [d for d in docs if not slow_search(items, d[1])]
     library = Tokenizer.from_file(corpus_pipeline.VOCABULARY)
@@ -62,6 +62,9 @@ def test_stages_keep_columns_and_take_nulls(spark):
 def test_entry_without_corpus_operators(monkeypatch):
     import __spark_entry__ as entry
     assert "pipeline" in entry.queries() and [n for n in entry.queries() if n.startswith("op")]
-    monkeypatch.setattr(importlib.util, "find_spec", lambda name: None)
+
+    def missing(name):
+        raise ImportError(name)
+    monkeypatch.setattr(importlib, "import_module", missing)
     assert "pipeline" not in entry.queries() and "fct_daily_sales" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
