@@ -35,6 +35,8 @@ MAX_EXAMPLE_BYTES = 1 << 20
 LEAST_Z, LEAST_DOCUMENTS = 6.0, 5
 NEIGHBOURS, PRIOR_WEIGHT = 15, 1.0
 BLOCK = 64
+#: Blocks that are scored before the bounds of the others are compared.
+FIRST = 8
 STEMS, TIMES = range(4, 9), (2, 4)
 _WORD = re.compile(r"\w+")
 
@@ -145,28 +147,31 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, float]]:
     """(example, cosine) of the k nearest, best first; ties, equal to nine decimals, by place. Cosine zero is no neighbour.
 
-    Blocks are scored from the highest bound down, each time twice as many, until no bound left reaches the k-th best.
+    The ``FIRST`` blocks with the highest bounds give a k-th best cosine, then every block whose bound reaches it is scored.
     """
     if not len(terms):
         return []
     of, at = _ranges(index.block_rows[terms], index.block_rows[terms + 1])
     block = index.block[at]
     bound = np.floor(np.bincount(block, weights[of] * index.block_max[at]) * 1e9).astype(np.int64) + 2
-    order = np.argsort(-bound, kind="stable")
-    order = order[bound[order] > 2]
-    rank = np.empty(len(bound), np.int64)
-    rank[order] = np.arange(len(order))
-    block_rank = rank[block]
-    places, scores, done, more = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 4
-    while done < len(order) and (len(places) < k or bound[order[done]] >= scores[k - 1]):
-        some = np.flatnonzero((block_rank >= done) & (block_rank < done + more))
+    bound[bound <= 2] = 0
+    left = bound > 0
+    first = np.argpartition(-bound, FIRST - 1)[:FIRST] if len(bound) > FIRST else np.arange(len(bound))
+    wanted = np.zeros(len(bound), bool)
+    wanted[first] = left[first]
+    places, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    while wanted.any():
+        some = np.flatnonzero(wanted[block])
         part, posting = _ranges(index.block_first[at[some]], index.block_first[at[some] + 1])
-        example, slot = np.unique(index.example[posting], return_inverse=True)
-        score = np.rint(np.bincount(slot, weights[of[some[part]]] * index.weight[posting]) * 1e9).astype(np.int64)
-        places, scores = np.concatenate([places, example[score > 0]]), np.concatenate([scores, score[score > 0]])
+        score = np.rint(np.bincount(index.example[posting], weights[of[some]][part] * index.weight[posting]) * 1e9).astype(np.int64)
+        found = np.flatnonzero(score > 0)
+        if len(found) > k:
+            found = found[score[found] >= np.partition(score[found], len(found) - k)[len(found) - k]]
+        places, scores = np.concatenate([places, found]), np.concatenate([scores, score[found]])
         best = np.lexsort((places, -scores))[:k]
         places, scores = places[best], scores[best]
-        done, more = done + more, 2 * more
+        left &= ~wanted
+        wanted = left & (bound >= (scores[k - 1] if len(places) == k else 0))
     return [(int(p), int(s) / 1e9) for p, s in zip(places, scores)]
 
 
