@@ -1,16 +1,15 @@
-"""Ordered per-key computations that survive a key with a large share of all rows.
-
-A window over ``partitionBy(key)`` puts one key into one task. The functions here
-measure the largest group first. While every group is small they plan exactly that
-window. Otherwise rows of the large keys take a path of their own: they are cut into
-calendar slices and written once, the window runs per (key, slice), and what crosses a
-slice border (one row per large key and slice) is carried over from a small summary.
-Results are the same either way.
+"""Ordered per-key computations that survive a key with any share of all rows.
+
+A window over ``partitionBy(key)`` puts one key into one task. Here rows are dealt into segments by ranges of
+(key, time, ties) and written once with the number of their segment, so a large key fills many segments and small keys
+share one. The window runs per (segment, key). Only the last key of a segment can go on in the next one, so what crosses
+the borders is one row per segment; that table, as long as the number of shuffle partitions, is carried along and
+joined back. There is one plan for every size of a key, and no count beforehand.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -18,149 +17,105 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import written
-from .merge import rows_with_match, rows_without_match
-from .union import union_all
-
-LARGE_GROUP_ROWS = 5_000_000
-BROADCAST_KEYS = 200_000
 
-_SLICE = "_slice"
-_CARRY = "_carry"
+_SEGMENT = "_segment"
+_BEFORE, _AFTER = "_before", "_after"
 
 
 @dataclass(frozen=True)
 class Series:
-    """Rows of one key in time order.
-
-    ``time`` drives the slices and leads the order; ``ties`` complete it to a total order.
-    ``large_keys`` is filled in by :meth:`measured`.
-    """
+    """Rows of one key in time order; ``time`` leads the order, ``ties`` complete it to a total order."""
 
     keys: tuple[str, ...]
     time: str
     ties: tuple[str, ...] = ()
-    grain: str = "hour"
-    large_group: int = LARGE_GROUP_ROWS
-    is_measured: bool = False
-    large_keys: DataFrame | None = None
 
     @property
     def order(self) -> list[Column]:
         return [F.col(c).asc() for c in (self.time, *self.ties)]
 
+    def key(self) -> Column:
+        return F.struct(*self.keys)
+
     def position(self) -> Column:
-        return F.struct(self.time, *self.ties)
+        """Place of a row among all rows of all keys."""
+        return F.struct(*self.keys, self.time, *self.ties)
+
+    def local(self):
+        """Window over the rows of one key in one segment."""
+        return W.partitionBy(_SEGMENT, *self.keys).orderBy(*self.order)
 
     def ordered_by(self, time: str, ties: tuple[str, ...]) -> Series:
         return replace(self, time=time, ties=ties)
 
-    def measured(self, *frames: DataFrame) -> Series:
-        """Finds the keys with more rows than ``large_group`` over all ``frames``.
 
-        Reads the key columns only and counts before it shuffles. Measure the inputs of a
-        chain once and hand the result down: later steps can only drop rows. There are at
-        most rows / ``large_group`` large keys; up to ``BROADCAST_KEYS`` of them are sent to
-        every task, more than that are joined by a shuffle.
-        """
-        if self.is_measured:
-            return self
-        keys = union_all([f.select(*self.keys) for f in frames])
-        sizes = keys.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_rows"))
-        large = sizes.filter(F.col("_rows") > self.large_group).select(*self.keys)
-        found = large.limit(BROADCAST_KEYS + 1).collect()
-        if not found:
-            return replace(self, is_measured=True)
-        if len(found) <= BROADCAST_KEYS:
-            large = F.broadcast(keys.sparkSession.createDataFrame(found, large.schema))
-        return replace(self, is_measured=True, large_keys=large)
+def segmented(df: DataFrame, series: Series) -> DataFrame:
+    """``df`` in ranges of (key, time, ties), written, with a column that numbers the ranges.
+
+    The functions below keep that column where their input has it, so a chain of steps in one order is dealt out once;
+    a step in between may drop rows. Drop the column with :func:`unsegmented`.
+    """
+    ranges = df.repartitionByRange(*[F.col(k).asc() for k in series.keys], *series.order)
+    return written(ranges.withColumn(_SEGMENT, F.spark_partition_id()), "segments")
 
 
-Step = Callable[[DataFrame], DataFrame]
+def unsegmented(df: DataFrame) -> DataFrame:
+    return df.drop(_SEGMENT)
 
 
-def _by_size(df: DataFrame, series: Series, plain: Step, sliced: Step) -> DataFrame:
-    """``plain`` for rows of ordinary keys, ``sliced`` for those of large keys."""
-    large = series.measured(df).large_keys
-    if large is None:
-        return plain(df)
-    keys = list(series.keys)
-    cut = rows_with_match(df, large, keys).withColumn(_SLICE, F.date_trunc(series.grain, F.col(series.time)))
-    return plain(rows_without_match(df, large, keys)).unionByName(sliced(written(cut, "slices")))
+def _dealt(df: DataFrame, series: Series) -> tuple[DataFrame, list[str]]:
+    """The frame with segments, and the columns that a result keeps."""
+    return (df if _SEGMENT in df.columns else segmented(df, series)), df.columns
 
 
-def _with_carry(local: DataFrame, summary: DataFrame, series: Series) -> DataFrame:
-    """Joins the per-slice carry back; the summary has one row per large key and slice."""
-    names = (*series.keys, _SLICE)
-    renamed = summary.select(*[F.col(k).alias(f"_s_{k}") for k in names], _CARRY)
-    on = [local[k].eqNullSafe(renamed[f"_s_{k}"]) for k in names]
-    return local.join(renamed, on, "left").drop(*[f"_s_{k}" for k in names])
+def _joined(rows: DataFrame, borders: DataFrame) -> DataFrame:
+    """Adds the border columns; there is one row per segment, and as many segments as shuffle partitions at most."""
+    return rows.join(F.broadcast(borders), _SEGMENT, "left")
 
 
 def with_neighbours(df: DataFrame, series: Series, *, previous: Mapping[str, str] | None = None,
                     following: Mapping[str, str] | None = None) -> DataFrame:
     """Adds columns of the previous and the next row of the same key (new name -> column)."""
     previous, following = dict(previous or {}), dict(following or {})
-    keys = list(series.keys)
-
-    def added(*by: str) -> dict[str, Column]:
-        window = W.partitionBy(*by).orderBy(*series.order)
-        return {**{n: F.lag(c).over(window) for n, c in previous.items()},
-                **{n: F.lead(c).over(window) for n, c in following.items()}}
-
-    def plain(rows: DataFrame) -> DataFrame:
-        return rows.withColumns(added(*keys))
-
-    def sliced(rows: DataFrame) -> DataFrame:
-        window = W.partitionBy(*keys, _SLICE).orderBy(*series.order)
-        local = rows.withColumns({
-            **added(*keys, _SLICE), "_first": F.lag(F.lit(1)).over(window).isNull(),
-            "_last": F.lead(F.lit(1)).over(window).isNull()})
-        head = F.struct(F.lit(1).alias("_set"), *[F.col(c).alias(n) for n, c in following.items()])
-        tail = F.struct(F.lit(1).alias("_set"), *[F.col(c).alias(n) for n, c in previous.items()])
-        edges = rows.groupBy(*keys, _SLICE).agg(
-            F.min_by(head, series.position()).alias("_head"), F.max_by(tail, series.position()).alias("_tail"))
-        across = W.partitionBy(*keys).orderBy(_SLICE)
-        summary = edges.select(*keys, _SLICE, F.struct(
-            F.lag("_tail").over(across).alias("before"), F.lead("_head").over(across).alias("after")).alias(_CARRY))
-        resolved = {n: F.when(F.col("_first"), F.col(f"{_CARRY}.before.{n}")).otherwise(F.col(n)) for n in previous}
-        resolved |= {n: F.when(F.col("_last"), F.col(f"{_CARRY}.after.{n}")).otherwise(F.col(n)) for n in following}
-        return _with_carry(local, summary, series).withColumns(resolved).drop("_first", "_last", _CARRY, _SLICE)
-
-    return _by_size(df, series, plain, sliced)
+    rows, kept = _dealt(df, series)
+    named = lambda wanted: F.struct(series.key().alias("key"), *[F.col(c).alias(n) for n, c in wanted.items()])
+    ends = rows.groupBy(_SEGMENT).agg(F.min_by(named(following), series.position()).alias("first"),
+                                      F.max_by(named(previous), series.position()).alias("last"))
+    across = W.orderBy(_SEGMENT)
+    borders = ends.select(_SEGMENT, F.lag("last").over(across).alias(_BEFORE), F.lead("first").over(across).alias(_AFTER))
+    window = series.local()
+    local = rows.withColumns({
+        **{n: F.lag(c).over(window) for n, c in previous.items()}, **{n: F.lead(c).over(window) for n, c in following.items()},
+        "_head": F.lag(F.lit(1)).over(window).isNull(), "_tail": F.lead(F.lit(1)).over(window).isNull()})
+    continued = lambda edge, side: F.col(edge) & F.col(side).isNotNull() & F.col(f"{side}.key").eqNullSafe(series.key())
+    resolved = {n: F.when(continued("_head", _BEFORE), F.col(f"{_BEFORE}.{n}")).otherwise(F.col(n)) for n in previous}
+    resolved |= {n: F.when(continued("_tail", _AFTER), F.col(f"{_AFTER}.{n}")).otherwise(F.col(n)) for n in following}
+    return _joined(local, borders).withColumns(resolved).select(*kept, *previous, *following)
+
+
+def _with_carry(rows: DataFrame, series: Series, of_key: Column, so_far) -> DataFrame:
+    """Adds what earlier segments say about a row's key: ``of_key`` sums up a key in a segment, ``so_far`` adds segments up."""
+    keys = rows.groupBy(_SEGMENT, series.key().alias("_key")).agg(of_key.alias("_value"))
+    last = keys.groupBy(_SEGMENT).agg(F.max_by(F.struct("_key", "_value"), F.col("_key")).alias("_end"))
+    within = W.partitionBy("_end._key").orderBy(_SEGMENT).rowsBetween(W.unboundedPreceding, W.currentRow)
+    summed = last.select(_SEGMENT, F.struct(F.col("_end._key").alias("key"), so_far(F.col("_end._value")).over(within).alias("value")).alias("_sum"))
+    borders = summed.select(_SEGMENT, F.lag("_sum").over(W.orderBy(_SEGMENT)).alias(_BEFORE))
+    goes_on = F.col(_BEFORE).isNotNull() & F.col(f"{_BEFORE}.key").eqNullSafe(series.key())
+    return _joined(rows, borders).withColumn(_BEFORE, F.when(goes_on, F.col(f"{_BEFORE}.value")))
 
 
 def with_last_known(df: DataFrame, series: Series, name: str, value: str) -> DataFrame:
     """Adds the last non-NULL ``value`` of the same key up to and including the current row."""
-    keys = list(series.keys)
-
-    def known(*by: str) -> Column:
-        window = W.partitionBy(*by).orderBy(*series.order).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return F.last(value, ignorenulls=True).over(window)
-
-    def sliced(rows: DataFrame) -> DataFrame:
-        newest = rows.groupBy(*keys, _SLICE).agg(
-            F.max_by(F.col(value), F.when(F.col(value).isNotNull(), series.position())).alias("_known"))
-        earlier = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-        summary = newest.select(*keys, _SLICE, F.last("_known", ignorenulls=True).over(earlier).alias(_CARRY))
-        joined = _with_carry(rows.withColumn(name, known(*keys, _SLICE)), summary, series)
-        return joined.withColumn(name, F.coalesce(F.col(name), F.col(_CARRY))).drop(_CARRY, _SLICE)
-
-    return _by_size(df, series, lambda rows: rows.withColumn(name, known(*keys)), sliced)
+    rows, kept = _dealt(df, series)
+    here = F.last(value, ignorenulls=True).over(series.local().rowsBetween(W.unboundedPreceding, W.currentRow))
+    newest = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), series.position()))
+    carried = _with_carry(rows, series, newest, lambda c: F.last(c, ignorenulls=True))
+    return carried.withColumn(name, F.coalesce(here, F.col(_BEFORE))).select(*kept, name)
 
 
 def with_running_max(df: DataFrame, series: Series, name: str, value: str) -> DataFrame:
     """Adds the maximum of ``value`` over all earlier rows of the same key."""
-    keys = list(series.keys)
-
-    def peak(*by: str) -> Column:
-        window = W.partitionBy(*by).orderBy(*series.order).rowsBetween(W.unboundedPreceding, -1)
-        return F.max(value).over(window)
-
-    def sliced(rows: DataFrame) -> DataFrame:
-        peaks = rows.groupBy(*keys, _SLICE).agg(F.max(value).alias("_peak"))
-        earlier = W.partitionBy(*keys).orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
-        summary = peaks.select(*keys, _SLICE, F.max("_peak").over(earlier).alias(_CARRY))
-        joined = _with_carry(rows.withColumn(name, peak(*keys, _SLICE)), summary, series)
-        return joined.withColumn(name, F.greatest(F.col(name), F.col(_CARRY))).drop(_CARRY, _SLICE)
-
-    return _by_size(df, series, lambda rows: rows.withColumn(name, peak(*keys)), sliced)
+    rows, kept = _dealt(df, series)
+    here = F.max(value).over(series.local().rowsBetween(W.unboundedPreceding, -1))
+    carried = _with_carry(rows, series, F.max(value), F.max)
+    return carried.withColumn(name, F.greatest(here, F.col(_BEFORE))).select(*kept, name)

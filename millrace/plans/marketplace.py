@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import ratio, rounded_ratio
-from ..operators.ordered import LARGE_GROUP_ROWS, Series, with_neighbours
+from ..operators.ordered import Series, with_neighbours
 
 
 def campaign_ratios(performance: DataFrame) -> DataFrame:
@@ -31,9 +31,9 @@ def rank_bucket(position: Column) -> Column:
     return rule.otherwise("beyond")
 
 
-def rank_changes(ranks: DataFrame, large_group: int = LARGE_GROUP_ROWS) -> DataFrame:
+def rank_changes(ranks: DataFrame) -> DataFrame:
     """Position against the previous ranking of the keyword."""
-    series = Series(("keyword_id",), "rank_date", grain="day", large_group=large_group)
+    series = Series(("keyword_id",), "rank_date")
     rows = with_neighbours(ranks, series, previous={"previous_position": "position"})
     return rows.withColumns({
         "position_change": F.col("position") - F.col("previous_position"), "bucket": rank_bucket(F.col("position"))})
@@ -105,9 +105,9 @@ def session_rates(sessions: DataFrame) -> DataFrame:
                                 "conversion_rate": ratio(F.col("conversions"), F.col("sessions"))})
 
 
-def worked_time(clock: DataFrame, large_group: int = LARGE_GROUP_ROWS) -> DataFrame:
+def worked_time(clock: DataFrame) -> DataFrame:
     """Seconds between each clock-in and a clock-out right after it, per employee and day."""
-    series = Series(("employee_id",), "ts", ("event_id",), large_group=large_group)
+    series = Series(("employee_id",), "ts", ("event_id",))
     rows = with_neighbours(clock, series, following={"next_type": "event_type", "next_ts": "ts"})
     shifts = rows.filter((F.col("event_type") == "clock_in") & (F.col("next_type") == "clock_out"))
     return shifts.groupBy("employee_id", F.to_date("ts").alias("work_date")).agg(

@@ -8,22 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.merge import rows_without_match
-from ..operators.ordered import LARGE_GROUP_ROWS, Series, with_neighbours, with_running_max
+from ..operators.ordered import Series, with_neighbours, with_running_max
 
 _INTERVAL = ("hub_key", "effective_from", "effective_to")
+_INTERVALS = Series(("hub_key",), "effective_from", ("effective_to",))
 
 
-def _series(large_group: int) -> Series:
-    return Series(("hub_key",), "effective_from", ("effective_to",), large_group=large_group)
-
-
-def gaps(sat: DataFrame, large_group: int = LARGE_GROUP_ROWS) -> DataFrame:
+def gaps(sat: DataFrame) -> DataFrame:
     """Versions that do not end where the next one starts."""
-    rows = with_neighbours(sat.select(*_INTERVAL), _series(large_group), following={"next_from": "effective_from"})
+    rows = with_neighbours(sat.select(*_INTERVAL), _INTERVALS, following={"next_from": "effective_from"})
     return rows.filter(F.col("next_from").isNotNull() & ~F.col("effective_to").eqNullSafe(F.col("next_from")))
 
 
-def overlaps(sat: DataFrame, large_group: int = LARGE_GROUP_ROWS) -> DataFrame:
+def overlaps(sat: DataFrame) -> DataFrame:
     """Versions that start before an earlier version of the key has ended.
 
     A version overlaps some earlier one exactly when it starts before the latest end seen
@@ -31,7 +28,7 @@ def overlaps(sat: DataFrame, large_group: int = LARGE_GROUP_ROWS) -> DataFrame:
     """
     far = F.lit("9999-12-31").cast("timestamp_ntz")
     ends = sat.select(*_INTERVAL).withColumn("_end", F.coalesce(F.col("effective_to").cast("timestamp_ntz"), far))
-    rows = with_running_max(ends, _series(large_group), "latest_end", "_end")
+    rows = with_running_max(ends, _INTERVALS, "latest_end", "_end")
     return rows.filter(F.col("latest_end") > F.col("effective_from").cast("timestamp_ntz")).drop("_end")
 
 

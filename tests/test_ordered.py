@@ -1,4 +1,4 @@
-"""Slicing large keys must not change any result."""
+"""Where segments are cut must not change any result."""
 
 import random
 from datetime import datetime, timedelta
@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.operators.ordered import Series, with_last_known, with_neighbours, with_running_max
+from millrace.operators.ordered import Series, segmented, unsegmented, with_last_known, with_neighbours, with_running_max
 
 START = datetime(2024, 1, 1)
 SCHEMA = "key string, ts timestamp_ntz, id int, value int"
@@ -40,36 +40,69 @@ def expected(data):
     return out
 
 
-def run(df, large_group):
-    series = Series(("key",), "ts", ("id",), large_group=large_group)
+def run(df):
+    series = Series(("key",), "ts", ("id",))
+    df = segmented(df, series)
     df = with_neighbours(df, series, previous={"p": "value"}, following={"n": "ts"})
     df = with_running_max(with_last_known(df, series, "k", "value"), series, "m", "value")
-    return {r["id"]: (r["p"], r["n"], r["k"], r["m"]) for r in df.collect()}
+    return {r["id"]: (r["p"], r["n"], r["k"], r["m"]) for r in unsegmented(df).collect()}
 
 
-@pytest.mark.parametrize("seed, large_group", [(1, 3), (2, 60), (2, 10_000)])
-def test_slices_equal_brute_force(spark, seed, large_group):
-    data = skewed(seed)
-    assert run(make(spark, data), large_group) == expected(data)
+@pytest.fixture(params=[1, 7])
+def segments(request, spark):
+    """So many ranges, none of them put together at run time."""
+    asked = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in asked}
+    for k, v in asked.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_segments_equal_brute_force(spark, segments):
+    data = skewed(segments)
+    assert run(make(spark, data)) == expected(data)
+
+
+def test_one_key_holds_all_rows(spark, segments):
+    data = [("hot", START, i, i * 7 % 31 if i % 50 == 0 else None) for i in range(300)]
+    df = make(spark, data)
+    assert run(df) == expected(data)
+    sizes = [r["count"] for r in segmented(df, Series(("key",), "ts", ("id",))).groupBy("_segment").count().collect()]
+    assert len(sizes) == segments and max(sizes) < 3 * len(data) / segments + 10
+
+
+def test_each_step_alone_keeps_the_columns(spark, segments):
+    data, series = skewed(3, 60), Series(("key",), "ts", ("id",))
+    df, want = make(spark, data), expected(skewed(3, 60))
+    for i, name, out in ((0, "p", with_neighbours(df, series, previous={"p": "value"})), (2, "k", with_last_known(df, series, "k", "value")),
+                         (3, "m", with_running_max(df, series, "m", "value"))):
+        assert out.columns == [*df.columns, name] and {r["id"]: r[name] for r in out.collect()} == {k: v[i] for k, v in want.items()}
+
+
+def test_rows_dropped_between_steps_leave_empty_segments(spark, segments):
+    data, series = skewed(5), Series(("key",), "ts", ("id",))
+    part = [r for r in data if r[2] % 40 == 0]
+    kept = segmented(make(spark, data), series).filter("id % 40 = 0")
+    got = with_neighbours(kept, series, previous={"p": "value"}, following={"n": "ts"})
+    assert {r["id"]: (r["p"], r["n"]) for r in got.collect()} == {k: v[:2] for k, v in expected(part).items()}
+
+
+def test_empty_table(spark):
+    assert run(make(spark, [])) == {}
 
 
 @settings(max_examples=3, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["x", "y", None]), st.integers(0, 600),
                           st.one_of(st.none(), st.integers(0, 9))), min_size=1, max_size=30))
-def test_slices_equal_brute_force_property(spark, drawn):
+def test_segments_equal_brute_force_property(spark, drawn):
     data = [(k, START + timedelta(minutes=m), i, v) for i, (k, m, v) in enumerate(drawn)]
-    assert run(make(spark, data), 2) == expected(data)
-
-
-def test_small_groups_plan_one_window_without_join(spark):
-    df = make(spark, skewed(3))
-    plan = with_neighbours(df, Series(("key",), "ts", ("id",)), previous={"p": "value"}) \
-        ._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Window") == 1 and "Join" not in plan
+    assert run(make(spark, data)) == expected(data)
 
 
-def test_large_keys_without_broadcast_give_the_same(spark, monkeypatch):
-    import millrace.operators.ordered as ordered
-    monkeypatch.setattr(ordered, "BROADCAST_KEYS", 0)
-    data = skewed(4)
-    assert run(make(spark, data), 3) == expected(data)
+def test_rows_are_written_once_for_a_chain(spark):
+    series = Series(("key",), "ts", ("id",))
+    dealt = segmented(make(spark, skewed(3)), series)
+    plan = with_running_max(with_neighbours(dealt, series, previous={"p": "value"}), series, "m", "value")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan and "LogicalRDD" not in plan

@@ -149,16 +149,21 @@ def test_in_order_increments_equal_full_build(spark):
     assert chain(target) == chain(build_satellite(source(spark, log), SPEC))
 
 
-@pytest.mark.parametrize("large_group", [4])
-def test_late_loads_keep_the_invariants_with_and_without_slices(spark, large_group):
+@pytest.mark.parametrize("segments", [1, 9])
+def test_late_loads_keep_the_invariants_however_segments_are_cut(spark, segments):
     log = random_log(6)
-    target = build_satellite(source(spark, log[:80]), SPEC, large_group=large_group)
-    after = load_satellite(target, source(spark, log[80:]), SPEC, large_group=large_group)
-    if large_group == 4:
-        plain = load_satellite(build_satellite(source(spark, log[:80]), SPEC), source(spark, log[80:]), SPEC)
-        assert chain(after) == chain(plain)
-    assert gaps(after, large_group).count() == overlaps(after, large_group).count() == 0
-    assert wrong_current(after, mode="exactly_one").count() == 0
+    plain = chain(load_satellite(build_satellite(source(spark, log[:80]), SPEC), source(spark, log[80:]), SPEC))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(segments))
+    try:
+        after = load_satellite(build_satellite(source(spark, log[:80]), SPEC), source(spark, log[80:]), SPEC)
+        assert chain(after) == plain
+        assert gaps(after).count() == overlaps(after).count() == 0
+        assert wrong_current(after, mode="exactly_one").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_close_and_insert_never_leaves_two_current_rows(spark):
