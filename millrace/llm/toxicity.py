@@ -2,7 +2,7 @@
 
 Terms are words, word beginnings of ``STEMS`` characters, and the latter once more as "seen at least n times" (``TIMES``):
 of these, the ones that tell the labels apart, whose share of toxic examples differs from their share of the others by
-more than ``LEAST_Z`` standard errors, however rare they are; the drawn examples bound their number. Texts are TF-IDF
+more than ``LEAST_Z`` standard errors in the drawn examples, which leaves out terms too rare there to tell. Texts are TF-IDF
 vectors of these terms, at length one; a text without any has one term that stands for all its words, so that an exact copy
 of an example has cosine one with it. If the labels are drawn at different rates, document frequencies and votes count each
 example by the inverse of its label's rate. The index holds the
