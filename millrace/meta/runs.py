@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import flag_count
 from ..functions.payloads import merge_json
+from ..operators.merge import rows_without_match
 
 SCHEMA = ("run_id string, dag_id string, task_id string, source string, layer string, status string, "
           "started_at timestamp, finished_at timestamp, rows_in bigint, rows_out bigint, rows_quarantined bigint, "
@@ -17,6 +18,20 @@ SCHEMA = ("run_id string, dag_id string, task_id string, source string, layer st
 _FINAL = ("status", "finished_at", "rows_in", "rows_out", "rows_quarantined", "error_message")
 
 
+_NAMES = ("run_id", "dag_id", "task_id", "source", "layer")
+
+
+def start(log: DataFrame, starting: DataFrame, now: datetime) -> DataFrame:
+    """Run log after runs began: a row without outcome for every run of ``starting`` (run_id, dag_id, task_id, source, layer, payload).
+
+    A run that the log holds already stays as it is, so a repeated start changes nothing.
+    """
+    new = rows_without_match(starting.dropDuplicates(["run_id"]), log, ["run_id"])
+    opened = new.select(*_NAMES, F.lit("running").alias("status"), F.lit(now).cast(log.schema["started_at"].dataType).alias("started_at"),
+                        F.coalesce("payload", F.lit("{}")).alias("payload"))
+    return log.unionByName(opened, allowMissingColumns=True)
+
+
 def finish(started: DataFrame, finished: DataFrame) -> DataFrame:
     """Run log after runs ended: outcome columns replaced, payload fields merged."""
     ends = finished.select("run_id", *[F.col(c).alias(f"_f_{c}") for c in _FINAL],

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..meta.watermarks import FALLBACK
+from ..session import written
 
 
 @dataclass(frozen=True)
@@ -100,13 +101,16 @@ def next_cursor(page: DataFrame, spec: SourceSpec, cursor: Cursor) -> Cursor:
 
 def extract_all(tables: dict[str, DataFrame], cursors: dict[str, Cursor], size: int
                 ) -> Iterator[tuple[SourceSpec, DataFrame, Cursor]]:
-    """Pages of every configured table that is present until none is left, each with the cursor to store after loading it."""
+    """Pages of every configured table that is present until none is left, each with the cursor to store after loading it.
+
+    A page is written before its cursor is taken, so rows that arrive meanwhile can not move its end.
+    """
     for name, spec in SOURCES.items():
         if name not in tables:
             continue
         cursor = cursors.get(name, Cursor())
         while True:
-            page = extract_page(tables[name], spec, cursor, size)
+            page = written(extract_page(tables[name], spec, cursor, size), f"page-{name}")
             after = next_cursor(page, spec, cursor)
             if spec.cursor is not None and after == cursor:
                 break

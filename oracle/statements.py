@@ -321,10 +321,10 @@ add("dq_failing_duplicates", "SELECT order_item_id, count(*) AS row_count FROM r
 add("dq_failing_orphans", f"""
     SELECT c.topic, c.partition_id, c.kafka_offset, c.event_id FROM raw_kafka_payments c
     LEFT JOIN {_FILE_IDS} AS p ON p.event_id = c.event_id WHERE p.event_id IS NULL""")
-add("dq_sat_gaps", """
+add("dq_sat_gaps", f"""
     SELECT hub_key, effective_from, effective_to, next_from
-    FROM (SELECT *, lead(effective_from) OVER (PARTITION BY hub_key ORDER BY effective_from) AS next_from
-          FROM state_2 WHERE hashdiff <> 'view') AS o
+    FROM (SELECT *, lead(effective_from) OVER (PARTITION BY hub_key ORDER BY effective_from, effective_to NULLS FIRST) AS next_from
+          FROM {_TWO} AS u) AS o
     WHERE next_from IS NOT NULL AND effective_to IS DISTINCT FROM next_from""")
 add("dq_sat_overlaps", f"""
     SELECT DISTINCT b.hub_key, b.effective_from FROM {_TWO} AS a JOIN {_TWO} AS b
@@ -342,8 +342,8 @@ add("dq_pit_violations", f"""
        OR v.effective_from > CAST(p.as_of_date AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 SECOND
        OR v.effective_to <= CAST(p.as_of_date AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 SECOND)""")
 add("dq_bridge_violations", """
-    SELECT b.* FROM bridge_customer_order b LEFT JOIN (SELECT * FROM link_customer_order WHERE load_dts < TIMESTAMP '2001-06-01') AS l
-      ON l.link_key = b.link_key AND l.customer_hub_key = b.customer_hub_key AND l.order_hub_key = b.order_hub_key
+    SELECT b.* FROM bridge_customer_order b LEFT JOIN link_customer_order AS l
+      ON l.link_key = b.link_key AND l.customer_hub_key = b.customer_hub_key AND l.order_hub_key = b.order_hub_key AND l.load_dts < TIMESTAMP '2001-06-01'
     WHERE l.link_key IS NULL""")
 add("dq_business_rules", """
     SELECT 'segments' AS table_name, count(*) AS row_count FROM dim_customers WHERE customer_segment NOT IN ('platinum', 'gold', 'silver', 'bronze')
@@ -373,15 +373,15 @@ _LAST = "SELECT topic, partition_id, max(kafka_offset) AS last_offset FROM raw_k
 add("offsets_last", f"{_LAST} GROUP BY 1, 2")
 add("offsets_merged", """
     SELECT 'payments' AS topic, '{' || string_agg('"' || partition_id || '":' || o, ',' ORDER BY partition_id) || '}' AS watermark_value
-    FROM (SELECT p.partition_id, coalesce(n.o, p.o) AS o
+    FROM (SELECT coalesce(n.partition_id, p.partition_id) AS partition_id, coalesce(n.o, p.o) AS o
           FROM (SELECT partition_id, max(kafka_offset) - 10 AS o FROM raw_kafka_payments GROUP BY 1) AS p
-          LEFT JOIN (SELECT partition_id, max(kafka_offset) AS o FROM raw_kafka_orders WHERE partition_id < 2 GROUP BY 1) AS n
+          FULL JOIN (SELECT partition_id, max(kafka_offset) AS o FROM raw_kafka_orders GROUP BY 1) AS n
             ON n.partition_id = p.partition_id) AS m""")
 add("offsets_lag", f"""
     SELECT h.topic, h.partition_id, h.last_offset + 1 AS high_offset, s.last_offset,
            greatest(0, h.last_offset + 1 - greatest(coalesce(s.last_offset, -1) + 1, 0)) AS lag
     FROM ({_LAST} GROUP BY 1, 2) AS h
-    LEFT JOIN ({_LAST} WHERE partition_id > 0 AND ingested_at < TIMESTAMP '2024-01-20' GROUP BY 1, 2) AS s
+    LEFT JOIN (SELECT topic, partition_id, max(kafka_offset) - 5 * partition_id AS last_offset FROM raw_kafka_extension_events GROUP BY 1, 2) AS s
       ON s.topic = h.topic AND s.partition_id = h.partition_id""")
 add("ingestion_lag", """
     SELECT topic, max(ingested_at) AS newest,
@@ -407,6 +407,11 @@ add("runs_longest", "SELECT dag_id, run_id, status, started_at, finished_at, CAS
     "FROM recent WHERE finished_at IS NOT NULL ORDER BY 6 DESC, started_at DESC, run_id LIMIT 20")
 add("runs_latest_failures", "SELECT dag_id, run_id, started_at, finished_at FROM recent WHERE status = 'failed' ORDER BY started_at DESC, run_id LIMIT 30")
 add("runs_latest", "SELECT * FROM recent_view ORDER BY started_at DESC, run_id LIMIT 50")
+add("runs_started", """
+    SELECT * REPLACE (CASE WHEN status = 'running' THEN TIMESTAMP '2024-01-31' ELSE started_at END AS started_at,
+                      CASE WHEN status <> 'running' THEN finished_at END AS finished_at, CASE WHEN status <> 'running' THEN rows_in END AS rows_in,
+                      CASE WHEN status <> 'running' THEN rows_out END AS rows_out, CASE WHEN status <> 'running' THEN rows_quarantined END AS rows_quarantined,
+                      CASE WHEN status <> 'running' THEN error_message END AS error_message) FROM raw_pipeline_runs""")
 add("runs_finished", """
     SELECT * REPLACE (CASE WHEN status = 'running' THEN started_at ELSE finished_at END AS finished_at,
                       CASE WHEN status = 'running' THEN 5 ELSE rows_in END AS rows_in, CASE WHEN status = 'running' THEN 5 ELSE rows_out END AS rows_out,

@@ -11,7 +11,7 @@ from millrace.functions.clock import parse_instant, run_slug
 from millrace.functions.payloads import extension_rows, order_rows, parse_moment
 from millrace.functions.privacy import mask_email, mask_name, resolve_salt
 from millrace.functions.text import email_is_valid, identifier_token
-from millrace.meta import watermarks
+from millrace.meta import runs, watermarks
 from millrace.meta.runs import recent_results
 from millrace.ml.order_value import TrainingSpec, save, train, training_frame
 from millrace.operators.contracts import Contract, split, with_violations
@@ -154,6 +154,33 @@ def test_cursors(spark):
     assert starting_offsets("t", {0: 5}, 2) == '{"t": {"0": 6, "1": -2}}'
 
 
+def test_a_page_is_written_before_its_cursor_is_taken(spark, monkeypatch):
+    """A page that is computed again for its cursor could end elsewhere, and rows between the ends would be lost."""
+    read = []
+
+    def spied(page, spec, cursor):
+        read.append(page.inputFiles())
+        return next_cursor(page, spec, cursor)
+
+    monkeypatch.setattr("millrace.sources.extract.next_cursor", spied)
+    spec = SOURCES["orders"]
+    data = [(i, 1, datetime(2024, 1, 1 + i), "s", "EUR", Decimal(1)) for i in range(5)]
+    df = spark.createDataFrame(data, "order_id bigint, user_id bigint, order_ts timestamp_ntz, status string, currency_code string, total_amount decimal(12,2)")
+    pages = [p for _, p, _ in extract_all({spec.table: df}, {}, 2)]
+    assert [sorted(one(p.select("order_id"))) for p in pages] == [[0, 1], [2, 3], [4]]
+    assert all(files and all("/page-orders/" in f for f in files) for files in read) and len(read) == 4
+
+
+def test_run_start_is_repeatable(spark):
+    empty = spark.createDataFrame([], runs.SCHEMA)
+    starting = spark.createDataFrame([(str(i), "d", "t", None, None, None if i else '{"a":1}') for i in range(3)],
+                                     "run_id string, dag_id string, task_id string, source string, layer string, payload string")
+    once = runs.start(empty, starting, NOW)
+    again = runs.start(once, starting.unionByName(starting), datetime(2030, 1, 1))
+    assert once.columns == empty.columns and sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
+    assert {(r["status"], r["finished_at"], r["payload"]) for r in once.collect()} == {("running", None, "{}"), ("running", None, '{"a":1}')}
+
+
 def test_ingest_resumes_after_stored_offsets(spark, tmp_path):
     target = BatchLog(spark, str(tmp_path / "raw"), order_rows(message(spark, ["{}"])).schema)
     marks = BatchLog(spark, str(tmp_path / "marks"), watermarks.SCHEMA)
