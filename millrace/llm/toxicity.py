@@ -19,6 +19,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ BLOCK = 64
 #: Blocks that are scored before the bounds of the others are compared.
 FIRST = 8
 STEMS, TIMES = range(4, 9), (2, 4)
+#: Words of which a task remembers the terms, and the copies of query vectors whose neighbours it remembers.
+REMEMBERED, REMEMBERED_QUERIES = 200_000, 2_000
 _WORD = re.compile(r"\w+")
 
 
@@ -57,7 +60,6 @@ class Index:
     ids: list
     labels: np.ndarray
     prior: float
-    heads: frozenset[str]
     #: Weight of a neighbour's vote by label.
     votes: tuple[float, float] = (1.0, 1.0)
 
@@ -94,31 +96,67 @@ def _shorter(term: str) -> str:
     return f"{stem[:-1]}{slash}{times}"
 
 
-def heads_of(vocabulary) -> frozenset[str]:
-    """First characters of all terms: a word with other ones has no known term."""
-    return frozenset(t.removeprefix("^").split("/")[0][:STEMS[0]] for t in vocabulary if t[0] != "=")
-
-
-def telling_words(text: str, heads: frozenset[str]) -> list[str]:
-    """The words of a text that may have a known term."""
-    size = STEMS[0]
-    return [w for w in words_of(text) if w[:size] in heads]
-
-
-def vector(vocabulary: dict[str, int], idf: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Terms in order and their weights, (1 + log tf) * idf, at length one; empty without a known term."""
-    counts = {t: n for term, n in terms_of(words).items() if (t := vocabulary.get(term)) is not None}
+def _unit(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms in order and their weights, (1 + log tf) * idf, at length one."""
     terms = np.array(sorted(counts), np.int64)
     weights = np.array([1 + math.log(counts[t]) for t in terms.tolist()]) * idf[terms]
     norm = math.sqrt(float((weights * weights).sum()))
     return (terms, weights / norm) if norm else (terms[:0], weights[:0])
 
 
-def text_vector(vocabulary: dict[str, int], idf: np.ndarray, text: str, heads: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Vector of the telling terms; without any, of the one term of the whole text if the vocabulary has it."""
-    terms, weights = vector(vocabulary, idf, telling_words(text, heads))
-    whole = None if len(terms) else vocabulary.get(whole_term(words_of(text)))
-    return (terms, weights) if whole is None else (np.array([whole], np.int64), np.ones(1))
+def vector(vocabulary: dict[str, int], idf: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vector of the known terms of these words; empty without one."""
+    return _unit({t: n for term, n in terms_of(words).items() if (t := vocabulary.get(term)) is not None}, idf)
+
+
+class Reader:
+    """Vectors of texts. The terms of a word are looked up once; beyond ``REMEMBERED`` words the next text begins anew."""
+
+    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray):
+        self.vocabulary, self.idf = vocabulary, idf
+        self.telling: dict[str, tuple[int | None, list[str]]] = {}
+        self.others: set[str] = set()
+        # By beginning: the least number of occurrences and the term, None where the term counts occurrences.
+        self.beginnings: dict[str, list[tuple[int | None, int]]] = {}
+        for term, i in vocabulary.items():
+            if term[0] == "^":
+                stem, _, times = term.partition("/")
+                self.beginnings.setdefault(stem[1:], []).append((int(times) if times else None, i))
+
+    def _look_up(self, words) -> None:
+        for word in words:
+            own = self.vocabulary.get(word)
+            stems = [word[:size] for size in STEMS if len(word) >= size and word[:size] in self.beginnings]
+            if own is None and not stems:
+                self.others.add(word)
+            else:
+                self.telling[word] = (own, stems)
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Vector of the telling terms; without any, of the one term of the whole text if the vocabulary has it."""
+        words = words_of(text)
+        if len(self.telling) + len(self.others) > REMEMBERED:
+            self.telling.clear()
+            self.others.clear()
+        tf = Counter(filterfalse(self.others.__contains__, words))
+        self._look_up([word for word in tf if word not in self.telling])
+        counts: dict[int, int] = {}
+        stems: dict[str, int] = {}
+        for word, n in tf.items():
+            own, beginnings = self.telling.get(word, (None, ()))
+            if own is not None:
+                counts[own] = n
+            for stem in beginnings:
+                stems[stem] = stems.get(stem, 0) + n
+        for stem, n in stems.items():
+            for least, term in self.beginnings[stem]:
+                if least is None:
+                    counts[term] = n
+                elif n >= least:
+                    counts[term] = 1
+        terms, weights = _unit(counts, self.idf)
+        whole = None if len(terms) or not words else self.vocabulary.get(whole_term(words))
+        return (terms, weights) if whole is None else (np.array([whole], np.int64), np.ones(1))
 
 
 def build_index(vocabulary: dict[str, int], idf: np.ndarray, ids: list, labels: np.ndarray, offsets: np.ndarray, terms: np.ndarray,
@@ -134,7 +172,7 @@ def build_index(vocabulary: dict[str, int], idf: np.ndarray, ids: list, labels:
     np.maximum.at(most, place, weights)
     by_row = lambda rows: np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(vocabulary)))])
     return Index(vocabulary, idf, by_row(terms), of, weights, by_row(key // blocks), key % blocks, most, np.append(first, len(terms)),
-                 ids, labels.astype(np.int64), prior, heads_of(vocabulary), votes)
+                 ids, labels.astype(np.int64), prior, votes)
 
 
 def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,11 +254,10 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     telling = [r for r in telling if not (r["word"].startswith("^") and seen_in.get(_shorter(r["word"])) == seen_in[r["word"]])]
     vocabulary = {r["word"]: i for i, r in enumerate(telling)}
     idf = np.array([math.log((1 + total) / (1 + stands[1] * r["toxic"] + stands[0] * r["other"])) + 1 for r in telling])
-    heads = heads_of(vocabulary)
 
     def vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column("text").to_pylist()
-        found = [vector(vocabulary, idf, telling_words(t, heads)) for t in texts]
+        texts, read = batch.column("text").to_pylist(), Reader(vocabulary, idf)
+        found = [read(t) for t in texts]
         whole = [whole_term(words) if not len(v) and (words := words_of(t)) else None for t, (v, _) in zip(texts, found)]
         return pa.record_batch([batch.column("id"), batch.column("label"), pa.array([t.tolist() for t, _ in found], pa.list_(pa.int32())),
                                 pa.array([w.tolist() for _, w in found], pa.list_(pa.float64())), pa.array(whole, pa.string())],
@@ -253,16 +290,31 @@ def score_texts(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col:
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in keep])
     passed = ["id", *[f"keep_{c}" for c in keep]]
     own = ", ".join(f"{c} {source.schema[c].dataType.simpleString()}" for c in passed)
-    kind = pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))
+    state: dict = {}
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ix, scores, evidence = holder.value, [], []
+        ix = holder.value
+        if not state:
+            state.update(read=Reader(ix.vocabulary, ix.idf), found={}, ids=pa.array([str(x) for x in ix.ids], pa.string()))
+        read, known, scores, places, cosines, ends = state["read"], state["found"], [], [], [], [0]
         for text in batch.column("text").to_pylist():
-            found = nearest(ix, *text_vector(ix.vocabulary, ix.idf, text, ix.heads), k) if text else []
-            scores.append(vote(ix, found))
-            evidence.append([{"example": str(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for p, c in found])
+            terms, weights = read(text or "")
+            key = (terms.tobytes(), weights.tobytes())
+            if key not in known:
+                if len(known) >= REMEMBERED_QUERIES:
+                    known.clear()
+                found = nearest(ix, terms, weights, k)
+                known[key] = vote(ix, found), [p for p, _ in found], [c for _, c in found]
+            score, at, cosine = known[key]
+            scores.append(score)
+            places += at
+            cosines += cosine
+            ends.append(len(places))
+        where = np.array(places, np.int64)
+        evidence = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+            [state["ids"].take(pa.array(where)), pa.array(cosines, pa.float64()), pa.array(ix.labels[where].astype(np.int32))], ["example", "cosine", "label"]))
         predicted = [int(s >= 0.5) for s in scores]
-        return pa.record_batch([*[batch.column(c) for c in passed], pa.array(scores, pa.float64()), pa.array(predicted, pa.int32()), pa.array(evidence, kind)],
+        return pa.record_batch([*[batch.column(c) for c in passed], pa.array(scores, pa.float64()), pa.array(predicted, pa.int32()), evidence],
                                [*passed, "score", "predicted", "evidence"])
 
     out = mapped(source, of, f"{own}, score double, predicted int, evidence array<struct<example:string,cosine:double,label:int>>")

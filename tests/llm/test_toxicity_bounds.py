@@ -36,3 +36,20 @@ def test_rare_slur_and_exact_copy(spark):
     got = {x["doc_id"]: x for x in m.score_texts(docs, index).collect()}
     assert got[1]["predicted"] == 1 and got[2]["predicted"] == 1 and not got[3]["predicted"] and not got[4]["predicted"]
     assert [(x["example"], x["cosine"], x["label"]) for x in got[2]["evidence"]] == [(str(toxic[-1]), 1.0, 1)]
+
+
+def test_reader_equals_plain_vectors(monkeypatch):
+    r = random.Random(4)
+    letters = [r.choice(["ab", "ba", "cab"]) * r.randint(1, 4) + r.choice("xyz") for _ in range(300)]
+    terms = sorted({t for _ in range(400) for t in m.terms_of(r.choices(letters, k=6))})
+    vocabulary = {t: i for i, t in enumerate(r.sample(terms, len(terms) // 2))}
+    vocabulary[m.whole_term(["copy", "of", "it"])] = len(vocabulary)
+    idf = np.array([1 + r.random() for _ in vocabulary])
+    for remembered in (0, 20, 10_000):
+        monkeypatch.setattr(m, "REMEMBERED", remembered)
+        read = m.Reader(vocabulary, idf)
+        for _ in range(150):
+            words = r.choices(letters + ["none"], k=r.randint(0, 30))
+            (terms_a, weights_a), (terms_b, weights_b) = read(" ".join(words)), m.vector(vocabulary, idf, words)
+            assert np.array_equal(terms_a, terms_b) and np.array_equal(weights_a, weights_b)
+    assert read("Copy of it")[0].tolist() == [len(vocabulary) - 1] and not len(read("")[0])
