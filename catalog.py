@@ -45,6 +45,7 @@ from millrace.streaming.changes import STATE as CHANGE_STATE
 from millrace.streaming.changes import (change_state, collect_changes, collect_rows, file_stream, first_deliveries,
                                         live_rows, newest_state, satellite_of)
 from millrace.streaming.ingest import load_messages
+from millrace.vector.many import top_k_many
 from millrace.vector.search import l2_normalise, label_centroids, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -687,6 +688,13 @@ def _vector_top_k(w: Warehouse) -> DataFrame:
     return top_k(unit, label_centroids(corpus), 5).withColumn("score", F.round("score", 6))
 
 
+@_warehouse_query("vector_neighbours")
+def _vector_neighbours(w: Warehouse) -> DataFrame:
+    """Five nearest vectors, itself included, of each vector whose id is divisible by 20, among all."""
+    unit = sample(w.spark, w.directory, "embeddings").select("vec_id", l2_normalise(F.col("embedding")).alias("embedding"))
+    return top_k_many(unit, unit.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 5).withColumn("score", F.round("score", 6))
+
+
 @_warehouse_query("order_value_model")
 def _order_value_model(w: Warehouse) -> DataFrame:
     """Sizes and parameters of the trained model; its errors are kept out of the comparison."""

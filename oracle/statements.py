@@ -461,6 +461,12 @@ add("vector_top_k", """
           FROM (SELECT m.label AS query_id, u.vec_id,
                        list_inner_product(u.e, m.v) / u.norm / sqrt(list_inner_product(m.v, m.v)) AS score FROM means m, unit u) AS s) AS r
     WHERE rank <= 5""")
+add("vector_neighbours", """
+    SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INT) AS rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+          FROM (SELECT q.vec_id AS query_id, u.vec_id, round(list_inner_product(u.e, q.e) / u.norm / q.norm, 9) AS score
+                FROM unit q, unit u WHERE q.vec_id % 20 = 0) AS s) AS r
+    WHERE rank <= 5""")
 
 # A table that is kept by loads equals the one that is built at once.
 for _table in (*HUBS, *LINKS, *SATELLITES):
