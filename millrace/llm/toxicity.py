@@ -41,6 +41,8 @@ FIRST = 8
 STEMS, TIMES = range(4, 9), (2, 4)
 #: Words of which a task remembers the terms, and the copies of query vectors whose neighbours it remembers.
 REMEMBERED, REMEMBERED_QUERIES = 200_000, 2_000
+#: Postings of a term in more than one of this many examples are kept as a row with zeros; texts that are searched together.
+FREQUENT, TOGETHER = 16, 128
 _WORD = re.compile(r"\w+")
 
 
@@ -213,6 +215,69 @@ def nearest(index: Index, terms: np.ndarray, weights: np.ndarray, k: int) -> lis
     return [(int(p), int(s) / 1e9) for p, s in zip(places, scores)]
 
 
+class Searcher:
+    """The search of ``nearest`` for many vectors together: a block is scored for all vectors whose bound reaches it.
+
+    Within a block, postings of frequent terms are a matrix (terms by examples), those of the others stay lists.
+    """
+
+    def __init__(self, index: Index):
+        self.index, self.blocks = index, max(1, -(-len(index.ids) // BLOCK))
+        frequent = np.flatnonzero(np.diff(index.rows) * FREQUENT > len(index.ids))
+        self.place = np.full(len(index.vocabulary), -1)
+        self.place[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((self.blocks, len(frequent), BLOCK))
+        for i, term in enumerate(frequent.tolist()):
+            part = slice(index.rows[term], index.rows[term + 1])
+            self.dense[index.example[part] // BLOCK, i, index.example[part] % BLOCK] = index.weight[part]
+
+    def __call__(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[int, float]]]:
+        return [found for low in range(0, len(vectors), TOGETHER) for found in self._search(vectors[low:low + TOGETHER], k)]
+
+    def _search(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[int, float]]]:
+        ix, n, width = self.index, len(vectors), self.blocks * BLOCK
+        query = np.repeat(np.arange(n), [len(t) for t, _ in vectors])
+        terms, weights = (np.concatenate(x) for x in zip(*vectors))
+        terms = terms.astype(np.int64)
+        of, at = _ranges(ix.block_rows[terms], ix.block_rows[terms + 1])
+        cell = query[of] * self.blocks + ix.block[at]
+        bound = np.floor(np.bincount(cell, weights[of] * ix.block_max[at], n * self.blocks) * 1e9).astype(np.int64).reshape(n, -1) + 2
+        bound[bound <= 2] = 0
+        place = self.place[terms]
+        frequent, listed = np.zeros((n, self.dense.shape[1])), (place < 0)[of]
+        frequent[query[place >= 0], place[place >= 0]] = weights[place >= 0]
+
+        scores, left = np.zeros(n * width), bound > 0
+        by_query = scores.reshape(n, width)
+        first = np.argpartition(-bound, FIRST - 1, axis=1)[:, :FIRST] if self.blocks > FIRST else np.tile(np.arange(self.blocks), (n, 1))
+        wanted = np.zeros_like(left)
+        np.put_along_axis(wanted, first, True, axis=1)
+        wanted &= left
+        for last in (False, True):
+            some = np.flatnonzero(wanted.ravel()[cell] & listed)
+            part, posting = _ranges(ix.block_first[at[some]], ix.block_first[at[some] + 1])
+            rare = of[some][part]
+            np.add.at(scores, query[rare] * width + ix.example[posting], weights[rare] * ix.weight[posting])
+            for block in np.flatnonzero(wanted.any(axis=0)).tolist():
+                asking = np.flatnonzero(wanted[:, block])
+                by_query[asking, block * BLOCK:(block + 1) * BLOCK] += frequent[asking] @ self.dense[block]
+            if last:
+                break
+            scored = np.take_along_axis(by_query.reshape(n, -1, BLOCK), first[:, :, None], axis=1).reshape(n, -1)
+            size = scored.shape[1]
+            least = np.rint(np.partition(scored, size - k, axis=1)[:, size - k] * 1e9).astype(np.int64) if size > k else np.zeros(n, np.int64)
+            wanted = left & ~wanted & (bound >= least[:, None])
+        least = np.maximum(least, 1)
+        row, example = np.nonzero(by_query >= ((least - 0.75) * 1e-9)[:, None])
+        whole = np.rint(by_query[row, example] * 1e9).astype(np.int64)
+        reached = whole >= least[row]
+        row, example, whole = row[reached], example[reached], whole[reached]
+        order = np.lexsort((example, -whole, row))
+        row, example, whole = row[order], example[order], whole[order]
+        ends = np.searchsorted(row, np.arange(n + 1))
+        return [[(int(p), int(c) / 1e9) for p, c in zip(example[low:min(low + k, high)], whole[low:min(low + k, high)])] for low, high in zip(ends[:-1], ends[1:])]
+
+
 def vote(index: Index, found: list[tuple[int, float]]) -> float:
     """Share of toxic neighbours, weighted by cosine and the vote of their label; the prior counts as one of weight ``PRIOR_WEIGHT``."""
     total = sum(c * index.votes[index.labels[place]] for place, c in found)
@@ -295,16 +360,16 @@ def score_texts(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col:
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
         ix = holder.value
         if not state:
-            state.update(read=Reader(ix.vocabulary, ix.idf), found={}, ids=pa.array([str(x) for x in ix.ids], pa.string()))
-        read, known, scores, places, cosines, ends = state["read"], state["found"], [], [], [], [0]
-        for text in batch.column("text").to_pylist():
-            terms, weights = read(text or "")
-            key = (terms.tobytes(), weights.tobytes())
-            if key not in known:
-                if len(known) >= REMEMBERED_QUERIES:
-                    known.clear()
-                found = nearest(ix, terms, weights, k)
-                known[key] = vote(ix, found), [p for p, _ in found], [c for _, c in found]
+            state.update(read=Reader(ix.vocabulary, ix.idf), search=Searcher(ix), known={}, ids=pa.array([str(x) for x in ix.ids], pa.string()))
+        known, scores, places, cosines, ends = state["known"], [], [], [], [0]
+        if len(known) > REMEMBERED_QUERIES:
+            known.clear()
+        vectors = [state["read"](text or "") for text in batch.column("text").to_pylist()]
+        keys = [(terms.tobytes(), weights.tobytes()) for terms, weights in vectors]
+        new = {key: v for key, v in zip(keys, vectors) if key not in known}
+        for key, found in zip(new, state["search"](list(new.values()), k)):
+            known[key] = vote(ix, found), [p for p, _ in found], [c for _, c in found]
+        for key in keys:
             score, at, cosine = known[key]
             scores.append(score)
             places += at

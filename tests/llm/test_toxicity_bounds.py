@@ -53,3 +53,22 @@ def test_reader_equals_plain_vectors(monkeypatch):
             (terms_a, weights_a), (terms_b, weights_b) = read(" ".join(words)), m.vector(vocabulary, idf, words)
             assert np.array_equal(terms_a, terms_b) and np.array_equal(weights_a, weights_b)
     assert read("Copy of it")[0].tolist() == [len(vocabulary) - 1] and not len(read("")[0])
+
+
+def test_search_together_equals_one_by_one(monkeypatch):
+    r = random.Random(8)
+    monkeypatch.setattr(m, "TOGETHER", 7)
+    vocabulary = {f"t{i}": i for i in range(80)}
+    idf = np.array([1 + i / 9 for i in range(80)])
+    shares = [1 / (1 + i) for i in range(80)]
+    draw = lambda n: r.choices(list(vocabulary), shares, k=n)
+    examples = [m.vector(vocabulary, idf, draw(r.randint(1, 12))) for _ in range(900)] + [m.vector(vocabulary, idf, ["t1", "t70"])] * 40
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t, _ in examples])])
+    terms, weights = (np.concatenate(x) for x in zip(*examples))
+    queries = [m.vector(vocabulary, idf, draw(r.randint(0, 9))) for _ in range(60)] + [m.vector(vocabulary, idf, ["t70"]), m.vector(vocabulary, idf, ["no"])]
+    for block, frequent in ((8, 2), (64, 16), (64, 10_000), (2000, 16)):
+        monkeypatch.setattr(m, "BLOCK", block)
+        monkeypatch.setattr(m, "FREQUENT", frequent)
+        index = m.build_index(vocabulary, idf, list(range(940)), np.zeros(940), offsets, terms, weights, 0.1)
+        for k in (1, 15, 2000):
+            assert m.Searcher(index)(queries, k) == [m.nearest(index, *q, k) for q in queries]
