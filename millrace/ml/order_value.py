@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
@@ -39,6 +40,16 @@ def training_frame(orders: DataFrame, now: datetime, spec: TrainingSpec) -> Data
     ).filter(F.col("label") > 0)
 
 
+#: Rows that a task trains on. Training keeps a row as a number per feature, about a kilobyte.
+TASK_ROWS = 200_000
+
+
+def spread(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` rows in parts of ``TASK_ROWS`` or less; few rows stay as they are."""
+    parts = math.ceil(n / TASK_ROWS)
+    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def build_pipeline(spec: TrainingSpec) -> Pipeline:
     """Few-valued texts are indexed, customers hashed."""
     stages = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in ("status", "currency")]
@@ -63,7 +74,7 @@ def train(orders: DataFrame, now: datetime, spec: TrainingSpec = TrainingSpec())
     size = frame.agg(F.count(F.lit(1)).alias("rows"), F.count_if("in_training").alias("train_rows")).first()
     if size["rows"] < spec.min_rows:
         raise ValueError(f"{size['rows']} rows are too few to train on")
-    model = build_pipeline(spec).fit(frame.filter("in_training"))
+    model = build_pipeline(spec).fit(spread(frame.filter("in_training"), size["train_rows"]))
     values = metrics_of(model.transform(frame.filter("NOT in_training")))
     row = {"rows": size["rows"], "train_rows": size["train_rows"], "max_iter": spec.max_iter, "max_depth": spec.max_depth, **values}
     schema = "rows bigint, train_rows bigint, max_iter int, max_depth int, rmse double, mae double, r2 double"

@@ -36,3 +36,38 @@ def test_written_tables_hold_no_digests(spark, tmp_path):
         for row in public.select(*hashes).limit(20).collect() if hashes else []:
             assert all(v is None or re.fullmatch("[0-9a-f]{64}", v) for v in row), name
         assert w.frame(name).columns == public.columns and w.frame(name).exceptAll(public).isEmpty()
+
+
+def test_a_partition_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    from millrace.sources.partitions import PartitionedTable
+    rows = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(1).alias("k"))
+    table = PartitionedTable(spark, str(tmp_path / "t"), "k", rows.schema)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        table.replace([1, 2], rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(list((tmp_path / "t" / "k=1").glob("part-*"))) > 1
+    assert table.read().count() == 60_000 and table.read().select("v").distinct().count() == 60_000
+
+
+def test_training_rows_are_spread(spark, monkeypatch):
+    from millrace.ml import order_value
+    monkeypatch.setattr(order_value, "TASK_ROWS", 10)
+    rows = spark.range(95).coalesce(1)
+    assert order_value.spread(rows, 95).rdd.getNumPartitions() == 10
+    assert order_value.spread(spark.range(9).coalesce(1), 9).rdd.getNumPartitions() == 1
+
+
+def test_a_task_reads_a_bounded_split(spark):
+    from millrace.session import SPLIT_BYTES, apply_defaults
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for given, want in (("128m", str(SPLIT_BYTES)), ("1m", "1m")):
+            spark.conf.set(key, given)
+            apply_defaults(spark)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
