@@ -89,3 +89,41 @@ def test_a_task_reads_a_bounded_part_of_a_shuffle(spark):
             assert spark.conf.get(key) == want
     finally:
         spark.conf.set(key, before)
+
+
+def test_change_hashes_travel_as_bytes(spark, rows):
+    from millrace.functions.hashing import digest, packed, unpacked
+    hashes = spark.range(300).select(digest(F.col("id").cast("string")).alias("hashdiff")).unionByName(
+        spark.sql("SELECT CAST(NULL AS STRING) AS hashdiff"))
+    assert rows(unpacked(packed(hashes))) == rows(hashes)
+    assert packed(hashes).schema["hashdiff"].dataType.simpleString() == "binary"
+    by_text = [r[0] for r in hashes.orderBy("hashdiff").collect()]
+    assert [r[0] for r in unpacked(packed(hashes).orderBy("hashdiff")).collect()] == by_text
+
+
+def test_satellites_deal_out_bytes(spark, tmp_path, monkeypatch):
+    from millrace.plans import warehouse as m
+    seen = []
+    kept = m.build_satellite
+    monkeypatch.setattr(m, "build_satellite", lambda rows, spec: seen.append(rows.schema["hashdiff"].dataType.simpleString()) or kept(rows, spec))
+    folder = str(tmp_path / "in")
+    shutil.copytree("/root/testdata/sf0.001", folder)
+    w = Warehouse(spark, folder, Clock(now=CLOCK.now, pit_days=9))
+    assert w.frame("sat_gl_entry_details").schema["hashdiff"].dataType.simpleString() == "string"
+    assert seen == ["binary"]
+
+
+def test_partitions_are_written_without_a_sort(spark, tmp_path):
+    from millrace.sources.partitions import PartitionedTable
+    apply_defaults(spark)
+    table = PartitionedTable(spark, str(tmp_path / "t"), "k", spark.range(0).selectExpr("id v", "CAST(id AS INT) k").schema)
+    table.replace([0, 1, 2, 3], spark.range(4000).selectExpr("id v", "CAST(id % 4 AS INT) k"))
+    assert table.read().groupBy("k").count().filter("count = 1000").count() == 4
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 16
+    plan = spark.range(40).selectExpr("id v", "CAST(id % 4 AS INT) k")
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "0")
+    try:
+        table.append(plan)
+    finally:
+        apply_defaults(spark)
+    assert table.read().count() == 4040
