@@ -44,8 +44,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each document; labels are learned from rows whose remainder is not 0."""
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
-    learned = docs.filter(~held_out).select("doc_id", "text").join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
-    index = toxicity.learn(learned)
+    index = toxicity.learn_joined(docs.filter(~held_out).select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return toxicity.score_texts(docs.select("doc_id", "text", held_out.alias("held_out")), index, keep=("held_out",))
 
 

@@ -24,7 +24,7 @@ from itertools import filterfalse
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import mapped, or_empty, stored
@@ -291,20 +291,56 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     At most about ``max_examples`` of each label are drawn, whole. Document frequencies are counted by Spark and, like votes,
     weighted by the number of rows that a drawn one stands for; the vote of the label drawn at the higher rate is one.
     """
-    rows = (labelled.select(F.col(id_col).alias("id"), or_empty(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
-            .filter(F.col("label").isin(0, 1) & (F.octet_length("text") <= MAX_EXAMPLE_BYTES)))
-    n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    rows = _lots(labelled.select(F.col(id_col).alias("id"), or_empty(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
+                 .filter(F.col("label").isin(0, 1)))
+    n = _by_label(rows)
+    return _index_of(stored(rows.filter(_is_drawn(n, max_examples)).drop("lot"), "examples") if n else None, n)
+
+
+def learn_joined(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+                 max_examples: int = MAX_EXAMPLES) -> Index:
+    """The index that :func:`learn` makes of ``docs`` joined with ``labels`` on the id; no text is shuffled for the join.
+
+    Ids meet labels without texts. The labels of drawn rows, whose number ``max_examples`` bounds, are sent to all tasks and
+    fetch the texts where they lie.
+    """
+    texts = _lots(docs.select(F.col(id_col).alias("id"), or_empty(text_col).alias("text")))
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(F.col("label").isin(0, 1))
+    lots = stored(texts.select("id", "lot").join(known, "id"), "labelled-ids")
+    n = _by_label(lots)
+    if not n:
+        return _index_of(None, n)
+    drawn = _is_drawn(n, max_examples)
+    # Ids can repeat on both sides: each drawn pair of rows comes once, as in the join of all rows.
+    wanted = stored(known.join(lots.filter(drawn).select("id", "label").distinct(), ["id", "label"], "left_semi"), "drawn-labels")
+    return _index_of(stored(texts.join(F.broadcast(wanted), "id").filter(drawn).select("id", "text", "label"), "examples"), n)
+
+
+def _lots(rows: DataFrame) -> DataFrame:
+    """Rows short enough to be drawn, with the number that decides it."""
+    return rows.filter(F.octet_length("text") <= MAX_EXAMPLE_BYTES).withColumn("lot", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)))
+
+
+def _by_label(rows: DataFrame) -> dict[int, int]:
+    return {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+
+
+def _is_drawn(n: dict[int, int], max_examples: int) -> Column:
+    rate = F.create_map(*[x for label, count in n.items() for x in (F.lit(label), F.lit(int(min(1.0, max_examples / count) * (1 << 20))))])
+    return F.col("lot") < F.element_at(rate, F.col("label"))
+
+
+def _index_of(drawn: DataFrame | None, n: dict[int, int]) -> Index:
+    """Index of the drawn examples (id, text, label); ``n`` has the number of all labelled rows by label."""
     if not n:
         nothing = np.zeros(0)
         return build_index({}, nothing, [], nothing, np.zeros(1, np.int64), nothing, nothing, 0.0)
-    rate = F.create_map(*[x for label, count in n.items() for x in (F.lit(label), F.lit(int(min(1.0, max_examples / count) * (1 << 20))))])
-    drawn = stored(rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < F.element_at(rate, F.col("label"))), "examples")
 
     def distinct(batch: pa.RecordBatch) -> pa.RecordBatch:
         pairs = [(label, w) for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()) for w in terms_of(words_of(text))]
         return pa.record_batch([pa.array([p[0] for p in pairs], pa.int32()), pa.array([p[1] for p in pairs], pa.string())], ["label", "word"])
 
-    size = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    size = _by_label(drawn)
     toxic_n, other_n = size.get(1, 0), size.get(0, 0)
     stands = {label: n.get(label, 0) / size[label] if size.get(label) else 1.0 for label in (0, 1)}
     total = n.get(1, 0) + n.get(0, 0)
