@@ -1,10 +1,13 @@
 """Rows are dealt out no more often than the joins need, and the results stay the same."""
 
 import shutil
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from millrace.functions.hashing import hash_parts
 from millrace.operators.keys import HubSpec, LinkSpec, hub_rows, link_rows
+from millrace.operators.scd2 import SatSpec, build_satellite
 from millrace.plans import business
 from millrace.plans.warehouse import Clock, Warehouse
 from millrace.session import SPLIT_BYTES, apply_defaults
@@ -127,3 +130,49 @@ def test_partitions_are_written_without_a_sort(spark, tmp_path):
     finally:
         apply_defaults(spark)
     assert table.read().count() == 4040
+
+
+def test_lines_and_their_link_are_one_pass(spark, rows):
+    apply_defaults(spark)
+    at = "timestamp_ntz'2020-01-01 00:00:00'"
+    items = spark.createDataFrame(
+        [("1", "a", 2, 10, 0), ("1", "a", 3, 5, 4), ("1", "b", 1, 1, 0), ("2", "a", None, 7, 1), ("3", "a", 9, 9, 0), (None, "a", 4, 4, 0), ("2", None, 4, 4, 0), ("2", "x", 1, 1, 0)],
+        "order_bk string, product_bk string, quantity int, amount int, days int").selectExpr(
+        "order_bk", "product_bk", "quantity", "CAST(amount AS DECIMAL(18,2)) line_amount", f"{at} + make_dt_interval(days) load_dts", "concat('s', days) record_source")
+    spec = LinkSpec("link", "items", (("order", "order_bk"), ("product", "product_bk")))
+    orders, products = (hub_rows(spark.createDataFrame([(b,) for b in bks], "bk string").selectExpr(
+        "bk", f"{at} load_dts", "'s' record_source"), HubSpec("hub", "src", "bk")).localCheckpoint() for bks in (["1", "2", "9"], ["a", "b"]))
+    sold = items.select("product_bk").unionByName(spark.createDataFrame([("gone",), (None,)], "product_bk string"))
+
+    def one_pass():
+        link = link_rows(items, spec, dealt_by="order", carry=business.link_sums())
+        return business.linked_product_rows(link, orders, products, sold)
+    want = planned(spark, lambda: rows(business.order_product_rows(link_rows(items, spec), orders, products, items)))
+    assert len(want) == 3 and planned(spark, lambda: rows(one_pass())) == want
+    # Lines and the hub of orders.
+    assert planned(spark, lambda: exchanges(one_pass())) == 2
+
+
+def test_payments_are_told_from_one_row(spark, rows):
+    sat = SatSpec("sat", "src", ("status", "amount"), single_version=True)
+    link = LinkSpec("link", "src", (("order", "order_bk"), ("payment", "payment_bk")), single_row=True)
+    at = "timestamp_ntz'2020-01-01 00:00:00'"
+    staged = spark.createDataFrame([("1", "p", "success", 3, True), ("1", "q", "failed", 4, True), (None, "r", "success", 5, True), ("2", "s", "success", 6, False)],
+                                   "order_bk string, payment_bk string, status string, amount int, dated boolean").selectExpr(
+        "*", "'h' hashdiff", f"{at} load_dts", f"if(dated, {at}, NULL) effective_from", "'s' record_source")
+    staged = staged.withColumn("hub_key", hash_parts([F.col("payment_bk")]))
+    versions = build_satellite(staged, replace(sat, columns=(*sat.columns, "order_bk", "payment_bk")))
+    told = business.paid_per_order(link_rows(versions, link, carry=[F.col("status"), F.col("amount")]))
+    assert rows(told) == rows(business.payments_per_order(link_rows(staged, link), build_satellite(staged, sat))) and told.count() == 1
+
+
+def test_facts_keep_items_and_bridge_as_plans(spark, tmp_path, rows):
+    folder = str(tmp_path / "in")
+    shutil.copytree("/root/testdata/sf0.001", folder)
+    apply_defaults(spark)
+    first, second = (Warehouse(spark, folder, Clock(now=CLOCK.now, pit_days=days)) for days in (5, 6))
+    got = rows(first.table("fct_orders"))
+    assert not {"stg_order_items", "bridge_order_product", "link_order_product"} & set(first._written)
+    for name in ("stg_order_items", "bridge_order_product"):
+        second.table(name)
+    assert rows(second.table("fct_orders")) == got
