@@ -176,3 +176,14 @@ def test_facts_keep_items_and_bridge_as_plans(spark, tmp_path, rows):
     for name in ("stg_order_items", "bridge_order_product"):
         second.table(name)
     assert rows(second.table("fct_orders")) == got
+
+
+def test_a_check_builds_only_what_it_reads(spark, tmp_path):
+    import catalog
+    folder = str(tmp_path / "in")
+    shutil.copytree("/root/testdata/sf0.001", folder)
+    apply_defaults(spark)
+    w = Warehouse(spark, folder, Clock(now=CLOCK.now, pit_days=4))
+    failing = catalog._failing(w, "payment_orders_known")
+    assert not w._written and failing.count() > 0
+    assert set(catalog._checked_tables(w, catalog.CHECKS)) == {n for c in catalog.CHECKS for n in (c.table, c.parent_table) if n}
