@@ -187,3 +187,16 @@ def test_a_check_builds_only_what_it_reads(spark, tmp_path):
     failing = catalog._failing(w, "payment_orders_known")
     assert not w._written and failing.count() > 0
     assert set(catalog._checked_tables(w, catalog.CHECKS)) == {n for c in catalog.CHECKS for n in (c.table, c.parent_table) if n}
+
+
+def test_loaded_links_meet_the_known_ones_as_they_lie(spark, rows):
+    spec = LinkSpec("l", "s", (("order", "order_bk"), ("product", "product_bk")))
+    staged = spark.createDataFrame([("1", "a"), ("1", "a"), ("1", "b"), ("2", "b"), (None, "b"), ("x||y", "z"), ("x", "y||z")], "order_bk string, product_bk string").selectExpr(
+        "*", "timestamp_ntz'2020-01-01 00:00:00' load_dts", "'s' record_source")
+    known = link_rows(staged.filter("order_bk = '1'"), spec)
+    for existing in (None, known.localCheckpoint()):
+        assert rows(link_rows(staged, spec, existing, dealt_by="link")) == rows(link_rows(staged, spec, existing))
+    # New rows and known keys, each once.
+    large = known.localCheckpoint()
+    assert planned(spark, lambda: exchanges(link_rows(staged, spec, large, dealt_by="link"))) == 2
+    assert planned(spark, lambda: exchanges(link_rows(staged, spec, large))) == 3
