@@ -200,3 +200,54 @@ def test_loaded_links_meet_the_known_ones_as_they_lie(spark, rows):
     large = known.localCheckpoint()
     assert planned(spark, lambda: exchanges(link_rows(staged, spec, large, dealt_by="link"))) == 2
     assert planned(spark, lambda: exchanges(link_rows(staged, spec, large))) == 3
+
+
+def test_orders_are_dealt_out_once_with_all_that_their_row_says(spark, rows):
+    from millrace.functions.hashing import key_text
+    from millrace.operators.bridge import bridge_rows, side_by_side
+    from millrace.plans import marts
+    apply_defaults(spark)
+    at = "timestamp_ntz'2020-01-01 00:00:00'"
+    hub, link = HubSpec("h", "s", "order_bk", single_row=True), LinkSpec("l", "s", (("customer", "customer_bk"), ("order", "order_bk")), single_row=True)
+    sat = SatSpec("sat", "s", ("status", "currency", "total_amount", "order_ts"), single_version=True)
+    staged = spark.createDataFrame(
+        [("1", "c", "paid", 5, True), ("2", "gone", "paid", 2000, True), ("3", None, None, None, True), ("4", "c", "new", 7, False), (None, "c", "x", 1, True)],
+        "order_bk string, customer_bk string, status string, amount int, dated boolean").selectExpr(
+        "order_bk", "customer_bk", "status", "'EUR' currency", "CAST(amount AS DECIMAL(14,2)) total_amount", f"{at} order_ts", f"{at} load_dts",
+        f"if(dated, {at}, NULL) effective_from", "'s' record_source", "'h' hashdiff").withColumn("hub_key", key_text([F.col("order_bk")])).localCheckpoint()
+    customers = spark.createDataFrame([("c",), ("d",)], "bk string").selectExpr("bk", f"{at} load_dts", "'s' record_source")
+    customers = hub_rows(customers, HubSpec("hub", "src", "bk"), key=key_text).localCheckpoint()
+    lines = spark.createDataFrame([("1", 2), ("1", 3), ("4", 1), ("9", 1)], "order_hub_key string, total_quantity long").localCheckpoint()
+    paid = spark.createDataFrame([("1", True, 5), ("4", True, 7)], "hub_key string, paid boolean, paid_total long").selectExpr(
+        "hub_key", "paid", "CAST(paid_total AS DECIMAL(24,2)) paid_total").localCheckpoint()
+
+    def joined():
+        bridge = bridge_rows(link_rows(staged, link, key=key_text), {"customer": customers, "order": hub_rows(staged, hub, key=key_text)})
+        return marts.fct_orders(hub_rows(staged, hub, key=key_text), bridge, business.enriched_orders(build_satellite(staged, sat), lines, paid))
+
+    def at_once():
+        orders = side_by_side(staged, hub, link, sat, key_text)
+        unknown = business.unknown_keys(orders, "customer_hub_key", customers).localCheckpoint()
+        return marts.order_facts(business.described_orders(business.without_unknown(orders, "customer_hub_key", unknown), lines, paid))
+    want = rows(joined())
+    assert len(want) == 4 and [r[2] for r in want] == ["C", None, None, "C"] and want[3][3] is None
+    assert rows(at_once()) == want and at_once().columns == joined().columns
+    # Orders, the sums of their lines and of their payments.
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        described = business.described_orders(side_by_side(staged, hub, link, sat, key_text), lines, paid)
+        assert exchanges(described) == 3 and exchanges(joined()) > 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_links_by_key_are_the_same_links(spark, rows):
+    from millrace.functions.hashing import key_text
+    spec = LinkSpec("l", "s", (("order", "order_bk"), ("product", "product_bk")))
+    staged = spark.createDataFrame([("1", "a", 2), ("1", "a", 3), ("1", "b", 1), ("2", "b", 4), (None, "b", 1), ("", "b", 1), ("x||y", "z", 1)], "order_bk string, product_bk string, quantity int").selectExpr(
+        "*", "CAST(quantity AS DECIMAL(18,2)) line_amount", "timestamp_ntz'2020-01-01 00:00:00' load_dts", "'s' record_source")
+    plain, by_key = (link_rows(staged, spec, key=key_text, dealt_by="order", carry=business.link_sums(), by_keys=b) for b in (False, True))
+    assert "order_bk" not in by_key.columns and rows(by_key) == rows(plain.select(*by_key.columns))
+    assert planned(spark, lambda: exchanges(by_key.select(*by_key.columns))) == 1
