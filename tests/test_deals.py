@@ -251,3 +251,31 @@ def test_links_by_key_are_the_same_links(spark, rows):
     plain, by_key = (link_rows(staged, spec, key=key_text, dealt_by="order", carry=business.link_sums(), by_keys=b) for b in (False, True))
     assert "order_bk" not in by_key.columns and rows(by_key) == rows(plain.select(*by_key.columns))
     assert planned(spark, lambda: exchanges(by_key.select(*by_key.columns))) == 1
+
+
+def test_payment_facts_and_customer_rules_deal_out_no_orders_or_payments(spark, tmp_path, rows):
+    from millrace.plans import marts
+    folder = str(tmp_path / "in")
+    shutil.copytree("/root/testdata/sf0.001", folder)
+    apply_defaults(spark)
+    w = Warehouse(spark, folder, Clock(now=CLOCK.now, pit_days=3))
+    w.plain("stg_payments")
+    assert planned(spark, lambda: exchanges(w.frame("fct_payments"))) == 0
+    joined = marts.fct_payments(w.table("hub_payments"), w.table("link_order_payment"), w.table("sat_payment_details"))
+    assert rows(w.frame("fct_payments")) == rows(joined) and w.frame("fct_payments").columns == joined.columns
+    ruled = business.customer_rules(w.plain("sat_customer_details"), w.plain("bridge_customer_order"), w.plain("sat_order_status"), CLOCK.now)
+    assert rows(w.plain("sat_customer_business")) == rows(ruled)
+
+
+def test_a_payment_without_order_or_version_is_a_payment(spark, rows):
+    from millrace.operators.bridge import side_by_side
+    from millrace.plans import marts
+    sat = SatSpec("sat", "s", ("amount", "currency", "payment_method", "status", "decline_reason", "transaction_id"), single_version=True)
+    hub, link = HubSpec("h", "s", "payment_bk", single_row=True), LinkSpec("l", "s", (("order", "order_bk"), ("payment", "payment_bk")), single_row=True)
+    at = "timestamp_ntz'2020-01-01 00:00:00'"
+    staged = spark.createDataFrame([("p", "1", 3, True), ("q", None, 4, True), ("r", "2", 5, False), (None, "3", 6, True)], "payment_bk string, order_bk string, amount int, dated boolean").selectExpr(
+        "*", "'EUR' currency", "'card' payment_method", "'success' status", "'' decline_reason", "'t' transaction_id", f"{at} load_dts",
+        f"if(dated, {at}, NULL) effective_from", "'s' record_source", "'h' hashdiff").withColumn("hub_key", hash_parts([F.col("payment_bk")]))
+    want = marts.fct_payments(hub_rows(staged, hub), link_rows(staged, link), build_satellite(staged, sat))
+    got = marts.payment_facts(side_by_side(staged, hub, link, sat))
+    assert rows(got) == rows(want) and got.count() == 3 and got.filter("order_hub_key IS NULL AND amount = 4").count() == 1
