@@ -291,3 +291,18 @@ def test_categories_read_lines_where_they_lie(spark, tmp_path, rows):
     assert rows(second.table("mart_category_performance")) == alone and len(alone) > 0
     # Below facts yet to be built the bridge serves both and is written, beside written facts it is not.
     assert "bridge_order_product" in first._written and "bridge_order_product" not in second._written
+
+
+def test_no_money_travels_with_customers(spark, rows):
+    from millrace.plans import marts
+    days = [("1", "a", "2020-01-01", "EUR", 5, None, "unpaid"), ("2", "a", "2020-01-02", "EUR", 7, 7, "fully_paid"), ("3", "b", "2020-01-02", "EUR", 1, 2, "partially_paid"),
+            ("4", None, "2020-01-02", None, None, None, "unpaid"), ("5", "b", "2020-01-02", None, 3, 3, "fully_paid"), ("5", "b", "2020-01-02", None, 3, 3, None), ("6", "b", None, "EUR", 9, 9, "unpaid")]
+    orders = spark.createDataFrame(days, "order_hub_key string, customer_hub_key string, day string, currency string, amount int, paid int, payment_state string").selectExpr(
+        "*", "CAST(day AS DATE) order_date", "CAST(amount AS DECIMAL(14,2)) total_amount", "CAST(paid AS DECIMAL(24,2)) paid_amount")
+    got = marts.mart_daily_business_kpis(orders)
+    seen = [[None if v is None else float(v) if not isinstance(v, str) else v for v in r] for r in rows(got.selectExpr(
+        "CAST(metric_date AS STRING)", "currency", *got.columns[2:8], *got.columns[9:12]))]
+    assert seen == [["2020-01-01", "EUR", 1, 1, 1, 0, 5, 5, 0, 0, 1], ["2020-01-02", "EUR", 2, 2, 1, 1, 8, 9, 1, 1, 0], ["2020-01-02", None, 2, 1, 1, 0, 6, 6, 1, 0, 1]]
+    dealt = planned(spark, lambda: marts.mart_daily_business_kpis(orders)._jdf.queryExecution().executedPlan().toString())
+    by_customer = [part for part in dealt.split("HashAggregate") if part.lstrip("(0123456789) ").startswith("keys=[customer_hub_key") or "keys=[customer_hub_key" in part[:60]]
+    assert by_customer and not any("sum(" in part[:400] for part in by_customer)
