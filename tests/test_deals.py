@@ -306,3 +306,15 @@ def test_no_money_travels_with_customers(spark, rows):
     dealt = planned(spark, lambda: marts.mart_daily_business_kpis(orders)._jdf.queryExecution().executedPlan().toString())
     by_customer = [part for part in dealt.split("HashAggregate") if part.lstrip("(0123456789) ").startswith("keys=[customer_hub_key") or "keys=[customer_hub_key" in part[:60]]
     assert by_customer and not any("sum(" in part[:400] for part in by_customer)
+
+
+def test_unknown_keys_are_written_once_and_are_no_table(spark, tmp_path):
+    from millrace.plans.warehouse import TABLES
+    folder = str(tmp_path / "in")
+    shutil.copytree("/root/testdata/sf0.001", folder)
+    apply_defaults(spark)
+    w = Warehouse(spark, folder, Clock(now=CLOCK.now, pit_days=12))
+    w.frame("fct_orders")
+    unknown = w._unknown["customer_hub_key"]
+    w.frame("sat_customer_business")
+    assert w._unknown["customer_hub_key"] is unknown and set(w._written) <= set(TABLES)
