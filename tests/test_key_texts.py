@@ -1,5 +1,6 @@
 import re
 import shutil
+import time
 
 from pyspark.sql import functions as F
 
@@ -71,3 +72,18 @@ def test_a_task_reads_a_bounded_split(spark):
             assert spark.conf.get(key) == want
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_filter_on_a_wide_change_hash_is_planned_at_once(spark):
+    """Sixteen columns; with names for their trimmed texts the planner tried 2^16 forms of the filter."""
+    from millrace.functions.hashing import hash_columns, packed
+    from millrace.operators.scd2 import SatSpec, first_versions
+    names = [f"c{i}" for i in range(16)]
+    given = spark.createDataFrame([("k", " ", *["x"] * 15)], ", ".join(f"{c} string" for c in ("bk", *names)))
+    staged = given.select("*", key_text([F.col("bk")]).alias("hub_key"), hash_columns(given, names).alias("hashdiff"),
+                          *[F.lit(CLOCK.now).alias(c) for c in ("load_dts", "effective_from")], F.lit("s").alias("record_source"))
+    versions = first_versions(packed(staged), SatSpec("s", "src", tuple(names)))
+    start = time.monotonic()
+    assert versions._jdf.queryExecution().optimizedPlan() is not None
+    assert time.monotonic() - start < 20
+    assert versions.first()["hub_key"] == "K"
