@@ -4,8 +4,10 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators.keys import HubSpec, LinkSpec
+from millrace.operators.pit import build_pit
 from millrace.operators.scd2 import SatSpec, build_satellite
 from millrace.plans.loads import PitTable, SatelliteTable, VaultTable
 from millrace.sources.landing import Prefix, load_prefix, new_logs, newest_manifest
@@ -65,3 +67,43 @@ def test_landing_goes_on_where_it_stopped(spark, rows, tmp_path):
     assert got == {"a.jsonl": ("loaded", 2, None), "b.xyz": ("quarantined", None, "unsupported file format"), "c.csv": ("loaded", 1, None), "d.csv": ("loaded", 2, None)}
     assert [r["line"] for r in quarantine.read().collect()] == ["broken"]
     assert stored == [(0, 2), (1, 1), (2, 2)]
+
+
+PLAIN = SatSpec("s", "src", ("value",))
+COLUMNS = "hub_key string, hashdiff string, load_dts timestamp, effective_from timestamp, record_source string, value int"
+
+
+def seen_at(spark, *rows):
+    return spark.createDataFrame([(k, h, NOW, NOW + timedelta(days=d), "src", 1) for k, h, d in rows], COLUMNS)
+
+
+def test_a_load_leaves_buckets_without_a_known_hub_as_they_are(spark, rows, tmp_path):
+    table = SatelliteTable(spark, str(tmp_path / "s"), PLAIN, buckets=1)
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "s" / "timeline").glob("bucket=*/*.parquet")}
+    first, new = seen_at(spark, ("a", "x", 0), ("a", "y", 2), ("b", "x", 1)), seen_at(spark, ("c", "x", 0), ("c", "x", 1), ("c", "y", 3))
+    assert rows(table.load(first)) == [("a", NOW.date()), ("b", (NOW + timedelta(1)).date())]
+    written = files()
+    assert table.load(first).isEmpty() and files() == written
+    assert rows(table.load(new)) == [("c", NOW.date())]
+    assert written.items() < files().items()
+    assert rows(table.rows()) == rows(build_satellite(first.union(new), PLAIN))
+    table.load(seen_at(spark, ("a", "z", 1)))
+    assert not written.keys() & files().keys()
+    assert rows(table.rows()) == rows(build_satellite(first.union(new).union(seen_at(spark, ("a", "z", 1))), PLAIN))
+
+
+@pytest.mark.parametrize("step", ["append", "replace_all"])
+def test_a_load_takes_up_what_a_broken_one_left(spark, rows, tmp_path, monkeypatch, step):
+    table = SatelliteTable(spark, str(tmp_path / "s"), PLAIN, buckets=1)
+    first, more = seen_at(spark, ("a", "x", 0)), seen_at(spark, ("b" if step == "append" else "a", "y", 2))
+    table.load(first)
+    with monkeypatch.context() as m:
+        def broken(*_):
+            raise OSError("gone")
+        m.setattr(table._tables[1], step, broken)
+        with pytest.raises(OSError):
+            table.load(more)
+    other = SatelliteTable(spark, str(tmp_path / "s"), PLAIN, buckets=1)
+    assert rows(other.load(seen_at(spark, ("c", "x", 0)))) == [("b" if step == "append" else "a", (NOW + timedelta(2)).date()), ("c", NOW.date())]
+    assert rows(other.rows()) == rows(build_satellite(first.union(more).union(seen_at(spark, ("c", "x", 0))), PLAIN))
+    assert other.load(more).isEmpty()
