@@ -107,3 +107,35 @@ def test_a_load_takes_up_what_a_broken_one_left(spark, rows, tmp_path, monkeypat
     assert rows(other.load(seen_at(spark, ("c", "x", 0)))) == [("b" if step == "append" else "a", (NOW + timedelta(2)).date()), ("c", NOW.date())]
     assert rows(other.rows()) == rows(build_satellite(first.union(more).union(seen_at(spark, ("c", "x", 0))), PLAIN))
     assert other.load(more).isEmpty()
+
+
+def test_kept_days_are_stored_as_runs(spark, rows, tmp_path):
+    sat = SatelliteTable(spark, str(tmp_path / "s"), PLAIN, buckets=2)
+    pit = PitTable(spark, str(tmp_path / "p"), [("s", sat)], 100)
+    whole = seen_at(spark, ("a", "x", -50), ("a", "y", -10), ("b", "x", -200))
+    hub = spark.createDataFrame([("a",), ("b",), ("none",)], "hub_key string")
+    pit.refresh(sat.load(whole), hub, NOW.date())
+    assert pit.table.read().count() == 5 and pit.rows().count() == 303
+    late = seen_at(spark, ("a", "z", -30))
+    pit.refresh(sat.load(late), hub, (NOW + timedelta(2)).date())
+    want = build_pit(hub, [("s", build_satellite(whole.union(late), PLAIN))], (NOW + timedelta(2)).date(), 100)
+    assert rows(pit.rows()) == rows(want)
+    assert rows(pit.rows(F.upper)) == rows(want.withColumn("hub_key", F.upper("hub_key")))
+
+
+def test_runs_of_two_satellites_are_cut_where_either_changes(spark, rows):
+    r = random.Random(3)
+    sats = [build_satellite(seen_at(spark, *[(f"k{r.randint(0, 5)}", r.choice("abc"), r.randint(-15, 2)) for _ in range(40)]), PLAIN) for _ in range(2)]
+    hub = spark.createDataFrame([(f"k{i}",) for i in range(7)], "hub_key string")
+    got = build_pit(hub, [("p", sats[0]), ("q", sats[1])], NOW.date(), 12)
+    versions = [[tuple(x) for x in s.select("hub_key", "effective_from", "effective_to", "load_dts", "hashdiff").collect()] for s in sats]
+    want = []
+    for k in range(7):
+        for d in range(13):
+            day = NOW - timedelta(days=12 - d)
+            end, row = day + timedelta(days=1) - timedelta(seconds=1), [f"k{k}", day.date()]
+            for v in versions:
+                at = [(x[3], x[4], x[1]) for x in v if x[0] == f"k{k}" and x[1] <= end and (x[2] is None or end < x[2])]
+                row += at[0] if at else (None, None, None)
+            want.append(tuple(row))
+    assert rows(got) == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
