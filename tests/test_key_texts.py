@@ -87,3 +87,21 @@ def test_a_filter_on_a_wide_change_hash_is_planned_at_once(spark):
     assert versions._jdf.queryExecution().optimizedPlan() is not None
     assert time.monotonic() - start < 20
     assert versions.first()["hub_key"] == "K"
+
+
+def test_equal_training_rows_are_one_weighted_row(spark, monkeypatch):
+    from pyspark.testing import assertDataFrameEqual
+    from millrace.ml import order_value as m
+    rows = spark.range(600).select(
+        F.expr("element_at(array('new', 'paid', null), CAST(id % 3 AS INT) + 1)").alias("status"), F.lit("EUR").alias("currency"),
+        F.concat(F.lit("c"), (F.col("id") % 7).cast("string")).alias("customer_bk"), (F.col("id") % 4).cast("int").alias("order_hour"),
+        F.lit(2).alias("order_dayofweek"), (F.pmod(F.xxhash64("id"), F.lit(1000)) + 100 * (F.col("id") % 7)).cast("double").alias("label")).coalesce(2)
+    spec, seen, real = m.TrainingSpec(max_iter=3, max_depth=3, customer_buckets=16), [], m.spread
+    monkeypatch.setattr(m, "spread", lambda df, n: seen.append(n) or real(df, n))
+    whole = m.fitted(spec, rows, 600)
+    monkeypatch.setattr(m, "TASK_ROWS", 100)
+    put_together = m.fitted(spec, rows, 600)
+    assert seen == [600, 84]
+    assert [type(s) for s in put_together.stages] == [type(s) for s in whole.stages]
+    predictions = [model.transform(rows).select("customer_bk", "status", "order_hour", F.round("prediction", 6).alias("p")).distinct() for model in (whole, put_together)]
+    assertDataFrameEqual(*predictions, rtol=1e-6)
