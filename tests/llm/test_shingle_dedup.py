@@ -2,6 +2,7 @@ import random
 from fractions import Fraction
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_simhash_dedup import slow_fingerprint
 
 import corpus_pipeline
@@ -79,3 +80,71 @@ def test_the_stage_asks_the_trie_join(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "x y")], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in m.keep_one(docs).collect()) == [1, 3]
     assert len(asked) == 1
+
+
+def template_family(n, shared=100):
+    """Texts of one template in pairs: only partners are near copies."""
+    r = random.Random(5)
+    body = [f"b{i}" for i in range(shared)]
+    docs = []
+    for k in range(n):
+        own = [f"o{k}_{i}" for i in range(28)]
+        docs += [" ".join(body + own + ["end"]), " ".join(body + own + [f"other{k}"])]
+    r.shuffle(docs)
+    return list(enumerate(docs))
+
+
+def test_template_families_lose_no_pair(spark):
+    """All texts share most of their bands at 0.6; only partners reach 0.8. Neighbours in a bucket's order alone miss partners."""
+    docs = template_family(40)
+    sets = [slow_set(t) for _, t in docs]
+    assert sum(near(a, b) for i, a in enumerate(sets) for b in sets[:i]) == 40
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in m.keep_one(df).collect()) == slow_kept(docs)
+
+
+def test_all_pairs_of_a_trie_group_are_decided(spark, monkeypatch):
+    """Three fingerprints in one group; the first is like neither of the others, which are near copies. No band helps."""
+    monkeypatch.setattr(m, "candidates", lambda nodes, bands: bands.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0))
+    monkeypatch.setattr(m, "simprint", lambda hashes: 7)
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(f"v{i}" for i in range(200)), "a b c d e f"]
+    order = sorted(texts, key=lambda t: int(np.uint64(m._node(m.shingle_set(t.encode()))).view(np.int64)))
+    partners = [i for i, t in enumerate(texts) if t.startswith("w0")]
+    assert len(partners) == 2
+    docs = list(enumerate(texts))
+    for extra in range(200):
+        if not order[0].startswith("w0"):
+            break
+        docs[2] = (2, " ".join(f"v{extra}_{i}" for i in range(200)))
+        order = sorted([t for _, t in docs], key=lambda t: int(np.uint64(m._node(m.shingle_set(t.encode()))).view(np.int64)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in m.keep_one(df).collect()) == slow_kept(docs) == [0, 2, 3]
+
+
+def test_blocks_decide_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK", 300)
+    docs = template_family(12) + [(100 + i, t) for i, t in template_family(6, shared=60)] + [(200, "z " * 40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in m.keep_one(df).collect()) == slow_kept(docs)
+    r = np.random.default_rng(1)
+    sets = [np.unique(r.integers(0, 12, 10).astype(np.uint64)) for _ in range(30)]
+    for cut in (30, 13):
+        roots = np.arange(30)
+        got = m.linked(sets, roots, cut)
+        want = [(i, j) for i in range(cut) for j in range(cut if cut < 30 else i + 1, 30) if near(set(sets[i].tolist()), set(sets[j].tolist()))]
+        assert set(got) <= set(want)
+        group = lambda links: [min(reach(k, links)) for k in range(30)]
+        assert group(got) == group(want)
+
+
+def reach(k, links):
+    seen, todo = {k}, [k]
+    while todo:
+        x = todo.pop()
+        for a, b in links:
+            for y, z in ((a, b), (b, a)):
+                if y == x and z not in seen:
+                    seen.add(z)
+                    todo.append(z)
+    return seen
